@@ -78,9 +78,8 @@ SPAN_ATTRIBUTES = """CASE WHEN stmt <> '' THEN 'db.query.text=' || stmt || ';db.
 
 def _stats(key: str, duration: str, quantile: str = "quantile_cont({d}, 0.95)") -> str:
     q = quantile.format(d=duration)
-    return f"""{key} AS key, count(*) AS count, round(sum({duration}) / count(*) / 1e6, 9) AS avg_ms,
-      round({q} / 1e6, 9) AS p95_ms, round(max({duration}) / 1e6, 9) AS max_ms,
-      round(sum({duration}) / 1e6, 9) AS total_ms"""
+    return f"""{key} AS key, count(*) AS count, sum({duration}) / count(*) / 1e6 AS avg_ms,
+      round({q} / 1e6, 9) AS p95_ms, max({duration}) / 1e6 AS max_ms, sum({duration}) / 1e6 AS total_ms"""
 
 
 def _top(order: str) -> str:
@@ -110,7 +109,7 @@ def _increase(labels: str, where: str = "true", factor: str = "") -> str:
 
 
 def _range(labels: str, step: int, factor: str = "") -> str:
-    return f"""WITH {COUNTERS} SELECT {labels}, {_slot(step)} AS t, round((max(v) - min(v)){factor}, 6) AS value
+    return f"""WITH {COUNTERS} SELECT {labels}, {_slot(step)} AS t, round((max(v) - min(v)){factor}, 9) AS value
       FROM counters GROUP BY ALL"""
 
 
@@ -118,7 +117,7 @@ def _slot(step: int) -> str:
     return f"ns // {step * 1_000_000_000} * {step}"
 
 
-def _quantile(q: float, labels: str, keys: str, t: str = "") -> str:
+def _quantile(q: float, labels: str, keys: str, t: str = "", digits: int = 6) -> str:
     """Buckets counted from the events, then linear interpolation in the bucket that crosses the rank."""
     partition = f"PARTITION BY {keys}" if keys else ""
     return f"""WITH {HISTOGRAM}, sized AS (
@@ -134,7 +133,7 @@ def _quantile(q: float, labels: str, keys: str, t: str = "") -> str:
     SELECT {{columns}}, round(
       CASE WHEN pos = 0 THEN 0 ELSE coalesce(bs[pos], 0) END
       + (coalesce(bs[pos + 1], CASE WHEN pos = 0 THEN 0 ELSE coalesce(bs[pos], 0) END)
-         - CASE WHEN pos = 0 THEN 0 ELSE coalesce(bs[pos], 0) END) * ({q} * total - (cum - n)) / n, 6) AS value
+         - CASE WHEN pos = 0 THEN 0 ELSE coalesce(bs[pos], 0) END) * ({q} * total - (cum - n)) / n, {digits}) AS value
     FROM crossing, edges WHERE r = 1 {{on}}"""
 
 
@@ -253,8 +252,8 @@ ORACLES = {
     "rollup_p95": f"""WITH {SPANS} SELECT {_stats("stmt", "duration", "quantile_disc({d}, 0.95)")}
       FROM spans WHERE name = 'db.query' GROUP BY stmt""",
     "rollup_route": f"""WITH {SPANS} SELECT 'rollup' AS path, stmt AS key, count(*) AS count,
-      round(sum(duration) / 1e6, 9) AS total_ms FROM spans WHERE stmt <> '' GROUP BY stmt UNION ALL
-      SELECT 'spans', stmt, count(*), round(sum(duration) / 1e6, 9) FROM spans WHERE stmt <> '' AND service = 'svc-1'
+      sum(duration) / 1e6 AS total_ms FROM spans WHERE stmt <> '' GROUP BY stmt UNION ALL
+      SELECT 'spans', stmt, count(*), sum(duration) / 1e6 FROM spans WHERE stmt <> '' AND service = 'svc-1'
       GROUP BY stmt""",
     "rollup_retention": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS calls FROM events
       WHERE event_type = 'purchase' AND CAST(ts AS DATE) >= DATE '2024-02-01' - 15 GROUP BY 1""",
@@ -276,17 +275,17 @@ ORACLES = {
     "metric_match_neq": _increase("event_type", "event_type <> 'view'"),
     "metric_match_nre": _increase("event_type"),
     "metric_match_fragment": _increase("event_type", "NOT regexp_matches(service, 'svc-[0-3]')"),
-    "range_gauge_avg": f"""WITH {EVENTS} SELECT event_type, {_slot(3600)} AS t, round(avg(value), 6) AS value FROM ev
+    "range_gauge_avg": f"""WITH {EVENTS} SELECT event_type, {_slot(3600)} AS t, round(avg(value), 9) AS value FROM ev
       GROUP BY ALL""",
     "range_rate": _range("service AS service_name, event_type", 7200, " / 7200"),
     "range_increase": _range("service AS service_name", 86400),
     "range_auto_step": _range("event_type", 10714),
     "range_rate_scaled": _range("event_type", 43200, " / 43200 * 60"),
     "range_hist_count_rate": f"""WITH {HISTOGRAM} SELECT service AS service_name, {_slot(21600)} AS t,
-      round((max(count) - min(count)) / 21600 * 60, 6) AS value FROM hours GROUP BY ALL""",
+      round((max(count) - min(count)) / 21600 * 60, 9) AS value FROM hours GROUP BY ALL""",
     "range_hist_sum": f"""WITH {HISTOGRAM} SELECT service AS service_name, {_slot(21600)} AS t,
-      round(max(total) - min(total), 6) AS value FROM hours GROUP BY ALL""",
-    "range_hist_quantile": _quantile(0.9, "service,", "service, t", f" {_slot(14400)} AS t,").format(
+      round(max(total) - min(total), 9) AS value FROM hours GROUP BY ALL""",
+    "range_hist_quantile": _quantile(0.9, "service,", "service, t", f" {_slot(14400)} AS t,", digits=9).format(
         columns="crossing.service AS service_name, crossing.t",
         on="AND crossing.service = edges.service AND crossing.t = edges.t",
     ),

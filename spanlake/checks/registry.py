@@ -436,7 +436,10 @@ def _flat(stats: DataFrame, *carried: str) -> DataFrame:
     return stats.select(
         "key",
         "count",
-        *(F.round(c, 9).alias(c) for c in ("avg_ms", "p95_ms", "max_ms", "total_ms")),
+        "avg_ms",
+        F.round("p95_ms", 9).alias("p95_ms"),
+        "max_ms",
+        "total_ms",
         *(F.col("attributes")[c].alias(c.replace(".", "_")) for c in carried),
     )
 
@@ -559,7 +562,7 @@ def _instant(query: MetricQuery, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _range(query: MetricQuery, step: int | None, spark: SparkSession, sf_dir: str) -> DataFrame:
     values = metrics.range_query(adapters.metric_tables(spark, sf_dir), query, START, END, step)
-    return values.withColumn("value", F.round("value", 6))
+    return values.withColumn("value", F.round("value", 9))
 
 
 GAUGE = MetricQuery("queue_depth", window="31d")

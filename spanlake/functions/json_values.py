@@ -15,19 +15,17 @@ NUMBER_TEXT = r"^[ \t\n\r\x0B\f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9
 BIGINT_MAX = 9223372036854775807
 
 
-def member(node: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(node, f"$.{name}", kind)
+def member(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, f"$.{name}", "variant")
 
 
 def fields(node: Column, *names: str) -> Column:
     """The named members as one struct of variants; NULL when ``node`` is no object."""
-    return F.try_variant_get(node, "$", f"struct<{', '.join(f'{n} variant' for n in names)}>")
+    return F.try_variant_get(node, "$", _members(names))
 
 
-def record(node: Column, *names: str) -> Column:
-    """As ``fields``, but a JSON list counts as an object without members; NULL for scalars only."""
-    blank = F.struct(*(F.lit(None).cast("variant").alias(n) for n in names))
-    return F.coalesce(fields(node, *names), F.when(_elements(node).isNotNull(), blank))
+def _members(names: tuple[str, ...]) -> str:
+    return f"struct<{', '.join(f'{n} variant' for n in names)}>"
 
 
 def present(value: Column) -> Column:
@@ -35,24 +33,26 @@ def present(value: Column) -> Column:
     return F.when(~F.is_variant_null(value), value)
 
 
-def _elements(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "array<variant>")
+def _elements(candidates: tuple[Column, ...], element: str) -> Column:
+    """The elements of the first candidate that is a list (or an object, whose values are taken); else no elements."""
+    options = []
+    for node in candidates:
+        options.append(F.try_variant_get(node, "$", f"array<{element}>"))
+        options.append(F.map_values(F.try_variant_get(node, "$", f"map<string,{element}>")))
+    return F.coalesce(*options, F.array().cast(f"array<{element}>"))
 
 
-def is_container(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "map<string,variant>").isNotNull() | _elements(node).isNotNull()
+def items(*candidates: Column) -> Column:
+    return _elements(candidates, "variant")
 
 
-def items(*candidates: Column) -> Column:
-    """The elements of the first candidate that is a list (or an object, whose values are taken); else no elements."""
-    options = []
-    for node in candidates:
-        options.append(_elements(node))
-        options.append(F.map_values(F.try_variant_get(node, "$", "map<string,variant>")))
-    return F.coalesce(*options, F.array().cast("array<variant>"))
+def records(names: tuple[str, ...], *candidates: Column) -> Column:
+    """As ``items``, each element read as ``fields``: one pass over the list, NULL for elements that are no objects."""
+    return _elements(candidates, _members(names))
 
 
 def kind(value: Column) -> Column:
+    """``STRING``, ``BIGINT``, ``DECIMAL(2,1)``, ``OBJECT<...>`` and so on."""
     return F.schema_of_variant(value)
 
 
@@ -89,7 +89,7 @@ def string(value: Column) -> Column:
     return (
         F.when(kind(value) == "STRING", _plain(value, "string"))
         .when(kind(value) == "BOOLEAN", F.when(_plain(value, "boolean"), "1").otherwise(""))
-        .when(is_container(value), "")
+        .when(kind(value).rlike("^(OBJECT|ARRAY)"), "")
         .otherwise(F.coalesce(_plain(value, "string"), F.lit("")))
     )
 
@@ -132,13 +132,15 @@ ANY_VALUE_MEMBERS = (
 )
 
 
-def attribute_map(*candidates: Column) -> Column:
+def attribute_map(attributes: Column) -> Column:
     """``[{key, value}]`` as a map; entries without a usable key are skipped, of equal keys the last one wins."""
-    entries = F.transform(items(*candidates), lambda entry: fields(entry, "key", "value"))
-    usable = F.filter(entries, lambda e: (kind(e["key"]) == "STRING") & (_plain(e["key"], "string") != ""))
-    return F.map_from_entries(
-        F.transform(
-            usable,
-            lambda e: F.struct(_plain(e["key"], "string").alias("key"), any_value(e["value"]).alias("value")),
-        )
+    entries = F.transform(
+        records(("key", "value"), attributes),
+        lambda e: F.named_struct(
+            F.lit("key"),
+            F.when(kind(e["key"]) == "STRING", _plain(e["key"], "string")),
+            F.lit("value"),
+            any_value(e["value"]),
+        ),
     )
+    return F.map_from_entries(F.filter(entries, lambda e: e["key"] != ""))

@@ -27,6 +27,11 @@ def ranked(stats: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     return stats.orderBy(F.desc(_ORDER[aggregation.sort]()), "key").limit(max(1, aggregation.limit))
 
 
+def in_order(top: DataFrame, aggregation: SpanAggregation) -> DataFrame:
+    """The already chosen top groups, at most ``limit`` rows, back in ranking order after further work on them."""
+    return top.repartition(1).orderBy(F.desc(_ORDER[aggregation.sort]()), "key")
+
+
 def statistics(stats: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     """Nanoseconds to milliseconds, and the carried values as one map without the empty ones."""
     carried = [

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions import attributes
@@ -42,18 +42,24 @@ def rollup_partial(traces: DataFrame) -> DataFrame:
     )
     partial = keyed.groupBy("Bucket", "QueryText", "DbSystem").agg(
         F.count("*").alias("Calls"),
-        F.sum("Duration").alias("DurationSum"),
+        _sum("Duration").alias("DurationSum"),
         F.max("Duration").alias("DurationMax"),
         F.kll_sketch_agg_bigint("Duration", F.lit(SKETCH_K)).alias("DurationQuantile"),
     )
     return partial.withColumn("day", F.to_date("Bucket"))
 
 
+def _sum(column: str) -> Column:
+    """A BIGINT sum that stops at the largest value instead of failing the stream over a few broken durations."""
+    total = F.sum(F.col(column).cast("decimal(20,0)"))
+    return F.least(total, F.lit(2**63 - 1).cast("decimal(30,0)")).cast("bigint")
+
+
 def compact_rollup(summary: DataFrame) -> DataFrame:
     """One row per key, from any number of partial rows."""
     return summary.groupBy(*KEYS).agg(
         F.sum("Calls").alias("Calls"),
-        F.sum("DurationSum").alias("DurationSum"),
+        _sum("DurationSum").alias("DurationSum"),
         F.max("DurationMax").alias("DurationMax"),
         F.kll_merge_agg_bigint("DurationQuantile", F.lit(SKETCH_K)).alias("DurationQuantile"),
     )
@@ -77,5 +83,5 @@ def rollup_query(summary: DataFrame, aggregation: SpanAggregation, start: Instan
     )
     quantile = F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(aggregation.quantile)))
     if aggregation.sort is not SpanSort.P95:
-        stats = ranked(stats.withColumn("quantile", F.lit(None)), aggregation).drop("quantile")
+        stats = ranked(stats, aggregation)
     return statistics(ranked(stats.withColumn("quantile", quantile), aggregation), aggregation)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spanlake.functions import attributes, quantiles
 from spanlake.functions.times import Instant
 from spanlake.operators import rollup
-from spanlake.operators.ranking import BROADCAST_ROWS, ranked, statistics
+from spanlake.operators.ranking import BROADCAST_ROWS, in_order, ranked, statistics
 from spanlake.operators.traces import match_spans
 from spanlake.plans.queries import SpanAggregation, SpanSort, UnsupportedQuery
 from spanlake.plans.routing import rollup_answers
@@ -78,7 +78,7 @@ def _sketched(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     stats = stats.withColumn("total", _total())
     if aggregation.sort is not SpanSort.P95:
         # read the sketches of the ranked groups only
-        stats = ranked(stats.withColumn("quantile", F.lit(None)), aggregation).drop("quantile")
+        stats = ranked(stats, aggregation)
     return statistics(ranked(stats.withColumn("quantile", quantile), aggregation), aggregation)
 
 
@@ -120,14 +120,15 @@ def _exact(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     if aggregation.sort is SpanSort.P95:
         targets, bounded = _quantile_candidates(stats, aggregation)
     else:
-        targets = ranked(stats.withColumn("quantile", F.lit(None)), aggregation).drop("quantile")
-        bounded = aggregation.limit <= BROADCAST_ROWS
+        targets = ranked(stats, aggregation)
+        bounded = max(1, aggregation.limit) <= BROADCAST_ROWS
     if bounded:
         targets = F.broadcast(targets)
 
     kept = ["calls", "total", "longest", *carry]
     refined = quantiles.refine(spans.select("key", "d"), "d", targets, "key", kept)
-    return statistics(ranked(refined, aggregation), aggregation)
+    final = ranked if aggregation.sort is SpanSort.P95 else in_order
+    return statistics(final(refined, aggregation), aggregation)
 
 
 def _quantile_candidates(stats: DataFrame, aggregation: SpanAggregation) -> tuple[DataFrame, bool]:

@@ -22,6 +22,9 @@ from spanlake.session import configure
 # Service of a resource that names none.
 DEFAULT_SERVICE = "unknown_service"
 
+# The metric kinds that are stored, in the order they are looked for.
+KINDS = ("sum", "gauge", "histogram")
+
 # Span kinds and status codes, by number and by name.
 SPAN_KINDS = {
     "Internal": (1, "SPAN_KIND_INTERNAL"),
@@ -36,17 +39,22 @@ STATUS_CODES = {
 }
 
 
+def with_payload(raw: DataFrame) -> DataFrame:
+    """``raw`` with the parsed ``payload`` next to it, NULL where the text is no JSON. The parsers accept either form."""
+    return raw if "payload" in raw.columns else raw.withColumn("payload", F.try_parse_json("raw"))
+
+
 def bad_payloads(raw: DataFrame) -> DataFrame:
     """Payloads that are not JSON; the caller decides where to put them."""
-    return raw.where(F.try_parse_json("raw").isNull())
+    return with_payload(raw).where("payload IS NULL").select("raw")
 
 
 def parse_logs(raw: DataFrame) -> DataFrame:
-    records = _records(raw, "resourceLogs", ("scopeLogs", "instrumentationLibraryLogs"), ("logRecords", "log_records"))
     names = (
         "timeUnixNano", "observedTimeUnixNano", "traceId", "spanId", "severityText", "severityNumber", "body", "attributes"
     )
-    rows = records.select("resource", "service", j.record(F.col("item"), *names).alias("r")).where("r IS NOT NULL")
+    scopes = ("scopeLogs", "instrumentationLibraryLogs")
+    rows = _records(raw, "resourceLogs", scopes, ("logRecords", "log_records"), names).where("r IS NOT NULL")
     nanos = j.integer(F.coalesce(j.present(F.col("r.timeUnixNano")), j.present(F.col("r.observedTimeUnixNano"))))
     return _typed(
         rows.select("resource", "service", "r", nanos.alias("nanos")),
@@ -63,12 +71,12 @@ def parse_logs(raw: DataFrame) -> DataFrame:
 
 
 def parse_traces(raw: DataFrame) -> DataFrame:
-    spans = _records(raw, "resourceSpans", ("scopeSpans", "instrumentationLibrarySpans"), ("spans",))
     names = (
         "traceId", "spanId", "parentSpanId", "name", "kind", "startTimeUnixNano", "endTimeUnixNano", "status",
         "attributes", "events", "links",
     )
-    rows = spans.select("resource", "service", j.record(F.col("item"), *names).alias("r")).where("r IS NOT NULL")
+    scopes = ("scopeSpans", "instrumentationLibrarySpans")
+    rows = _records(raw, "resourceSpans", scopes, ("spans",), names).where("r IS NOT NULL")
     rows = rows.select(
         "resource",
         "service",
@@ -87,7 +95,7 @@ def parse_traces(raw: DataFrame) -> DataFrame:
             "SpanName": j.string(F.col("r.name")),
             "SpanKind": _enum(F.col("r.kind"), SPAN_KINDS, "Unspecified"),
             "SpanAttributes": j.attribute_map(F.col("r.attributes")),
-            "Duration": F.greatest(F.col("end") - F.col("nanos"), F.lit(0).cast("bigint")),
+            "Duration": F.greatest(F.try_subtract("end", "nanos"), F.lit(0).cast("bigint")),
             "StatusCode": _enum(F.col("status.code"), STATUS_CODES, "Unset"),
             "StatusMessage": j.string(F.col("status.message")),
             "Events": _span_events(F.col("r.events")),
@@ -108,38 +116,27 @@ def parse_metrics(raw: DataFrame) -> MetricTables:
 
 def metric_points(raw: DataFrame) -> DataFrame:
     """One row per data point of any kind: ``resource, service, kind, name, temporality, monotonic, p`` (the point)."""
-    metrics = _records(raw, "resourceMetrics", ("scopeMetrics", "instrumentationLibraryMetrics"), ("metrics",))
-    rows = metrics.select(
-        "resource", "service", j.fields(F.col("item"), "name", "unit", "sum", "gauge", "histogram").alias("m")
-    )
-    kind = (
-        F.when(j.is_container(F.col("m.sum")), "sum")
-        .when(j.is_container(F.col("m.gauge")), "gauge")
-        .when(j.is_container(F.col("m.histogram")), "histogram")
-    )
-    rows = rows.withColumn("kind", kind).where("kind IS NOT NULL")
-    data = (
-        F.when(F.col("kind") == "sum", F.col("m.sum"))
-        .when(F.col("kind") == "gauge", F.col("m.gauge"))
-        .otherwise(F.col("m.histogram"))
-    )
-    rows = rows.withColumn(
-        "d", j.fields(data, "dataPoints", "data_points", "isMonotonic", "aggregationTemporality")
-    ).withColumn("monotonic", (F.col("kind") == "sum") & j.truthy(F.col("d.isMonotonic")))
-    rows = rows.select(
+    scopes = ("scopeMetrics", "instrumentationLibraryMetrics")
+    metrics = _records(raw, "resourceMetrics", scopes, ("metrics",), ("name", "unit", *KINDS))
+    members = ("dataPoints", "data_points", "isMonotonic", "aggregationTemporality")
+    data = {kind: j.fields(F.col(f"r.{kind}"), *members) for kind in KINDS}
+    rows = metrics.select("*", F.coalesce(*data.values()).alias("d")).where("d IS NOT NULL")
+    kind = F.coalesce(*(F.when(column.isNotNull(), kind) for kind, column in data.items()))
+    rows = rows.withColumn("kind", kind)
+    rows = rows.withColumn("monotonic", (F.col("kind") == "sum") & j.truthy(F.col("d.isMonotonic")))
+    names = (
+        "timeUnixNano", "startTimeUnixNano", "attributes", "asInt", "asDouble", "count", "sum", "bucketCounts",
+        "bucket_counts", "explicitBounds", "explicit_bounds",
+    )
+    return rows.select(
         "resource",
         "service",
         "kind",
-        prom_name(j.string(F.col("m.name")), j.string(F.col("m.unit")), F.col("monotonic")).alias("name"),
+        prom_name(j.string(F.col("r.name")), j.string(F.col("r.unit")), F.col("monotonic")).alias("name"),
         _int32(j.integer(F.col("d.aggregationTemporality"))).alias("temporality"),
         "monotonic",
-        F.explode(j.items(F.col("d.dataPoints"), F.col("d.data_points"))).alias("item"),
+        F.explode(j.records(names, F.col("d.dataPoints"), F.col("d.data_points"))).alias("p"),
     )
-    names = (
-        "timeUnixNano", "startTimeUnixNano", "attributes", "asInt", "asDouble", "count", "sum", "bucketCounts",
-        "bucket_counts", "explicitBounds", "explicit_bounds",
-    )
-    return rows.withColumn("p", j.fields(F.col("item"), *names)).drop("item")
 
 
 def sum_points(points: DataFrame) -> DataFrame:
@@ -187,18 +184,21 @@ def _value() -> Column:
     return F.when(F.col("p.asInt").isNotNull(), j.number(F.col("p.asInt"))).otherwise(j.number(F.col("p.asDouble")))
 
 
-def _records(raw: DataFrame, envelope: str, scopes: tuple[str, ...], leaves: tuple[str, ...]) -> DataFrame:
-    """``resource`` (attribute map), ``service`` and ``item`` (VARIANT), one row per innermost list element."""
+def _records(
+    raw: DataFrame, envelope: str, scopes: tuple[str, ...], leaves: tuple[str, ...], names: tuple[str, ...]
+) -> DataFrame:
+    """``resource`` (attribute map), ``service`` and ``r`` (the named members), one row per innermost list element."""
     configure(raw.sparkSession)
-    envelopes = raw.select(F.explode(j.items(j.member(F.try_parse_json("raw"), envelope))).alias("envelope"))
+    lists = j.member(F.col("payload"), envelope)
+    envelopes = with_payload(raw).select(F.explode(j.records(("resource", *scopes), lists)).alias("e"))
     resources = envelopes.select(
-        j.attribute_map(j.member(j.member(F.col("envelope"), "resource"), "attributes")).alias("resource"),
-        F.explode(j.items(*(j.member(F.col("envelope"), s) for s in scopes))).alias("scope"),
+        j.attribute_map(j.member(F.col("e.resource"), "attributes")).alias("resource"),
+        F.explode(j.records(leaves, *(F.col(f"e.{s}") for s in scopes))).alias("s"),
     )
     return resources.select(
         "resource",
         F.coalesce(F.col("resource")["service.name"], F.lit(DEFAULT_SERVICE)).alias("service"),
-        F.explode(j.items(*(j.member(F.col("scope"), leaf) for leaf in leaves))).alias("item"),
+        F.explode(j.records(names, *(F.col(f"s.{leaf}") for leaf in leaves))).alias("r"),
     )
 
 
@@ -228,8 +228,7 @@ def _enum(value: Column, codes: dict[str, tuple[int, str]], otherwise: str) -> C
 
 
 def _span_events(events: Column) -> Column:
-    def event(item: Column) -> Column:
-        e = j.record(item, "timeUnixNano", "name", "attributes")
+    def event(e: Column) -> Column:
         nanos = j.integer(e["timeUnixNano"])
         return F.struct(
             timestamp_of(nanos).alias("Timestamp"),
@@ -238,16 +237,19 @@ def _span_events(events: Column) -> Column:
             j.attribute_map(e["attributes"]).alias("Attributes"),
         )
 
-    return F.transform(F.filter(j.items(events), j.is_container), event)
+    return F.transform(_objects(("timeUnixNano", "name", "attributes"), events), event)
 
 
 def _span_links(links: Column) -> Column:
-    def link(item: Column) -> Column:
-        e = j.record(item, "traceId", "spanId", "attributes")
+    def link(e: Column) -> Column:
         return F.struct(
             j.string(e["traceId"]).alias("TraceId"),
             j.string(e["spanId"]).alias("SpanId"),
             j.attribute_map(e["attributes"]).alias("Attributes"),
         )
 
-    return F.transform(F.filter(j.items(links), j.is_container), link)
+    return F.transform(_objects(("traceId", "spanId", "attributes"), links), link)
+
+
+def _objects(names: tuple[str, ...], node: Column) -> Column:
+    return F.filter(j.records(names, node), lambda e: e.isNotNull())

@@ -11,6 +11,7 @@ from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, Trace
 from spanlake.schemas import TABLES
 from spanlake.session import configure
 from spanlake.sources import tables
+from spanlake.streaming import ingest
 from spanlake.streaming import rollup as rollup_stream
 
 
@@ -44,6 +45,16 @@ class TelemetryStore:
         tables.append(points.gauge, self.root, "otel_metrics_gauge", self.promote, **options)
         tables.append(points.histogram, self.root, "otel_metrics_histogram", self.promote, **options)
 
+    def ingest(self, raw: DataFrame, signal: str) -> None:
+        """OTLP/JSON payloads (column ``raw``) of ``logs``, ``traces`` or ``metrics`` into their tables."""
+        ingest.write_payloads(raw, self.root, signal, self.promote)
+
+    def follow_payloads(self, source: str, signal: str, checkpoint: str | None = None, **options):
+        """Start the stream that ingests new payload files below ``source``."""
+        return ingest.run_ingest_stream(
+            self.spark, source, self.root, signal, checkpoint, promote=self.promote, **options
+        )
+
     # logs
 
     def search_logs(self, query: LogQuery, start: Instant, end: Instant, limit: int = 100) -> DataFrame:

@@ -7,7 +7,8 @@ record is written again: delivery is at least once, as with a client that repeat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from spanlake.session import configure, shared_folder
 from spanlake.sources import otlp, tables
@@ -17,8 +18,10 @@ PARSERS = {"logs": otlp.parse_logs, "traces": otlp.parse_traces}
 
 def write_payloads(raw: DataFrame, root: str, signal: str, promote: tables.Promoted | None = None) -> None:
     """Parse payloads of one signal (``logs``, ``traces``, ``metrics``), append the rows, set bad payloads aside."""
+    bad = Observation()
+    payloads = otlp.with_payload(raw).observe(bad, F.count_if(F.col("payload").isNull()).alias("n"))
     if signal == "metrics":
-        points = otlp.metric_points(raw).persist()
+        points = otlp.metric_points(payloads).persist()
         try:
             for table, rows in (
                 ("otel_metrics_sum", otlp.sum_points(points)),
@@ -29,8 +32,9 @@ def write_payloads(raw: DataFrame, root: str, signal: str, promote: tables.Promo
         finally:
             points.unpersist()
     else:
-        tables.append(PARSERS[signal](raw), root, f"otel_{signal}", promote, cluster=False)
-    otlp.bad_payloads(raw).write.mode("append").text(f"{root}/rejected_{signal}")
+        tables.append(PARSERS[signal](payloads), root, f"otel_{signal}", promote, cluster=False)
+    if bad.get["n"]:
+        otlp.bad_payloads(raw).write.mode("append").text(f"{root}/rejected_{signal}")
 
 
 def run_ingest_stream(

@@ -23,7 +23,7 @@ def _rows(columns, rows):
 
     def plain(value):
         if isinstance(value, float):
-            return "nan" if math.isnan(value) else round(value, 9)
+            return "nan" if math.isnan(value) else float(f"{value:.12g}")
         return value
 
     return sorted(([plain(row[i]) for i in order] for row in rows), key=repr)
