@@ -1,0 +1,150 @@
+import math
+
+import pytest
+
+import rows
+from rows import S
+from spanlake.operators.metrics import instant, metric_label_values, range_query, sum_buckets, to_series
+from spanlake.plans.queries import MatchOp, MetricQuery, UnsupportedQuery
+
+T0 = 1735689600
+
+
+def point(second, name="jobs_total", **values):
+    return {"TimestampNano": (T0 + second) * S, "MetricName": name} | values
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return rows.metrics(
+        spark,
+        sum=[
+            point(0, Value=10.0, ServiceName="web", Attributes={"queue": "a"}),
+            point(30, Value=16.0, ServiceName="web", Attributes={"queue": "a"}),
+            point(61, Value=22.0, ServiceName="web", Attributes={"queue": "a"}),
+            point(30, Value=5.0, ServiceName="api", Attributes={"queue": "b"}),
+            point(59, Value=2.0, ServiceName="api", Attributes={"queue": "b"}),
+            point(59, Value=100.0, name="other_total", Attributes={"other.key": "x"}),
+        ],
+        gauge=[
+            point(0, "queue_depth", Value=3.0, Attributes={"queue": "default"}),
+            point(20, "queue_depth", Value=7.0, Attributes={"queue": "default"}),
+            point(10, "queue_depth", Value=9.0, ResourceAttributes={"deployment.environment.name": "prod"}),
+        ],
+        histogram=[
+            point(0, "h_seconds", Count=0, Sum=0.0, BucketCounts=[0, 0], ExplicitBounds=[0.1],
+                  Attributes={"http.response.status_code": "200"}),
+            point(50, "h_seconds", Count=12, Sum=0.24, BucketCounts=[12, 0], ExplicitBounds=[0.1],
+                  Attributes={"http.response.status_code": "200"}),
+            point(50, "h_seconds", Count=3, Sum=9.0, BucketCounts=[1, 1, 1], ExplicitBounds=[0.1, 5.0],
+                  Attributes={"http.response.status_code": "500", "route": "/"}),
+        ],
+    )
+
+
+def values(frame, *labels):
+    return {tuple(r[label] for label in labels): r.value for r in frame.collect()}
+
+
+JOBS = MetricQuery("jobs_total")
+
+
+@pytest.mark.parametrize(
+    ("query", "expected"),
+    [
+        (JOBS.increase("1h").grouped("queue"), {("a",): 12.0, ("b",): 3.0}),
+        (JOBS.counter_increase("1h").grouped("queue"), {("a",): 12.0, ("b",): 3.0}),
+        (JOBS.rate("2m").grouped("queue"), {("a",): 0.1, ("b",): 0.025}),
+        (JOBS.rate().grouped("queue"), {("a",): 0.2, ("b",): 0.05}),
+        (JOBS.rate().grouped("queue").times(60), {("a",): 12.0, ("b",): 3.0}),
+        (JOBS.increase("1h").grouped("service_name"), {("web",): 12.0, ("api",): 3.0}),
+        (JOBS.increase("1h").grouped("nothing"), {("",): 20.0}),
+        (JOBS.increase("30s").grouped("queue"), {("a",): 0.0, ("b",): 0.0}),
+        (JOBS.increase("1h").grouped("queue").match("queue", MatchOp.NEQ, "a"), {("b",): 3.0}),
+        (JOBS.increase("1h").grouped("queue").match("nothing", MatchOp.EQ, ""), {("a",): 12.0, ("b",): 3.0}),
+        (JOBS.increase("1h").grouped("queue").match_fragment('service_name=~"^w"'), {("a",): 12.0}),
+        (MetricQuery("queue_depth").grouped("queue"), {("default",): 7.0, ("",): 9.0}),
+        (MetricQuery("queue_depth").grouped("deployment_environment_name"), {("",): 7.0, ("prod",): 9.0}),
+    ],
+)
+def test_instant(tables, query, expected):
+    result = instant(tables, query, T0 + 70)
+    got = values(result, *query.by)
+    assert got == {k: pytest.approx(v) for k, v in expected.items()}
+    assert {r.timestamp for r in result.collect()} == {float(T0 + 70)}
+
+
+@pytest.mark.parametrize(
+    ("query", "expected"),
+    [
+        (JOBS.increase("1h"), 20.0),
+        (MetricQuery("queue_depth"), 7.0),
+        (MetricQuery("h_seconds_count"), 12.0),
+        (MetricQuery("h_seconds_count").rate("1h"), 12.0),
+        (MetricQuery("h_seconds_sum").rate("1h"), 9.0),
+        (MetricQuery("missing"), 0.0),
+        (MetricQuery("missing_total").increase(), 0.0),
+    ],
+)
+def test_without_labels_there_is_one_row(tables, query, expected):
+    (row,) = instant(tables, query, T0 + 70).collect()
+    assert row.value == pytest.approx(expected)
+
+
+def test_instant_quantiles(tables):
+    query = MetricQuery("h_seconds_bucket").at_quantile(0.5)
+    # the stored key has a further underscore, so the dotted label finds nothing and all points form one group
+    got = values(instant(tables, query.grouped("http_response_status_code"), T0 + 70), "http_response_status_code")
+    assert set(got) == {("",)}
+    assert values(instant(tables, query.grouped("route"), T0 + 70), "route") == {
+        ("",): pytest.approx(0.05),
+        ("/",): pytest.approx(2.55),
+    }
+    (none,) = instant(tables, MetricQuery("missing_bucket").at_quantile(0.5), T0 + 70).collect()
+    assert math.isnan(none.value)
+
+
+def test_buckets_of_unequal_length_are_padded(tables):
+    summed = sum_buckets(tables.histogram.where("TimestampNano > 0"), ["MetricName"]).orderBy("pos").collect()
+    assert [(r.pos, r.n, r.bounds) for r in summed] == [(0, 13, [0.1]), (1, 1, [0.1]), (2, 1, [0.1])]
+
+
+@pytest.mark.parametrize(
+    ("query", "expected"),
+    [
+        (JOBS.increase().grouped("queue"), {("a", 0): 6.0, ("a", 60): 0.0, ("b", 0): 3.0}),
+        (JOBS.rate("5m").grouped("queue"), {("a", 0): 0.1, ("a", 60): 0.0, ("b", 0): 0.05}),
+        (JOBS.rate("5m").grouped("queue").times(60), {("a", 0): 6.0, ("a", 60): 0.0, ("b", 0): 3.0}),
+        (MetricQuery("queue_depth").grouped("queue"), {("default", 0): 5.0, ("", 0): 9.0}),
+        (MetricQuery("h_seconds_count").rate("1m").grouped("route"), {("", 0): 0.2, ("/", 0): 0.0}),
+        (MetricQuery("h_seconds_sum").grouped("route"), {("", 0): 0.12, ("/", 0): 9.0}),
+        (MetricQuery("h_seconds").at_quantile(0.5).grouped("route"), {("", 0): 0.05, ("/", 0): 2.55}),
+    ],
+)
+def test_range(tables, query, expected):
+    got = range_query(tables, query, T0, T0 + 3600, step=60)
+    got = {(*(r[label] for label in query.by), r.t - T0): r.value for r in got.collect()}
+    assert got == {k: pytest.approx(v) for k, v in expected.items()}
+
+
+def test_buckets_are_aligned_to_the_epoch(tables):
+    got = range_query(tables, JOBS.increase(), T0 + 10, T0 + 100, step=7).collect()
+    assert all(r.t % 7 == 0 for r in got)
+    assert sorted(r.t for r in got) == sorted({(T0 + s) // 7 * 7 for s in (30, 59, 61)})
+
+
+def test_series(tables):
+    points = range_query(tables, JOBS.increase().grouped("queue"), T0, T0 + 3600, step=60)
+    series = {r.queue: [(p.t - T0, p.value) for p in r.points] for r in to_series(points, ["queue"]).collect()}
+    assert series == {"a": [(0, 6.0), (60, 0.0)], "b": [(0, 3.0)]}
+
+
+def test_label_values_come_from_sums_only(tables):
+    assert [r.value for r in metric_label_values(tables.sum, "queue").collect()] == ["a", "b"]
+    assert [r.value for r in metric_label_values(tables.sum, "queue", T0 + 60, T0 + 70).collect()] == ["a"]
+    assert [r.value for r in metric_label_values(tables.sum, "other_key").collect()] == ["x"]
+
+
+def test_bucket_series_need_a_quantile(tables):
+    with pytest.raises(UnsupportedQuery):
+        instant(tables, MetricQuery("h_seconds_bucket").rate("1m"), T0)

@@ -1,0 +1,157 @@
+import pytest
+
+import rows
+from rows import S
+from spanlake.operators import traces
+from spanlake.operators.spans import aggregate_spans
+from spanlake.plans.queries import SpanAggregation, SpanSort, TraceCondition, TraceOp, TraceQuery
+
+MS = 1_000_000
+
+
+def span(trace, span_id, second, parent="", **values):
+    return {"TraceId": trace, "SpanId": span_id, "ParentSpanId": parent, "TimestampNano": second * S} | values
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return rows.spans(
+        spark,
+        span("t1", "a", 10, SpanName="GET /", ServiceName="web", Duration=50 * MS, SpanKind="Server",
+             ResourceAttributes={"env": "prod"}, SpanAttributes={"code": "500", "x": "nil"}),
+        span("t1", "b", 11, "a", SpanName="db.query", ServiceName="web", Duration=5 * MS, SpanKind="Client",
+             StatusCode="Error", SpanAttributes={"code": " 500"}, ResourceAttributes={"env": "late"}),
+        span("t1", "c", 12, "a", SpanName="job", ServiceName="worker", Duration=7 * MS, SpanKind="Odd",
+             SpanAttributes={"code": "1.5"},
+             Links=[("t0", "z", {}), ("", "y", {})]),
+        span("t2", "d", 13, "gone", SpanName="tail", ServiceName="web", Duration=1, StatusCode="Ok"),
+        span("", "e", 14, SpanName="lost"),
+    )
+
+
+def found(table, condition):
+    return sorted(r.SpanId for r in traces.match_spans(table, TraceQuery().where(condition), 0, 100).collect())
+
+
+@pytest.mark.parametrize(
+    ("condition", "expected"),
+    [
+        (TraceCondition.token("duration", TraceOp.GT, "5ms"), ["a", "c"]),
+        (TraceCondition.token("duration", TraceOp.GTE, "5ms"), ["a", "b", "c"]),
+        (TraceCondition.token("duration", TraceOp.LT, "1us"), ["d", "e"]),
+        (TraceCondition.token("duration", TraceOp.LTE, "1ns"), ["d", "e"]),
+        (TraceCondition.token("span.code", TraceOp.GTE, "500"), ["a"]),
+        (TraceCondition.token("span.code", TraceOp.LT, "1"), ["b", "c", "d", "e"]),
+        (TraceCondition.token("code", TraceOp.GT, "499.9"), ["a"]),
+        (TraceCondition("name", TraceOp.RE, "GET|job"), ["a", "c"]),
+        (TraceCondition("name", TraceOp.NRE, "GET|job"), ["b", "d", "e"]),
+        (TraceCondition.present("span.code"), ["a", "b", "c"]),
+        (TraceCondition.absent("span.code"), ["d", "e"]),
+        (TraceCondition.eq("span.x", "nil"), ["a"]),
+        (TraceCondition("span.code", TraceOp.NEQ, "500"), ["b", "c", "d", "e"]),
+        (TraceCondition.eq("span.code", ""), ["d", "e"]),
+        (TraceCondition.eq("resource.service.name", "worker"), ["c"]),
+        (TraceCondition.eq("resource.env", "prod"), ["a"]),
+        (TraceCondition.token("status", TraceOp.EQ, "error"), ["b"]),
+        (TraceCondition.token("status", TraceOp.NEQ, "ok"), ["a", "b", "c", "e"]),
+        (TraceCondition.token("kind", TraceOp.EQ, "server"), ["a"]),
+    ],
+)
+def test_conditions(table, condition, expected):
+    assert found(table, condition) == expected
+
+
+def test_search(table):
+    first, second = traces.search_traces(table, TraceQuery(), 0, 100).collect()
+    assert (first.trace_id, first.root_trace_name) == ("t2", "tail")
+    assert (second.trace_id, second.root_service_name, second.root_trace_name) == ("t1", "web", "GET /")
+    assert (second.duration_ms, second.started_at.timestamp()) == (50.0, 10.0)
+    assert [s.span_id for s in second.matched_spans] == ["a", "b", "c"]
+    assert second.matched_spans[1].attributes == {"code": " 500"}
+    assert [s.duration_ms for s in second.matched_spans] == [50.0, 5.0, 7.0]
+
+
+def test_search_limit_and_root_without_parentless_span(table):
+    assert [t.trace_id for t in traces.search_traces(table, TraceQuery(), 0, 100, limit=1).collect()] == ["t2"]
+    assert traces.search_traces(table, TraceQuery(), 0, 100, limit=0).count() == 0
+    children = TraceQuery().where(TraceCondition("name", TraceOp.NRE, "GET"))
+    t1 = [t for t in traces.search_traces(table, children, 0, 100).collect() if t.trace_id == "t1"][0]
+    assert (t1.root_trace_name, t1.duration_ms) == ("db.query", 5.0)
+
+
+def test_search_fetches_only_fifty_spans_per_trace(spark):
+    many = rows.spans(spark, *(span(f"t{i // 60}", f"s{i:03}", i) for i in range(120)))
+    (only,) = traces.search_traces(many, TraceQuery(), 0, 1000, limit=1).collect()
+    assert (only.trace_id, len(only.matched_spans)) == ("t1", 50)
+
+
+def test_waterfall(table):
+    a, b, c = traces.get_trace(table, "t1").collect()
+    assert (a.parent_span_id, a.kind, a.start_nano, a.end_nano) == (None, "server", 10 * S, 10 * S + 50 * MS)
+    assert (b.parent_span_id, b.has_error, a.has_error) == ("a", True, False)
+    assert (c.kind, [tuple(link) for link in c.links]) == ("unspecified", [("t0", "z")])
+    services = {r.service_name: r.attributes for r in traces.trace_services(table, "t1").collect()}
+    assert services == {"web": {"env": "prod"}, "worker": {}}
+
+
+@pytest.mark.parametrize(
+    ("tag", "values"),
+    [
+        ("service.name", ["web", "worker"]),
+        (".resource.service.name", ["web", "worker"]),
+        ("name", ["GET /", "db.query", "job", "lost", "tail"]),
+        ("resource.env", ["late", "prod"]),
+        ("span.code", [" 500", "1.5", "500"]),
+        ("..code", [" 500", "1.5", "500"]),
+        ("status", []),
+    ],
+)
+def test_tag_values(table, tag, values):
+    assert [r.value for r in traces.tag_values(table, tag).collect()] == values
+
+
+def test_tag_values_filters(table):
+    failed = TraceQuery().where(TraceCondition.token("status", TraceOp.EQ, "error"))
+    assert [r.value for r in traces.tag_values(table, "name", failed).collect()] == ["db.query"]
+    assert [r.value for r in traces.tag_values(table, "name", TraceQuery(raw="{}"), 13, 20).collect()] == ["lost", "tail"]
+    assert [r.value for r in traces.tag_values(table, "name", limit=2).collect()] == ["GET /", "db.query"]
+
+
+def statements(spark):
+    a, b = "select * from users where id = ?", "select * from orders where user_id = ?"
+    attributes = {"db.system.name": "mysql"}
+    calls = [(a, 4)] * 5 + [(b, 3)] * 2
+    return rows.spans(
+        spark,
+        *(
+            span(f"t{i}", f"s{i}", 60 + i, SpanName="db.query", Duration=ms * MS,
+                 SpanAttributes=attributes | {"db.query.text": text})
+            for i, (text, ms) in enumerate(calls)
+        ),
+    )
+
+
+def test_statement_ranking(spark):
+    ranking = SpanAggregation(
+        where=TraceQuery().where(TraceCondition.present("span.db.query.text")),
+        group_by="span.db.query.text",
+        carry=("span.db.system.name", "span.missing"),
+    )
+    for exact in (True, False):
+        first, second = aggregate_spans(statements(spark), ranking, 0, 100, exact=exact).collect()
+        assert (first.key, first["count"], second["count"]) == ("select * from users where id = ?", 5, 2)
+        assert (first.avg_ms, first.p95_ms, first.max_ms, first.total_ms) == (4.0, 4.0, 4.0, 20.0)
+        assert second.total_ms == 6.0
+        assert first.attributes == {"db.system.name": "mysql"}
+
+
+@pytest.mark.parametrize("sort", list(SpanSort))
+def test_every_sort_and_no_rows(spark, table, sort):
+    by_name = SpanAggregation(TraceQuery(), "name", sort=sort, limit=2)
+    top = aggregate_spans(table, by_name, 0, 100).collect()
+    assert len(top) == 2
+    if sort is SpanSort.CALLS:
+        assert [r.key for r in top] == ["GET /", "db.query"]
+    else:
+        assert [r.key for r in top] == ["GET /", "job"]
+    assert aggregate_spans(table, by_name, 200, 300).collect() == []
