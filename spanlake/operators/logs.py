@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 from spanlake.functions import attributes, predicates
 from spanlake.functions.times import Instant, time_range
 from spanlake.operators.distinct import distinct_values
+from spanlake.operators.newest import newest
 from spanlake.plans.queries import LogQuery, reject_raw
 
+ENTRY_COLUMNS = [
+    "TimestampNano",
+    "TraceId",
+    "SpanId",
+    "SeverityText",
+    "ServiceName",
+    "Body",
+    "ResourceAttributes",
+    "LogAttributes",
+]
+
 
 def match_logs(logs: DataFrame, query: LogQuery, start: Instant, end: Instant) -> DataFrame:
     """Every row in the time range that passes the stream matchers and all pipeline stages."""
@@ -24,23 +36,10 @@ def match_logs(logs: DataFrame, query: LogQuery, start: Instant, end: Instant) -
 
 def search_logs(logs: DataFrame, query: LogQuery, start: Instant, end: Instant, limit: int = 100) -> DataFrame:
     """The newest ``limit`` matching entries, oldest of them first: ``timestamp_nano, line, labels``."""
-    newest = (
-        match_logs(logs, query, start, end)
-        .select(
-            "TimestampNano",
-            "TraceId",
-            "SpanId",
-            "SeverityText",
-            "ServiceName",
-            "Body",
-            "ResourceAttributes",
-            "LogAttributes",
-        )
-        .orderBy(F.desc("TimestampNano"), "TraceId", "SpanId", "Body")
-        .limit(max(1, limit))
-    )
+    matched = match_logs(logs, query, start, end)
+    entries = newest(matched, max(1, limit), ENTRY_COLUMNS, ["TraceId", "SpanId", "Body"])
     # the label map is built for the kept rows only
-    return newest.orderBy("TimestampNano", F.desc("TraceId"), F.desc("SpanId"), F.desc("Body")).select(
+    return entries.orderBy("TimestampNano", F.desc("TraceId"), F.desc("SpanId"), F.desc("Body")).select(
         F.col("TimestampNano").alias("timestamp_nano"),
         F.col("Body").alias("line"),
         attributes.log_labels().alias("labels"),

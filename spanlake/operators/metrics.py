@@ -32,9 +32,11 @@ _HISTOGRAM_COLUMNS = {"count": "Count", "sum": "Sum"}
 
 @dataclass(frozen=True)
 class MetricTables:
-    sum: DataFrame
-    gauge: DataFrame
-    histogram: DataFrame
+    """The three point tables; a query reads one of them, so the others may be left out."""
+
+    sum: DataFrame | None = None
+    gauge: DataFrame | None = None
+    histogram: DataFrame | None = None
 
 
 def instant(tables: MetricTables, query: MetricQuery, at: Instant) -> DataFrame:

@@ -9,7 +9,7 @@ from spanlake.functions.attributes import carried_name
 from spanlake.plans.queries import SpanAggregation, SpanSort
 
 # a side is broadcast only when it is known to have no more rows than this
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 10_000
 
 MS = 1_000_000
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanlake.functions import attributes, predicates
 from spanlake.functions.times import Instant, seconds_of, time_range
 from spanlake.operators.distinct import MAX_VALUES, distinct_values
+from spanlake.operators.newest import newest
 from spanlake.plans.queries import TraceQuery, reject_raw
 
 # Spans fetched per wanted trace, spans shown per trace, span kinds known by name.
@@ -17,6 +18,17 @@ SPAN_KINDS = ("internal", "server", "client", "producer", "consumer")
 
 MS = 1_000_000
 
+SPAN_COLUMNS = [
+    "TraceId",
+    "SpanId",
+    "ParentSpanId",
+    "SpanName",
+    "ServiceName",
+    "TimestampNano",
+    "Duration",
+    "SpanAttributes",
+]
+
 
 def match_spans(traces: DataFrame, query: TraceQuery, start: Instant, end: Instant) -> DataFrame:
     """Every span in the time range that passes all conditions."""
@@ -34,14 +46,8 @@ def search_traces(traces: DataFrame, query: TraceQuery, start: Instant, end: Ins
     The newest ``50 * limit`` matched spans are fetched (a top-N, so only that many rows leave the scan) and folded into
     traces; the first ``limit`` traces are returned.
     """
-    candidates = (
-        match_spans(traces, query, start, end)
-        .select(
-            "TraceId", "SpanId", "ParentSpanId", "SpanName", "ServiceName", "TimestampNano", "Duration", "SpanAttributes"
-        )
-        .orderBy(F.desc("TimestampNano"), "TraceId", "SpanId")
-        .limit(max(1, limit * SPANS_PER_TRACE))
-    )
+    matched = match_spans(traces, query, start, end)
+    candidates = newest(matched, max(1, limit * SPANS_PER_TRACE), SPAN_COLUMNS, ["TraceId", "SpanId"])
     return fold_traces(candidates).orderBy(F.desc("last_nano"), "trace_id").limit(max(0, limit)).drop("last_nano")
 
 

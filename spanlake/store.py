@@ -8,6 +8,7 @@ from spanlake.functions.times import Instant
 from spanlake.operators import logs, metrics, rollup, spans, traces
 from spanlake.operators.metrics import MetricTables
 from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, TraceQuery
+from spanlake.plans.routing import metric_table
 from spanlake.schemas import TABLES
 from spanlake.session import configure
 from spanlake.sources import tables
@@ -107,18 +108,17 @@ class TelemetryStore:
 
     # metrics
 
-    def metric_tables(self) -> MetricTables:
+    def metric_tables(self, *kinds: str) -> MetricTables:
+        """The three point tables, or only those named."""
         return MetricTables(
-            sum=self.table("otel_metrics_sum"),
-            gauge=self.table("otel_metrics_gauge"),
-            histogram=self.table("otel_metrics_histogram"),
+            **{kind: self.table(f"otel_metrics_{kind}") for kind in kinds or ("sum", "gauge", "histogram")}
         )
 
     def metric(self, query: MetricQuery, at: Instant) -> DataFrame:
-        return metrics.instant(self.metric_tables(), query, at)
+        return metrics.instant(self.metric_tables(metric_table(query)), query, at)
 
     def metric_range(self, query: MetricQuery, start: Instant, end: Instant, step: int | None = None) -> DataFrame:
-        return metrics.range_query(self.metric_tables(), query, start, end, step)
+        return metrics.range_query(self.metric_tables(metric_table(query)), query, start, end, step)
 
     def metric_label_values(self, label: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
         return metrics.metric_label_values(self.table("otel_metrics_sum"), label, start, end)

@@ -105,6 +105,20 @@ def test_time_and_day_reach_the_scan(spark, root):
     assert "SeverityNumber" not in scan
 
 
+def test_wide_columns_are_read_from_the_newest_days_only(spark, root):
+    store = TelemetryStore(spark, root)
+    store.write_logs(some_logs(spark, 400, days=4))
+    found = store.search_logs(LogQuery(), 0, 10 * DAY, limit=3)
+    assert [r.line for r in found.collect()] == ["391", "395", "399"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    wide = [s for s in scans if "Body:string" in s]
+    narrow = [s for s in scans if "Body:string" not in s]
+    assert narrow and all("ReadSchema: struct<TimestampNano:bigint>" in s for s in narrow)
+    assert wide and all("ubquery" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in wide)
+    assert any("GreaterThanOrEqual(TimestampNano,ScalarSubquery" in s for s in wide)
+
+
 def promoted_store(spark, root):
     store = TelemetryStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
     store.install()
