@@ -162,7 +162,7 @@ def read_queries(store: TelemetryStore) -> dict:
 def ingest_jobs(spark: SparkSession, payloads: dict[str, str], work: str) -> dict:
     def job(signal: str) -> None:
         store = TelemetryStore(spark, tempfile.mkdtemp(prefix="ingest-", dir=work))
-        store.ingest(spark.read.text(payloads[signal]).toDF("raw"), signal)
+        store.ingest(spark.read.text(payloads[signal]).toDF("raw"), signal, cluster=False)
 
     return {f"ingest_{signal}": partial(job, signal) for signal in payloads}
 

@@ -25,7 +25,8 @@ BOUNDS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0]
 COARSE_BOUNDS = [10.0, 100.0]
 COARSE_SERVICE = "svc-6"
 
-PAYLOAD_EVENTS = 64
+# a payload holds the events of one resource among this many consecutive ones
+PAYLOAD_EVENTS = 1024
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -298,7 +299,7 @@ def _attributes(attributes: Column) -> Column:
 
 
 def _payloads(rows: DataFrame, envelope: str, scope: str, leaf: str, item: Column) -> DataFrame:
-    """One payload per resource and block, which holds at most 64 events."""
+    """One payload per resource and block of consecutive events, which bounds its size."""
     grouped = rows.groupBy(F.to_json("ResourceAttributes").alias("res"), "block")
     packed = grouped.agg(F.collect_list(item).alias(leaf))
     resource = F.struct(_attributes(F.from_json("res", "map<string,string>")).alias("attributes"))

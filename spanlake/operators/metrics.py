@@ -42,8 +42,7 @@ class MetricTables:
 def instant(tables: MetricTables, query: MetricQuery, at: Instant) -> DataFrame:
     """One row per label group: the ``by`` labels, ``timestamp`` and ``value``. Without labels, exactly one row."""
     reject_raw(query.raw, "PromQL")
-    end = epoch_seconds(at)
-    start = end - max(1, literals.window_seconds(query.window, LOOKBACK))
+    start, end = instant_range(query, at)
     points = _points(tables, query, start, end)
     by = list(query.by)
 
@@ -55,6 +54,12 @@ def instant(tables: MetricTables, query: MetricQuery, at: Instant) -> DataFrame:
     return values.select(*by, F.lit(float(end)).alias("timestamp"), "value")
 
 
+def instant_range(query: MetricQuery, at: Instant) -> tuple[int, int]:
+    """The points an instant query looks at: its window, or the default lookback, up to ``at``."""
+    end = epoch_seconds(at)
+    return end - max(1, literals.window_seconds(query.window, LOOKBACK)), end
+
+
 def range_query(
     tables: MetricTables, query: MetricQuery, start: Instant, end: Instant, step: int | None = None
 ) -> DataFrame:

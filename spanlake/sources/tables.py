@@ -51,9 +51,29 @@ def ensure_table(spark: SparkSession, root: str, table: str, promote: Promoted |
         empty.write.mode("append").partitionBy("day").parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, table: str, promote: Promoted | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    promote: Promoted | None = None,
+    start: Instant | None = None,
+    end: Instant | None = None,
+) -> DataFrame:
+    """The table, or with both bounds only its day directories in that range.
+
+    Spark lists every file below the paths it is given before it prunes partitions; naming the days keeps that listing as
+    short as the range. It does not filter rows, which stays with the operators.
+    """
     configure(spark)
-    return spark.read.schema(table_schema(table, promote)).parquet(f"{root}/{table}")
+    path = f"{root}/{table}"
+    reader = spark.read.schema(table_schema(table, promote))
+    if start is None or end is None:
+        return reader.parquet(path)
+    first, last = utc_day(epoch_seconds(start)), utc_day(epoch_seconds(end))
+    days = [name for name in subfolders(spark, path) if name.startswith("day=") and first <= _day_of(name) <= last]
+    if not days:
+        return spark.createDataFrame([], table_schema(table, promote))
+    return reader.option("basePath", path).parquet(*(f"{path}/{day}" for day in days))
 
 
 def append(
@@ -93,11 +113,15 @@ def apply_retention(spark: SparkSession, root: str, table: str, days: int, now:
     cutoff = _cutoff(days, now)
     expired = [name for name in subfolders(spark, path) if name.startswith("day=") and _day_of(name) < cutoff]
     for name in expired:
-        hadoop, target = _filesystem(spark, f"{path}/{name}")
-        hadoop.delete(target, True)
+        drop_folder(spark, f"{path}/{name}")
     return expired
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    hadoop, target = _filesystem(spark, path)
+    hadoop.delete(target, True)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     hadoop, target = _filesystem(spark, path)
     if not hadoop.exists(target):

@@ -30,8 +30,9 @@ class TelemetryStore:
             if table != rollup_stream.SUMMARY:
                 tables.ensure_table(self.spark, self.root, table, self.promote)
 
-    def table(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.root, name, self.promote)
+    def table(self, name: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
+        """A stored table; with both bounds at least its rows of that range."""
+        return tables.read_table(self.spark, self.root, name, self.promote, start, end)
 
     # writing
 
@@ -46,9 +47,9 @@ class TelemetryStore:
         tables.append(points.gauge, self.root, "otel_metrics_gauge", self.promote, **options)
         tables.append(points.histogram, self.root, "otel_metrics_histogram", self.promote, **options)
 
-    def ingest(self, raw: DataFrame, signal: str) -> None:
+    def ingest(self, raw: DataFrame, signal: str, **options) -> None:
         """OTLP/JSON payloads (column ``raw``) of ``logs``, ``traces`` or ``metrics`` into their tables."""
-        ingest.write_payloads(raw, self.root, signal, self.promote)
+        ingest.write_payloads(raw, self.root, signal, self.promote, **options)
 
     def follow_payloads(self, source: str, signal: str, checkpoint: str | None = None, **options):
         """Start the stream that ingests new payload files below ``source``."""
@@ -59,15 +60,15 @@ class TelemetryStore:
     # logs
 
     def search_logs(self, query: LogQuery, start: Instant, end: Instant, limit: int = 100) -> DataFrame:
-        return logs.search_logs(self.table("otel_logs"), query, start, end, limit)
+        return logs.search_logs(self.table("otel_logs", start, end), query, start, end, limit)
 
     def log_label_values(self, label: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        return logs.log_label_values(self.table("otel_logs"), label, start, end)
+        return logs.log_label_values(self.table("otel_logs", start, end), label, start, end)
 
     # traces
 
     def search_traces(self, query: TraceQuery, start: Instant, end: Instant, limit: int = 20) -> DataFrame:
-        return traces.search_traces(self.table("otel_traces"), query, start, end, limit)
+        return traces.search_traces(self.table("otel_traces", start, end), query, start, end, limit)
 
     def trace(self, trace_id: str) -> DataFrame:
         return traces.get_trace(self.table("otel_traces"), trace_id)
@@ -83,14 +84,14 @@ class TelemetryStore:
         end: Instant | None = None,
         limit: int = 0,
     ) -> DataFrame:
-        return traces.tag_values(self.table("otel_traces"), tag, filter, start, end, limit)
+        return traces.tag_values(self.table("otel_traces", start, end), tag, filter, start, end, limit)
 
     def aggregate_spans(
         self, aggregation: SpanAggregation, start: Instant, end: Instant, exact: bool = True
     ) -> DataFrame:
         """The statement ranking comes from the rollup where one exists, everything else from the spans."""
         return spans.aggregate_spans(
-            self.table("otel_traces"), aggregation, start, end, summary=self.summary(), exact=exact
+            self.table("otel_traces", start, end), aggregation, start, end, summary=self.summary(), exact=exact
         )
 
     # rollup
@@ -108,20 +109,19 @@ class TelemetryStore:
 
     # metrics
 
-    def metric_tables(self, *kinds: str) -> MetricTables:
-        """The three point tables, or only those named."""
-        return MetricTables(
-            **{kind: self.table(f"otel_metrics_{kind}") for kind in kinds or ("sum", "gauge", "histogram")}
-        )
+    def metric_tables(self, query: MetricQuery, start: Instant, end: Instant) -> MetricTables:
+        """The one table the query reads, in its time range."""
+        kind = metric_table(query)
+        return MetricTables(**{kind: self.table(f"otel_metrics_{kind}", start, end)})
 
     def metric(self, query: MetricQuery, at: Instant) -> DataFrame:
-        return metrics.instant(self.metric_tables(metric_table(query)), query, at)
+        return metrics.instant(self.metric_tables(query, *metrics.instant_range(query, at)), query, at)
 
     def metric_range(self, query: MetricQuery, start: Instant, end: Instant, step: int | None = None) -> DataFrame:
-        return metrics.range_query(self.metric_tables(metric_table(query)), query, start, end, step)
+        return metrics.range_query(self.metric_tables(query, start, end), query, start, end, step)
 
     def metric_label_values(self, label: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        return metrics.metric_label_values(self.table("otel_metrics_sum"), label, start, end)
+        return metrics.metric_label_values(self.table("otel_metrics_sum", start, end), label, start, end)
 
     # retention
 

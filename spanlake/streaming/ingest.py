@@ -16,8 +16,13 @@ from spanlake.sources import otlp, tables
 PARSERS = {"logs": otlp.parse_logs, "traces": otlp.parse_traces}
 
 
-def write_payloads(raw: DataFrame, root: str, signal: str, promote: tables.Promoted | None = None) -> None:
-    """Parse payloads of one signal (``logs``, ``traces``, ``metrics``), append the rows, set bad payloads aside."""
+def write_payloads(
+    raw: DataFrame, root: str, signal: str, promote: tables.Promoted | None = None, cluster: bool = True
+) -> None:
+    """Parse payloads of one signal (``logs``, ``traces``, ``metrics``), append the rows, set bad payloads aside.
+
+    Bad payloads are counted while the rows are written and read again only when there are any.
+    """
     bad = Observation()
     payloads = otlp.with_payload(raw).observe(bad, F.count_if(F.col("payload").isNull()).alias("n"))
     if signal == "metrics":
@@ -28,11 +33,11 @@ def write_payloads(raw: DataFrame, root: str, signal: str, promote: tables.Promo
                 ("otel_metrics_gauge", otlp.gauge_points(points)),
                 ("otel_metrics_histogram", otlp.histogram_points(points)),
             ):
-                tables.append(rows, root, table, promote, cluster=False)
+                tables.append(rows, root, table, promote, cluster=cluster)
         finally:
             points.unpersist()
     else:
-        tables.append(PARSERS[signal](payloads), root, f"otel_{signal}", promote, cluster=False)
+        tables.append(PARSERS[signal](payloads), root, f"otel_{signal}", promote, cluster=cluster)
     if bad.get["n"]:
         otlp.bad_payloads(raw).write.mode("append").text(f"{root}/rejected_{signal}")
 
@@ -60,6 +65,6 @@ def run_ingest_stream(
     return (
         payloads.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint or f"{shared_folder(spark)}/ingest-{signal}-progress")
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )

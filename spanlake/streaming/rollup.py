@@ -2,7 +2,10 @@
 
 Every micro-batch writes its own partial rows into a directory named after the batch, replacing it on a retry, so a lost
 executor or a restarted query never counts a span twice. No watermark: late spans simply add partial rows.
-``compact_into`` merges the many small directories into one generation.
+
+So that a rollup fed every minute does not end up in tens of thousands of small directories, each run of ``MERGE_EVERY``
+batches is merged into one directory named ``<first>-<last>``. Readers take a directory only when its write has committed
+and leave out batches a committed merge covers, so every state in between, a crash included, reads the same.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ SUMMARY = "otel_db_query_summary"
 BACKFILL = "backfill"
 COMPACTED = "compacted"
 
+# batches per merge: an hour of one-minute batches
+MERGE_EVERY = 60
+
 
 def write_batch(partial: DataFrame, root: str, batch: str) -> None:
     """Write one batch's partial rows; repeating a batch replaces it."""
@@ -34,11 +40,50 @@ def write_batch(partial: DataFrame, root: str, batch: str) -> None:
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame | None:
     """All partial rows, or None before the first batch."""
-    path = f"{root}/{SUMMARY}"
-    if not tables.exists(spark, path):
+    return _read(spark, root, visible_batches(spark, root))
+
+
+def visible_batches(spark: SparkSession, root: str) -> list[str]:
+    """The committed batch directories that no committed merge covers."""
+    folders = tables.subfolders(spark, f"{root}/{SUMMARY}")
+    committed = [name for name in folders if _committed(spark, root, name)]
+    merges = [_span(name) for name in committed if "-" in name]
+
+    def covered(name: str) -> bool:
+        return name.removeprefix("batch=").isdigit() and any(a <= _span(name)[0] <= b for a, b in merges)
+
+    return [name for name in committed if not covered(name)]
+
+
+def _span(name: str) -> tuple[int, int]:
+    first, _, last = name.removeprefix("batch=").partition("-")
+    return int(first), int(last or first)
+
+
+def _read(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | None:
+    if not batches:
         return None
     schema = T.StructType([*SUMMARY_SCHEMA.fields, T.StructField("batch", T.StringType())])
-    return spark.read.schema(schema).parquet(path).drop("batch")
+    path = f"{root}/{SUMMARY}"
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*(f"{path}/{name}" for name in batches)).drop("batch")
+
+
+def merge_batches(spark: SparkSession, root: str, first: int, last: int) -> None:
+    """Merge the batches of a run into one directory, then drop the merged ones. Safe to repeat."""
+    run = {f"batch={number}" for number in range(first, last + 1)}
+    merged = f"{first}-{last}"
+    if not _committed(spark, root, f"batch={merged}"):
+        rows = _read(spark, root, [name for name in visible_batches(spark, root) if name in run])
+        if rows is None:
+            return
+        write_batch(compact_rollup(rows), root, merged)
+    for name in run.intersection(tables.subfolders(spark, f"{root}/{SUMMARY}")):
+        tables.drop_folder(spark, f"{root}/{SUMMARY}/{name}")
+
+
+def _committed(spark: SparkSession, root: str, batch: str) -> bool:
+    return tables.exists(spark, f"{root}/{SUMMARY}/{batch}/_SUCCESS")
 
 
 def compact_into(spark: SparkSession, root: str, target_root: str) -> None:
@@ -63,18 +108,22 @@ def run_rollup_stream(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     files_per_batch: int | None = None,
+    merge_every: int = MERGE_EVERY,
 ):
-    """Start the streaming query. Its progress is kept in ``checkpoint``, by default below the shared folder."""
+    """Start the streaming query. Its progress is kept in ``checkpoint``, by default below the shared folder.
+
+    Batch numbers belong to one checkpoint: a stream that starts over needs an empty rollup.
+    """
     configure(spark)
-    # only what the rollup reads; the remaining columns stay on disk
-    schema = tables.table_schema("otel_traces")
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(tables.table_schema("otel_traces"))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     spans = reader.parquet(f"{root}/otel_traces")
 
     def add(batch: DataFrame, number: int) -> None:
         write_batch(rollup_partial(batch), root, str(number))
+        if (number + 1) % merge_every == 0:
+            merge_batches(batch.sparkSession, root, number + 1 - merge_every, number)
 
     return (
         spans.writeStream.foreachBatch(add)

@@ -70,6 +70,47 @@ def test_a_repeated_batch_replaces_itself(spark, root):
     assert rollup_stream.read_summary(spark, root).agg(F.sum("Calls")).first()[0] == 4
 
 
+def calls(spark, root):
+    return rollup_stream.read_summary(spark, root).agg(F.sum("Calls")).first()[0]
+
+
+def test_merged_batches_count_once_at_every_step(spark, root, tmp_path):
+    partial = rollup_partial(rows.spans(spark, db_span(1), db_span(2)))
+    for batch in range(4):
+        rollup_stream.write_batch(partial, root, str(batch))
+    folder = tmp_path / "store" / rollup_stream.SUMMARY
+
+    rollup_stream.merge_batches(spark, root, 0, 2)
+    assert rollup_stream.visible_batches(spark, root) == ["batch=0-2", "batch=3"]
+    assert calls(spark, root) == 8
+
+    # the last batch of a merged run is written again after a crash
+    rollup_stream.write_batch(partial, root, "2")
+    assert calls(spark, root) == 8
+    rollup_stream.merge_batches(spark, root, 0, 2)
+    assert sorted(p.name for p in folder.iterdir()) == ["batch=0-2", "batch=3"]
+    assert calls(spark, root) == 8
+
+    # a merge that did not commit is not read, and made again
+    (folder / "batch=3-3").mkdir()
+    assert calls(spark, root) == 8
+    rollup_stream.merge_batches(spark, root, 3, 3)
+    assert rollup_stream.visible_batches(spark, root) == ["batch=0-2", "batch=3-3"]
+    assert calls(spark, root) == 8
+
+
+def test_the_stream_merges_its_batches(spark, root, tmp_path):
+    store = TelemetryStore(spark, root)
+    store.install()
+    for i in range(5):
+        store.write_traces(rows.spans(spark, db_span(1, ms=i + 1)))
+        query = store.follow_traces(str(tmp_path / "progress"), trigger=ONCE, merge_every=2)
+        query.awaitTermination()
+    assert rollup_stream.visible_batches(spark, root) == ["batch=0-1", "batch=2-3", "batch=4"]
+    (row,) = store.aggregate_spans(RANKING, 0, 600).collect()
+    assert (row["count"], row.max_ms, row.total_ms) == (5, 5.0, 15.0)
+
+
 def test_late_spans_still_count(spark, root, tmp_path):
     store = TelemetryStore(spark, root)
     store.install()

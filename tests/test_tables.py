@@ -89,6 +89,19 @@ def test_retention_drops_whole_days(spark, root):
     assert store.apply_retention(now, days=3)["otel_logs"] == []
 
 
+def test_only_the_asked_days_are_listed(spark, root):
+    store = TelemetryStore(spark, root)
+    store.write_logs(some_logs(spark, 40, days=4))
+    whole, part = store.table("otel_logs"), store.table("otel_logs", DAY, 2 * DAY + 5)
+    assert sorted(str(r.day) for r in part.select("day").distinct().collect()) == ["1970-01-02", "1970-01-03"]
+    assert set(part.inputFiles()) < set(whole.inputFiles())
+    assert part.schema == whole.schema
+    nothing = store.table("otel_logs", 50 * DAY, 51 * DAY)
+    assert (nothing.count(), nothing.schema) == (0, whole.schema)
+    assert store.search_logs(LogQuery(), 50 * DAY, 51 * DAY).collect() == []
+    assert store.log_label_values("service_name", 50 * DAY, 51 * DAY).collect() == []
+
+
 def pushed(frame):
     text = frame._jdf.queryExecution().executedPlan().toString()
     return [line for line in text.splitlines() if "FileScan" in line][0]
