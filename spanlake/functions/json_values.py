@@ -15,17 +15,23 @@ NUMBER_TEXT = r"^[ \t\n\r\x0B\f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9
 BIGINT_MAX = 9223372036854775807
 
 
-def member(node: Column, name: str) -> Column:
-    return F.try_variant_get(node, f"$.{name}", "variant")
+# An attribute list as it is read from a payload.
+ATTRIBUTES = "array<struct<key variant, value variant>>"
 
 
-def fields(node: Column, *names: str) -> Column:
-    """The named members as one struct of variants; NULL when ``node`` is no object."""
-    return F.try_variant_get(node, "$", _members(names))
+def shape(**members: str) -> str:
+    """The type of a JSON object with the given members."""
+    return f"struct<{', '.join(f'{name} {kind}' for name, kind in members.items())}>"
 
 
-def _members(names: tuple[str, ...]) -> str:
-    return f"struct<{', '.join(f'{n} variant' for n in names)}>"
+def leaves(*names: str) -> dict[str, str]:
+    """Members whose own type is looked at later."""
+    return dict.fromkeys(names, "variant")
+
+
+def read(node: Column, path: str, kind: str) -> Column:
+    """The member at ``path`` in the given shape, in one pass. Parts of another shape are NULL."""
+    return F.try_variant_get(node, path, kind)
 
 
 def present(value: Column) -> Column:
@@ -33,24 +39,6 @@ def present(value: Column) -> Column:
     return F.when(~F.is_variant_null(value), value)
 
 
-def _elements(candidates: tuple[Column, ...], element: str) -> Column:
-    """The elements of the first candidate that is a list (or an object, whose values are taken); else no elements."""
-    options = []
-    for node in candidates:
-        options.append(F.try_variant_get(node, "$", f"array<{element}>"))
-        options.append(F.map_values(F.try_variant_get(node, "$", f"map<string,{element}>")))
-    return F.coalesce(*options, F.array().cast(f"array<{element}>"))
-
-
-def items(*candidates: Column) -> Column:
-    return _elements(candidates, "variant")
-
-
-def records(names: tuple[str, ...], *candidates: Column) -> Column:
-    """As ``items``, each element read as ``fields``: one pass over the list, NULL for elements that are no objects."""
-    return _elements(candidates, _members(names))
-
-
 def kind(value: Column) -> Column:
     """``STRING``, ``BIGINT``, ``DECIMAL(2,1)``, ``OBJECT<...>`` and so on."""
     return F.schema_of_variant(value)
@@ -95,19 +83,21 @@ def string(value: Column) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    """Loose truth: false, 0, ``""``, ``"0"``, null and absent are false."""
+    """Loose truth: false, 0, ``""``, ``"0"``, null, absent and empty are false."""
+    members = _plain(value, "map<string,variant>")
     return F.coalesce(
         F.when(kind(value) == "STRING", ~_plain(value, "string").isin("", "0"))
         .when(kind(value) == "BOOLEAN", _plain(value, "boolean"))
         .when(kind(value) == "VOID", F.lit(False))
         .otherwise(_plain(value, "double") != 0),
-        F.size(items(value)) > 0,
+        *(F.when(c.isNotNull(), F.size(c) > 0) for c in (_plain(value, "array<variant>"), members)),
+        F.lit(False),
     )
 
 
 def any_value(value: Column) -> Column:
     """An attribute value as text: the first known typed member, JSON text for nested values, bare scalars as they are."""
-    wrapped = fields(value, *ANY_VALUE_MEMBERS)
+    wrapped = _plain(value, shape(**leaves(*ANY_VALUE_MEMBERS)))
     text = (
         F.when(wrapped["stringValue"].isNotNull(), string(wrapped["stringValue"]))
         .when(wrapped["boolValue"].isNotNull(), truthy(wrapped["boolValue"]).cast("string"))
@@ -135,7 +125,7 @@ ANY_VALUE_MEMBERS = (
 def attribute_map(attributes: Column) -> Column:
     """``[{key, value}]`` as a map; entries without a usable key are skipped, of equal keys the last one wins."""
     entries = F.transform(
-        records(("key", "value"), attributes),
+        F.coalesce(attributes, F.array().cast(ATTRIBUTES)),
         lambda e: F.named_struct(
             F.lit("key"),
             F.when(kind(e["key"]) == "STRING", _plain(e["key"], "string")),

@@ -1,8 +1,9 @@
 """OTLP/JSON payloads (one JSON text per row in column ``raw``) to rows of the signal tables.
 
-Each payload is parsed once into a VARIANT and exploded level by level, in one stage without a shuffle. The resource
-attributes are flattened once per envelope, before its records are exploded, and carried along. Payloads of any shape
-give zero or more rows; those that are no JSON are found by ``bad_payloads``.
+Each payload is parsed once into a VARIANT, read in one pass into the nested shape of its signal (members whose type
+matters stay VARIANT) and exploded level by level, in one stage without a shuffle. The resource attributes are flattened once
+per envelope, before its records are exploded, and carried along. Payloads of any shape give zero or more rows; those that
+are no JSON are found by ``bad_payloads``.
 
 Works on batch and streaming DataFrames alike.
 """
@@ -38,6 +39,38 @@ STATUS_CODES = {
     "Error": (2, "STATUS_CODE_ERROR"),
 }
 
+LOG_RECORD = j.shape(
+    **j.leaves(
+        "timeUnixNano", "observedTimeUnixNano", "traceId", "spanId", "severityText", "severityNumber", "body"
+    ),
+    attributes=j.ATTRIBUTES,
+)
+
+SPAN_EVENT = j.shape(**j.leaves("timeUnixNano", "name"), attributes=j.ATTRIBUTES)
+SPAN_LINK = j.shape(**j.leaves("traceId", "spanId"), attributes=j.ATTRIBUTES)
+SPAN = j.shape(
+    **j.leaves(
+        "traceId", "spanId", "parentSpanId", "name", "kind", "startTimeUnixNano", "endTimeUnixNano"
+    ),
+    status=j.shape(**j.leaves("code", "message")),
+    attributes=j.ATTRIBUTES,
+    events=f"array<{SPAN_EVENT}>",
+    links=f"array<{SPAN_LINK}>",
+)
+
+POINT = j.shape(
+    **j.leaves("timeUnixNano", "startTimeUnixNano", "asInt", "asDouble", "count", "sum"),
+    attributes=j.ATTRIBUTES,
+    bucketCounts="array<variant>",
+    bucket_counts="array<variant>",
+    explicitBounds="array<variant>",
+    explicit_bounds="array<variant>",
+)
+POINTS = j.shape(
+    **j.leaves("isMonotonic", "aggregationTemporality"), dataPoints=f"array<{POINT}>", data_points=f"array<{POINT}>"
+)
+METRIC = j.shape(**j.leaves("name", "unit"), **dict.fromkeys(KINDS, POINTS))
+
 
 def with_payload(raw: DataFrame) -> DataFrame:
     """``raw`` with the parsed ``payload`` next to it, NULL where the text is no JSON. The parsers accept either form."""
@@ -50,11 +83,8 @@ def bad_payloads(raw: DataFrame) -> DataFrame:
 
 
 def parse_logs(raw: DataFrame) -> DataFrame:
-    names = (
-        "timeUnixNano", "observedTimeUnixNano", "traceId", "spanId", "severityText", "severityNumber", "body", "attributes"
-    )
     scopes = ("scopeLogs", "instrumentationLibraryLogs")
-    rows = _records(raw, "resourceLogs", scopes, ("logRecords", "log_records"), names).where("r IS NOT NULL")
+    rows = _records(raw, "resourceLogs", scopes, ("logRecords", "log_records"), LOG_RECORD).where("r IS NOT NULL")
     nanos = j.integer(F.coalesce(j.present(F.col("r.timeUnixNano")), j.present(F.col("r.observedTimeUnixNano"))))
     return _typed(
         rows.select("resource", "service", "r", nanos.alias("nanos")),
@@ -71,19 +101,14 @@ def parse_logs(raw: DataFrame) -> DataFrame:
 
 
 def parse_traces(raw: DataFrame) -> DataFrame:
-    names = (
-        "traceId", "spanId", "parentSpanId", "name", "kind", "startTimeUnixNano", "endTimeUnixNano", "status",
-        "attributes", "events", "links",
-    )
     scopes = ("scopeSpans", "instrumentationLibrarySpans")
-    rows = _records(raw, "resourceSpans", scopes, ("spans",), names).where("r IS NOT NULL")
+    rows = _records(raw, "resourceSpans", scopes, ("spans",), SPAN).where("r IS NOT NULL")
     rows = rows.select(
         "resource",
         "service",
         "r",
         j.integer(F.col("r.startTimeUnixNano")).alias("nanos"),
         j.integer(F.col("r.endTimeUnixNano")).alias("end"),
-        j.fields(F.col("r.status"), "code", "message").alias("status"),
     )
     return _typed(
         rows,
@@ -96,8 +121,8 @@ def parse_traces(raw: DataFrame) -> DataFrame:
             "SpanKind": _enum(F.col("r.kind"), SPAN_KINDS, "Unspecified"),
             "SpanAttributes": j.attribute_map(F.col("r.attributes")),
             "Duration": F.greatest(F.try_subtract("end", "nanos"), F.lit(0).cast("bigint")),
-            "StatusCode": _enum(F.col("status.code"), STATUS_CODES, "Unset"),
-            "StatusMessage": j.string(F.col("status.message")),
+            "StatusCode": _enum(F.col("r.status.code"), STATUS_CODES, "Unset"),
+            "StatusMessage": j.string(F.col("r.status.message")),
             "Events": _span_events(F.col("r.events")),
             "Links": _span_links(F.col("r.links")),
         },
@@ -117,17 +142,11 @@ def parse_metrics(raw: DataFrame) -> MetricTables:
 def metric_points(raw: DataFrame) -> DataFrame:
     """One row per data point of any kind: ``resource, service, kind, name, temporality, monotonic, p`` (the point)."""
     scopes = ("scopeMetrics", "instrumentationLibraryMetrics")
-    metrics = _records(raw, "resourceMetrics", scopes, ("metrics",), ("name", "unit", *KINDS))
-    members = ("dataPoints", "data_points", "isMonotonic", "aggregationTemporality")
-    data = {kind: j.fields(F.col(f"r.{kind}"), *members) for kind in KINDS}
-    rows = metrics.select("*", F.coalesce(*data.values()).alias("d")).where("d IS NOT NULL")
-    kind = F.coalesce(*(F.when(column.isNotNull(), kind) for kind, column in data.items()))
-    rows = rows.withColumn("kind", kind)
+    rows = _records(raw, "resourceMetrics", scopes, ("metrics",), METRIC)
+    kind = F.coalesce(*(F.when(F.col(f"r.{kind}").isNotNull(), kind) for kind in KINDS))
+    data = F.coalesce(*(F.col(f"r.{kind}") for kind in KINDS))
+    rows = rows.select("*", kind.alias("kind"), data.alias("d")).where("kind IS NOT NULL")
     rows = rows.withColumn("monotonic", (F.col("kind") == "sum") & j.truthy(F.col("d.isMonotonic")))
-    names = (
-        "timeUnixNano", "startTimeUnixNano", "attributes", "asInt", "asDouble", "count", "sum", "bucketCounts",
-        "bucket_counts", "explicitBounds", "explicit_bounds",
-    )
     return rows.select(
         "resource",
         "service",
@@ -135,7 +154,7 @@ def metric_points(raw: DataFrame) -> DataFrame:
         prom_name(j.string(F.col("r.name")), j.string(F.col("r.unit")), F.col("monotonic")).alias("name"),
         _int32(j.integer(F.col("d.aggregationTemporality"))).alias("temporality"),
         "monotonic",
-        F.explode(j.records(names, F.col("d.dataPoints"), F.col("d.data_points"))).alias("p"),
+        F.explode(F.coalesce("d.dataPoints", "d.data_points")).alias("p"),
     )
 
 
@@ -156,8 +175,8 @@ def histogram_points(points: DataFrame) -> DataFrame:
         {
             "Count": j.integer(F.col("p.count")),
             "Sum": j.number(F.col("p.sum")),
-            "BucketCounts": F.transform(j.items(F.col("p.bucketCounts"), F.col("p.bucket_counts")), j.integer),
-            "ExplicitBounds": F.transform(j.items(F.col("p.explicitBounds"), F.col("p.explicit_bounds")), j.number),
+            "BucketCounts": F.transform(_list("p.bucketCounts", "p.bucket_counts"), j.integer),
+            "ExplicitBounds": F.transform(_list("p.explicitBounds", "p.explicit_bounds"), j.number),
             "AggregationTemporality": F.col("temporality"),
         },
     )
@@ -184,21 +203,25 @@ def _value() -> Column:
     return F.when(F.col("p.asInt").isNotNull(), j.number(F.col("p.asInt"))).otherwise(j.number(F.col("p.asDouble")))
 
 
-def _records(
-    raw: DataFrame, envelope: str, scopes: tuple[str, ...], leaves: tuple[str, ...], names: tuple[str, ...]
-) -> DataFrame:
-    """``resource`` (attribute map), ``service`` and ``r`` (the named members), one row per innermost list element."""
+def _list(*spellings: str) -> Column:
+    return F.coalesce(*spellings, F.array().cast("array<variant>"))
+
+
+def _records(raw: DataFrame, envelope: str, scopes: tuple[str, ...], leaves: tuple[str, ...], record: str) -> DataFrame:
+    """``resource`` (attribute map), ``service`` and ``r`` (of shape ``record``), one row per innermost list element."""
     configure(raw.sparkSession)
-    lists = j.member(F.col("payload"), envelope)
-    envelopes = with_payload(raw).select(F.explode(j.records(("resource", *scopes), lists)).alias("e"))
+    scope = j.shape(**dict.fromkeys(leaves, f"array<{record}>"))
+    kind = j.shape(resource=j.shape(attributes=j.ATTRIBUTES), **dict.fromkeys(scopes, f"array<{scope}>"))
+    lists = j.read(F.col("payload"), f"$.{envelope}", f"array<{kind}>")
+    envelopes = with_payload(raw).select(F.explode(lists).alias("e"))
     resources = envelopes.select(
-        j.attribute_map(j.member(F.col("e.resource"), "attributes")).alias("resource"),
-        F.explode(j.records(leaves, *(F.col(f"e.{s}") for s in scopes))).alias("s"),
+        j.attribute_map(F.col("e.resource.attributes")).alias("resource"),
+        F.explode(F.coalesce(*(f"e.{s}" for s in scopes))).alias("s"),
     )
     return resources.select(
         "resource",
         F.coalesce(F.col("resource")["service.name"], F.lit(DEFAULT_SERVICE)).alias("service"),
-        F.explode(j.records(names, *(F.col(f"s.{leaf}") for leaf in leaves))).alias("r"),
+        F.explode(F.coalesce(*(f"s.{leaf}" for leaf in leaves))).alias("r"),
     )
 
 
@@ -237,7 +260,7 @@ def _span_events(events: Column) -> Column:
             j.attribute_map(e["attributes"]).alias("Attributes"),
         )
 
-    return F.transform(_objects(("timeUnixNano", "name", "attributes"), events), event)
+    return F.transform(_objects(events, SPAN_EVENT), event)
 
 
 def _span_links(links: Column) -> Column:
@@ -248,8 +271,8 @@ def _span_links(links: Column) -> Column:
             j.attribute_map(e["attributes"]).alias("Attributes"),
         )
 
-    return F.transform(_objects(("traceId", "spanId", "attributes"), links), link)
+    return F.transform(_objects(links, SPAN_LINK), link)
 
 
-def _objects(names: tuple[str, ...], node: Column) -> Column:
-    return F.filter(j.records(names, node), lambda e: e.isNotNull())
+def _objects(elements: Column, kind: str) -> Column:
+    return F.filter(F.coalesce(elements, F.array().cast(f"array<{kind}>")), lambda e: e.isNotNull())

@@ -284,6 +284,16 @@ def test_number_points(spark, point, value):
     assert row.Value == value
 
 
+@pytest.mark.parametrize(
+    ("flag", "expected"),
+    [(True, True), (False, False), (1, True), (0, False), (0.0, False), (0.5, True), ("true", True), ("false", True),
+     ("0", False), ("", False), (None, False), ([], False), ([0], True), ({}, False), ({"a": 0}, True)],
+)
+def test_monotonic_flag_is_read_loosely(spark, flag, expected):
+    (row,) = metrics(spark, {"name": "m", "sum": {"isMonotonic": flag, "dataPoints": [{}]}}).sum.collect()
+    assert (row.IsMonotonic, row.MetricName) == (expected, "m_total" if expected else "m")
+
+
 def test_first_metric_kind_wins_and_only_sums_are_totals(spark):
     both = {"name": "m", "sum": {"isMonotonic": False, "dataPoints": [{}]}, "gauge": {"dataPoints": [{}]}}
     out = metrics(spark, both)
