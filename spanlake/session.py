@@ -28,10 +28,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only where the cluster names none (local tests) a local folder is chosen and remembered.
+    A local session that names none (tests) gets a local folder, which is remembered.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="spanlake-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

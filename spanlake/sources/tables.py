@@ -70,7 +70,7 @@ def read_table(
     if start is None or end is None:
         return reader.parquet(path)
     first, last = utc_day(epoch_seconds(start)), utc_day(epoch_seconds(end))
-    days = [name for name in subfolders(spark, path) if name.startswith("day=") and first <= _day_of(name) <= last]
+    days = [name for name in names(spark, path) if name.startswith("day=") and first <= _day_of(name) <= last]
     if not days:
         return spark.createDataFrame([], table_schema(table, promote))
     return reader.option("basePath", path).parquet(*(f"{path}/{day}" for day in days))
@@ -111,22 +111,29 @@ def apply_retention(spark: SparkSession, root: str, table: str, days: int, now:
     """Drop the partition directories of expired days and return their names. No data file is read."""
     path = f"{root}/{table}"
     cutoff = _cutoff(days, now)
-    expired = [name for name in subfolders(spark, path) if name.startswith("day=") and _day_of(name) < cutoff]
+    expired = [name for name in names(spark, path) if name.startswith("day=") and _day_of(name) < cutoff]
     for name in expired:
-        drop_folder(spark, f"{path}/{name}")
+        drop(spark, f"{path}/{name}")
     return expired
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a file or directory, if it exists."""
     hadoop, target = _filesystem(spark, path)
     hadoop.delete(target, True)
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
+def touch(spark: SparkSession, path: str) -> None:
+    hadoop, target = _filesystem(spark, path)
+    hadoop.create(target, True).close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a directory holds; nothing if it does not exist."""
     hadoop, target = _filesystem(spark, path)
     if not hadoop.exists(target):
         return []
-    return sorted(s.getPath().getName() for s in hadoop.listStatus(target) if s.isDirectory())
+    return sorted(status.getPath().getName() for status in hadoop.listStatus(target))
 
 
 def _day_of(partition: str) -> dt.date:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from spanlake.functions.times import Instant
 from spanlake.operators import logs, metrics, rollup, spans, traces
 from spanlake.operators.metrics import MetricTables
-from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, TraceQuery
-from spanlake.plans.routing import metric_table
+from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, TraceQuery, reject_raw
+from spanlake.plans.routing import metric_table, rollup_answers
 from spanlake.schemas import TABLES
 from spanlake.session import configure
 from spanlake.sources import tables
@@ -90,9 +90,11 @@ class TelemetryStore:
         self, aggregation: SpanAggregation, start: Instant, end: Instant, exact: bool = True
     ) -> DataFrame:
         """The statement ranking comes from the rollup where one exists, everything else from the spans."""
-        return spans.aggregate_spans(
-            self.table("otel_traces", start, end), aggregation, start, end, summary=self.summary(), exact=exact
-        )
+        reject_raw(aggregation.where.raw, "TraceQL")
+        summary = self.summary() if rollup_answers(aggregation) else None
+        if summary is not None:
+            return rollup.rollup_query(summary, aggregation, start, end)
+        return spans.aggregate_spans(self.table("otel_traces", start, end), aggregation, start, end, exact=exact)
 
     # rollup
 

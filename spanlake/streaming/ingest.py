@@ -7,8 +7,7 @@ record is written again: delivery is at least once, as with a client that repeat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from spanlake.session import configure, shared_folder
 from spanlake.sources import otlp, tables
@@ -19,14 +18,9 @@ PARSERS = {"logs": otlp.parse_logs, "traces": otlp.parse_traces}
 def write_payloads(
     raw: DataFrame, root: str, signal: str, promote: tables.Promoted | None = None, cluster: bool = True
 ) -> None:
-    """Parse payloads of one signal (``logs``, ``traces``, ``metrics``), append the rows, set bad payloads aside.
-
-    Bad payloads are counted while the rows are written and read again only when there are any.
-    """
-    bad = Observation()
-    payloads = otlp.with_payload(raw).observe(bad, F.count_if(F.col("payload").isNull()).alias("n"))
+    """Parse payloads of one signal (``logs``, ``traces``, ``metrics``), append the rows, set bad payloads aside."""
     if signal == "metrics":
-        points = otlp.metric_points(payloads).persist()
+        points = otlp.metric_points(raw).persist()
         try:
             for table, rows in (
                 ("otel_metrics_sum", otlp.sum_points(points)),
@@ -37,9 +31,10 @@ def write_payloads(
         finally:
             points.unpersist()
     else:
-        tables.append(PARSERS[signal](payloads), root, f"otel_{signal}", promote, cluster=cluster)
-    if bad.get["n"]:
-        otlp.bad_payloads(raw).write.mode("append").text(f"{root}/rejected_{signal}")
+        tables.append(PARSERS[signal](raw), root, f"otel_{signal}", promote, cluster=cluster)
+    rejected = otlp.bad_payloads(raw)
+    if not rejected.isEmpty():
+        rejected.write.mode("append").text(f"{root}/rejected_{signal}")
 
 
 def run_ingest_stream(

@@ -4,8 +4,8 @@ Every micro-batch writes its own partial rows into a directory named after the b
 executor or a restarted query never counts a span twice. No watermark: late spans simply add partial rows.
 
 So that a rollup fed every minute does not end up in tens of thousands of small directories, each run of ``MERGE_EVERY``
-batches is merged into one directory named ``<first>-<last>``. Readers take a directory only when its write has committed
-and leave out batches a committed merge covers, so every state in between, a crash included, reads the same.
+batches is merged into one directory named ``<first>-<last>``. Readers take the batches marked complete and leave out those
+a complete merge covers, so every state in between, a crash included, reads the same.
 """
 
 from __future__ import annotations
@@ -24,18 +24,25 @@ SUMMARY = "otel_db_query_summary"
 BACKFILL = "backfill"
 COMPACTED = "compacted"
 
+# one empty file per complete batch; a single listing shows them all
+COMPLETE = "_complete"
+
 # batches per merge: an hour of one-minute batches
 MERGE_EVERY = 60
 
 
 def write_batch(partial: DataFrame, root: str, batch: str) -> None:
-    """Write one batch's partial rows; repeating a batch replaces it."""
+    """Write one batch's partial rows; repeating a batch replaces it. Readers see it once it is complete."""
+    spark = partial.sparkSession
+    marker = f"{root}/{SUMMARY}/{COMPLETE}/{batch}"
+    tables.drop(spark, marker)
     (
         partial.sortWithinPartitions("day", *TABLES[SUMMARY][1])
         .write.mode("overwrite")
         .partitionBy("day")
         .parquet(f"{root}/{SUMMARY}/batch={batch}")
     )
+    tables.touch(spark, marker)
 
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame | None:
@@ -44,20 +51,14 @@ def read_summary(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def visible_batches(spark: SparkSession, root: str) -> list[str]:
-    """The committed batch directories that no committed merge covers."""
-    folders = tables.subfolders(spark, f"{root}/{SUMMARY}")
-    committed = [name for name in folders if _committed(spark, root, name)]
-    merges = [_span(name) for name in committed if "-" in name]
+    """The complete batches that no complete merge covers."""
+    complete = tables.names(spark, f"{root}/{SUMMARY}/{COMPLETE}")
+    merges = [tuple(map(int, name.split("-"))) for name in complete if "-" in name]
 
     def covered(name: str) -> bool:
-        return name.removeprefix("batch=").isdigit() and any(a <= _span(name)[0] <= b for a, b in merges)
-
-    return [name for name in committed if not covered(name)]
-
+        return name.isdigit() and any(first <= int(name) <= last for first, last in merges)
 
-def _span(name: str) -> tuple[int, int]:
-    first, _, last = name.removeprefix("batch=").partition("-")
-    return int(first), int(last or first)
+    return [name for name in complete if not covered(name)]
 
 
 def _read(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | None:
@@ -66,24 +67,22 @@ def _read(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | Non
     schema = T.StructType([*SUMMARY_SCHEMA.fields, T.StructField("batch", T.StringType())])
     path = f"{root}/{SUMMARY}"
     reader = spark.read.schema(schema).option("basePath", path)
-    return reader.parquet(*(f"{path}/{name}" for name in batches)).drop("batch")
+    return reader.parquet(*(f"{path}/batch={name}" for name in batches)).drop("batch")
 
 
 def merge_batches(spark: SparkSession, root: str, first: int, last: int) -> None:
     """Merge the batches of a run into one directory, then drop the merged ones. Safe to repeat."""
-    run = {f"batch={number}" for number in range(first, last + 1)}
+    run = {str(number) for number in range(first, last + 1)}
     merged = f"{first}-{last}"
-    if not _committed(spark, root, f"batch={merged}"):
-        rows = _read(spark, root, [name for name in visible_batches(spark, root) if name in run])
+    visible = visible_batches(spark, root)
+    if merged not in visible:
+        rows = _read(spark, root, [name for name in visible if name in run])
         if rows is None:
             return
         write_batch(compact_rollup(rows), root, merged)
-    for name in run.intersection(tables.subfolders(spark, f"{root}/{SUMMARY}")):
-        tables.drop_folder(spark, f"{root}/{SUMMARY}/{name}")
-
-
-def _committed(spark: SparkSession, root: str, batch: str) -> bool:
-    return tables.exists(spark, f"{root}/{SUMMARY}/{batch}/_SUCCESS")
+    for name in run.intersection(tables.names(spark, f"{root}/{SUMMARY}/{COMPLETE}")):
+        tables.drop(spark, f"{root}/{SUMMARY}/batch={name}")
+        tables.drop(spark, f"{root}/{SUMMARY}/{COMPLETE}/{name}")
 
 
 def compact_into(spark: SparkSession, root: str, target_root: str) -> None:
@@ -97,7 +96,8 @@ def apply_retention(spark: SparkSession, root: str, days: int, now: Instant) ->
     """Drop the expired day directories of every batch."""
     return [
         f"{batch}/{day}"
-        for batch in tables.subfolders(spark, f"{root}/{SUMMARY}")
+        for batch in tables.names(spark, f"{root}/{SUMMARY}")
+        if batch.startswith("batch=")
         for day in tables.apply_retention(spark, f"{root}/{SUMMARY}", batch, days, now)
     ]
 

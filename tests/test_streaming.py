@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 import rows
@@ -12,6 +13,7 @@ from spanlake.checks import adapters
 from spanlake.checks.adapters import END, START
 from spanlake.operators.rollup import rollup_partial
 from spanlake.plans.queries import SpanAggregation, SpanSort, TraceCondition, TraceOp, TraceQuery
+from spanlake.sources import tables
 from spanlake.streaming import rollup as rollup_stream
 
 ONCE = {"availableNow": True}
@@ -81,21 +83,21 @@ def test_merged_batches_count_once_at_every_step(spark, root, tmp_path):
     folder = tmp_path / "store" / rollup_stream.SUMMARY
 
     rollup_stream.merge_batches(spark, root, 0, 2)
-    assert rollup_stream.visible_batches(spark, root) == ["batch=0-2", "batch=3"]
+    assert rollup_stream.visible_batches(spark, root) == ["0-2", "3"]
     assert calls(spark, root) == 8
 
     # the last batch of a merged run is written again after a crash
     rollup_stream.write_batch(partial, root, "2")
     assert calls(spark, root) == 8
     rollup_stream.merge_batches(spark, root, 0, 2)
-    assert sorted(p.name for p in folder.iterdir()) == ["batch=0-2", "batch=3"]
+    assert sorted(p.name for p in folder.glob("batch=*")) == ["batch=0-2", "batch=3"]
     assert calls(spark, root) == 8
 
     # a merge that did not commit is not read, and made again
     (folder / "batch=3-3").mkdir()
     assert calls(spark, root) == 8
     rollup_stream.merge_batches(spark, root, 3, 3)
-    assert rollup_stream.visible_batches(spark, root) == ["batch=0-2", "batch=3-3"]
+    assert rollup_stream.visible_batches(spark, root) == ["0-2", "3-3"]
     assert calls(spark, root) == 8
 
 
@@ -106,7 +108,7 @@ def test_the_stream_merges_its_batches(spark, root, tmp_path):
         store.write_traces(rows.spans(spark, db_span(1, ms=i + 1)))
         query = store.follow_traces(str(tmp_path / "progress"), trigger=ONCE, merge_every=2)
         query.awaitTermination()
-    assert rollup_stream.visible_batches(spark, root) == ["batch=0-1", "batch=2-3", "batch=4"]
+    assert rollup_stream.visible_batches(spark, root) == ["0-1", "2-3", "4"]
     (row,) = store.aggregate_spans(RANKING, 0, 600).collect()
     assert (row["count"], row.max_ms, row.total_ms) == (5, 5.0, 15.0)
 
@@ -173,6 +175,23 @@ def test_payload_files_become_rows(spark, root, tmp_path):
     assert [r.value for r in spark.read.text(f"{root}/rejected_logs").collect()] == ["{broken"]
 
 
+@pytest.mark.parametrize("signal", ["logs", "traces", "metrics"])
+def test_no_payloads_at_all(spark, root, signal):
+    store = TelemetryStore(spark, root)
+    store.install()
+    store.ingest(spark.createDataFrame([], "raw string"), signal)
+    store.ingest(spark.createDataFrame([("{broken",)], "raw string").where("raw = 'x'"), signal)
+    assert not (tables.names(spark, f"{root}/rejected_{signal}"))
+
+
+def test_only_bad_payloads(spark, root):
+    store = TelemetryStore(spark, root)
+    store.install()
+    store.ingest(spark.createDataFrame([("{broken",), ("[",)], "raw string").repartition(3), "logs")
+    assert store.table("otel_logs").count() == 0
+    assert spark.read.text(f"{root}/rejected_logs").count() == 2
+
+
 def test_metric_payloads_are_parsed_once_for_three_tables(spark, root):
     store = TelemetryStore(spark, root)
     kinds = {
