@@ -88,7 +88,10 @@ def span_condition(df: DataFrame, condition: TraceCondition) -> Column:
         return _compare(number, condition.op, literals.integer(condition.value))
 
     if condition.field == "duration":
-        raise UnsupportedQuery("duration can only be compared with > >= < <=")
+        if condition.op not in (TraceOp.EQ, TraceOp.NEQ) or not condition.value.isdecimal():
+            raise UnsupportedQuery("duration can be compared by order, or for equality with whole nanoseconds")
+        same = F.col("Duration") == int(condition.value)
+        return same if condition.op is TraceOp.EQ else ~same
 
     if condition.op in (TraceOp.RE, TraceOp.NRE):
         matched = regex(attributes.span_field(df, condition.field), condition.value)

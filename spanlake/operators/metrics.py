@@ -9,7 +9,9 @@ histogram buckets are summed over the time span, not subtracted.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,14 +46,8 @@ def instant(tables: MetricTables, query: MetricQuery, at: Instant) -> DataFrame:
     reject_raw(query.raw, "PromQL")
     start, end = instant_range(query, at)
     points = _points(tables, query, start, end)
-    by = list(query.by)
-
-    if query.quantile is not None:
-        values = quantiles.histogram_quantile(sum_buckets(points, by), by, query.quantile)
-    else:
-        value = F.coalesce(_instant_value(query).cast("double"), F.lit(0.0))
-        values = points.groupBy(*by).agg(_scaled(query, value).alias("value"))
-    return values.select(*by, F.lit(float(end)).alias("timestamp"), "value")
+    values = _values(points, query, _label_columns(query), _instant_value)
+    return values.select(*_named_labels(query), F.lit(float(end)).alias("timestamp"), "value")
 
 
 def instant_range(query: MetricQuery, at: Instant) -> tuple[int, int]:
@@ -67,15 +63,29 @@ def range_query(
     reject_raw(query.raw, "PromQL")
     first, last = epoch_seconds(start), epoch_seconds(end)
     step = auto_step(first, last) if step is None else step
+    if step < 1:
+        raise UnsupportedQuery("a step has at least one second")
     points = _points(tables, query, first, last).withColumn("t", _time_bucket(step))
-    by = [*query.by, "t"]
+    values = _values(points, query, [*_label_columns(query), "t"], partial(_range_value, step=step))
+    return values.select(*_named_labels(query), "t", "value")
 
+
+def _values(
+    points: DataFrame, query: MetricQuery, keys: list[str], aggregate: Callable[[MetricQuery], Column]
+) -> DataFrame:
     if query.quantile is not None:
-        values = quantiles.histogram_quantile(sum_buckets(points, by), by, query.quantile)
-    else:
-        value = F.coalesce(_range_value(query, step).cast("double"), F.lit(0.0))
-        values = points.groupBy(*by).agg(_scaled(query, value).alias("value"))
-    return values.select(*by, "value")
+        return quantiles.histogram_quantile(sum_buckets(points, keys), keys, query.quantile)
+    value = F.coalesce(aggregate(query).cast("double"), F.lit(0.0))
+    return points.groupBy(*keys).agg(_scaled(query, value).alias("value"))
+
+
+def _label_columns(query: MetricQuery) -> list[str]:
+    """Working names of the labels; the labels themselves may hold dots or be called ``value``."""
+    return [f"by_{i}" for i in range(len(query.by))]
+
+
+def _named_labels(query: MetricQuery) -> list[Column]:
+    return [F.col(column).alias(label) for column, label in zip(_label_columns(query), query.by)]
 
 
 def auto_step(start: int, end: int) -> int:
@@ -84,7 +94,7 @@ def auto_step(start: int, end: int) -> int:
 
 def to_series(points: DataFrame, by: list[str]) -> DataFrame:
     """One row per label set with its points in time order; a series has at most one point per step."""
-    return points.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("points"))
+    return points.groupBy(*(F.col(f"`{label}`") for label in by)).agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("points"))
 
 
 def sum_buckets(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,9 +131,10 @@ def _points(tables: MetricTables, query: MetricQuery, start: int, end: int) -> D
         *(predicates.metric_matcher(table, m) for m in matchers),
     ]
     points = table.where(predicates.all_of(conditions))
-    labels = {label: attributes.metric_label(points, label) for label in query.by}
+    labels = zip(_label_columns(query), query.by)
     measured = [c for c in ("Value", "Count", "Sum", "BucketCounts", "ExplicitBounds") if c in points.columns]
-    return points.select(*(value.alias(label) for label, value in labels.items()), "TimestampNano", *measured)
+    keys = [attributes.metric_label(points, label).alias(column) for column, label in labels]
+    return points.select(*keys, "TimestampNano", *measured)
 
 
 def _instant_value(query: MetricQuery) -> Column:

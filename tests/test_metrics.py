@@ -139,6 +139,20 @@ def test_series(tables):
     assert series == {"a": [(0, 6.0), (60, 0.0)], "b": [(0, 3.0)]}
 
 
+def test_labels_may_have_any_name(tables):
+    by = ("other.key", "value", "t")
+    query = MetricQuery("other_total").increase("1h").grouped(*by)
+    assert instant(tables, query, T0 + 70).columns == [*by, "timestamp", "value"]
+    assert [tuple(r) for r in instant(tables, query, T0 + 70).collect()] == [("x", "", "", float(T0 + 70), 0.0)]
+    points = range_query(tables, query.grouped("other.key"), T0, T0 + 3600, step=60)
+    assert [tuple(r) for r in to_series(points, ["other.key"]).collect()] == [("x", [(T0, 0.0)])]
+
+
+def test_steps_are_positive(tables):
+    with pytest.raises(UnsupportedQuery):
+        range_query(tables, JOBS.increase(), T0, T0 + 1, step=0)
+
+
 def test_label_values_come_from_sums_only(tables):
     assert [r.value for r in metric_label_values(tables.sum, "queue").collect()] == ["a", "b"]
     assert [r.value for r in metric_label_values(tables.sum, "queue", T0 + 60, T0 + 70).collect()] == ["a"]

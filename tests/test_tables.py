@@ -173,6 +173,25 @@ def test_promoted_attributes_leave_the_map_unread(spark, root):
     assert "EqualTo(`SpanAttributes::db.query.text`,q1)" in scan or "EqualTo(SpanAttributes::db.query.text,q1)" in scan
 
 
+def test_trace_ids_have_a_bloom_filter(spark, root):
+    """Ids that differ from row to row; a column kept as a dictionary needs no filter."""
+    spans = spark.range(200_000).select(
+        *(
+            F.md5(F.col("id").cast("string")).alias(f.name) if f.name == "TraceId" else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schemas.TRACES.fields
+        )
+    ).withColumn("day", F.lit(dt.date(1970, 1, 1))).coalesce(1)
+    tables.append(spans, root, "otel_traces", cluster=False)
+    (path,) = files(root, "otel_traces")
+    parquet, hadoop = spark._jvm.org.apache.parquet.hadoop, spark._jvm.org.apache.hadoop
+    source = parquet.util.HadoopInputFile.fromPath(hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
+    reader = parquet.ParquetFileReader.open(source)
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    filtered = {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() >= 0}
+    reader.close()
+    assert filtered == {"TraceId"}
+
+
 def test_write_metrics(spark, root):
     store = TelemetryStore(spark, root)
     point = {"TimestampNano": S, "MetricName": "m", "Value": 1.0, "Count": 2, "BucketCounts": [1]}

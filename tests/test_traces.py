@@ -40,6 +40,8 @@ def found(table, condition):
         (TraceCondition.token("duration", TraceOp.GTE, "5ms"), ["a", "b", "c"]),
         (TraceCondition.token("duration", TraceOp.LT, "1us"), ["d", "e"]),
         (TraceCondition.token("duration", TraceOp.LTE, "1ns"), ["d", "e"]),
+        (TraceCondition.eq("duration", "5000000"), ["b"]),
+        (TraceCondition("duration", TraceOp.NEQ, "5000000"), ["a", "c", "d", "e"]),
         (TraceCondition.token("span.code", TraceOp.GTE, "500"), ["a"]),
         (TraceCondition.token("span.code", TraceOp.LT, "1"), ["b", "c", "d", "e"]),
         (TraceCondition.token("code", TraceOp.GT, "499.9"), ["a"]),
