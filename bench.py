@@ -74,6 +74,7 @@ def in_period(rows: DataFrame) -> DataFrame:
 def line_logs(rows: DataFrame) -> DataFrame:
     flag = F.left("SpanName", F.lit(1))
     part = F.col("SpanAttributes")["part"]
+    session = F.concat(F.lit("u"), F.pmod(F.xxhash64("TraceId"), F.lit(900)).cast("string"))
     return rows.select(
         "Timestamp",
         "TimestampNano",
@@ -84,9 +85,7 @@ def line_logs(rows: DataFrame) -> DataFrame:
         "ServiceName",
         F.concat(F.lit("order "), "TraceId", F.lit(" shipped part "), part, F.lit(" status "), "SpanName").alias("Body"),
         "ResourceAttributes",
-        F.create_map(F.lit("session.id"), F.concat(F.lit("u"), F.pmod(F.xxhash64("TraceId"), F.lit(900)).cast("string"))).alias(
-            "LogAttributes"
-        ),
+        F.create_map(F.lit("session.id"), session).alias("LogAttributes"),
         "day",
     )
 

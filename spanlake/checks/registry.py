@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanlake.checks import adapters
 from spanlake.checks.adapters import END, START
-from spanlake.functions import attributes, predicates
+from spanlake.functions import attributes
 from spanlake.functions.naming import prom_name
 from spanlake.operators import logs, metrics, rollup, spans, traces
 from spanlake.plans.queries import (
@@ -222,7 +222,8 @@ def _(spark, sf_dir):
     """Every second payload is cut off; the wrong-typed branch of the others is valid JSON without rows."""
     template = """{"resourceLogs": "nonsense", "id": {id}}"""
     whole = adapters.odd_payloads(spark, sf_dir, template)
-    cut = F.when(F.get_json_object("raw", "$.id").cast("bigint") % 2 == 0, F.expr("left(raw, 20)")).otherwise(F.col("raw"))
+    even = F.get_json_object("raw", "$.id").cast("bigint") % 2 == 0
+    cut = F.when(even, F.left("raw", F.lit(20))).otherwise(F.col("raw"))
     raw = whole.select(cut.alias("raw"))
     rejected = otlp.bad_payloads(raw).agg(F.count("*").alias("n")).select(F.lit("rejected").alias("what"), "n")
     parsed = otlp.parse_logs(raw).agg(F.count("*").alias("n")).select(F.lit("rows").alias("what"), "n")
@@ -412,7 +413,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     linked = adapters.spans(spark, sf_dir).select("SpanId", F.explode(traces.span_links()).alias("link"))
     return linked.select(
-        F.col("SpanId").alias("span"), F.col("link.trace_id").alias("link_trace_id"), F.col("link.span_id").alias("link_span_id")
+        F.col("SpanId").alias("span"),
+        F.col("link.trace_id").alias("link_trace_id"),
+        F.col("link.span_id").alias("link_span_id"),
     )
 
 

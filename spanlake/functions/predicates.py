@@ -21,6 +21,7 @@ from spanlake.plans.queries import (
     UnsupportedQuery,
 )
 
+
 def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 

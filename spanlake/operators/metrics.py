@@ -94,7 +94,8 @@ def auto_step(start: int, end: int) -> int:
 
 def to_series(points: DataFrame, by: list[str]) -> DataFrame:
     """One row per label set with its points in time order; a series has at most one point per step."""
-    return points.groupBy(*(F.col(f"`{label}`") for label in by)).agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("points"))
+    ordered = F.sort_array(F.collect_list(F.struct("t", "value")))
+    return points.groupBy(*(F.col(f"`{label}`") for label in by)).agg(ordered.alias("points"))
 
 
 def sum_buckets(points: DataFrame, keys: list[str]) -> DataFrame:

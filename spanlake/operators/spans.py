@@ -63,13 +63,9 @@ def _any_text(name: str) -> Column:
 
 
 def _sketched(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
-    total = [
-        F.sum(F.shiftright("d", SPLIT)).alias("high_sum"),
-        F.sum(F.col("d").bitwiseAND((1 << SPLIT) - 1)).alias("low_sum"),
-    ]
     stats = spans.groupBy("key").agg(
         F.count("*").alias("calls"),
-        *total,
+        *_split_sum(),
         F.max("d").alias("longest"),
         F.kll_sketch_agg_bigint("d", F.lit(rollup.SKETCH_K)).alias("sketch"),
         *map(_any_text, _carry(aggregation)),
@@ -82,6 +78,13 @@ def _sketched(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     return statistics(ranked(stats.withColumn("quantile", quantile), aggregation), aggregation)
 
 
+def _split_sum() -> list[Column]:
+    return [
+        F.sum(F.shiftright("d", SPLIT)).alias("high_sum"),
+        F.sum(F.col("d").bitwiseAND((1 << SPLIT) - 1)).alias("low_sum"),
+    ]
+
+
 def _total() -> Column:
     return F.col("high_sum") * F.lit(float(1 << SPLIT)) + F.col("low_sum")
 
@@ -91,8 +94,7 @@ def _exact(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     # carried values are part of the grouping here: MIN over text would force a sort of all spans
     brackets = spans.groupBy("key", *carry, quantiles.coarse_bracket(F.col("d")).alias("bracket")).agg(
         F.count("*").alias("n"),
-        F.sum(F.shiftright("d", SPLIT)).alias("high_sum"),
-        F.sum(F.col("d").bitwiseAND((1 << SPLIT) - 1)).alias("low_sum"),
+        *_split_sum(),
         F.min("d").alias("low"),
         F.max("d").alias("high"),
     )

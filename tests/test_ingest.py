@@ -165,7 +165,8 @@ def test_missing_service_and_alternate_names(spark):
 
 
 def test_repeated_json_key_keeps_the_last(spark):
-    assert otlp.parse_logs(payloads(spark, '{"resourceLogs": 1, "resourceLogs": [{"scopeLogs": [{"logRecords": [{}]}]}]}')).count() == 1
+    text = '{"resourceLogs": 1, "resourceLogs": [{"scopeLogs": [{"logRecords": [{}]}]}]}'
+    assert otlp.parse_logs(payloads(spark, text)).count() == 1
 
 
 def test_span(spark):

@@ -135,9 +135,9 @@ def test_wide_columns_are_read_from_the_newest_days_only(spark, root):
 def promoted_store(spark, root):
     store = TelemetryStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
     store.install()
+    texts = [{"db.query.text": f"q{i % 3}"} if i % 4 else {} for i in range(40)]
     spans = [
-        {"TimestampNano": i, "SpanId": str(i), "Duration": i, "SpanAttributes": {"db.query.text": f"q{i % 3}"} if i % 4 else {}}
-        for i in range(40)
+        {"TimestampNano": i, "SpanId": str(i), "Duration": i, "SpanAttributes": text} for i, text in enumerate(texts)
     ]
     store.write_traces(rows.spans(spark, *spans))
     return store
@@ -175,13 +175,11 @@ def test_promoted_attributes_leave_the_map_unread(spark, root):
 
 def test_trace_ids_have_a_bloom_filter(spark, root):
     """Ids that differ from row to row; a column kept as a dictionary needs no filter."""
+    values = {"TraceId": F.md5(F.col("id").cast("string")), "day": F.lit(dt.date(1970, 1, 1))}
     spans = spark.range(200_000).select(
-        *(
-            F.md5(F.col("id").cast("string")).alias(f.name) if f.name == "TraceId" else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schemas.TRACES.fields
-        )
-    ).withColumn("day", F.lit(dt.date(1970, 1, 1))).coalesce(1)
-    tables.append(spans, root, "otel_traces", cluster=False)
+        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.TRACES.fields)
+    )
+    tables.append(spans.coalesce(1), root, "otel_traces", cluster=False)
     (path,) = files(root, "otel_traces")
     parquet, hadoop = spark._jvm.org.apache.parquet.hadoop, spark._jvm.org.apache.hadoop
     source = parquet.util.HadoopInputFile.fromPath(hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
