@@ -1,8 +1,9 @@
 """Span aggregation: duration statistics per attribute value, ranked.
 
-How the exact path stays bounded. Spans are first counted per (key, value bracket), which Spark combines before the
-shuffle, so a key holding a third of all spans arrives as at most about a thousand rows. The ranking needs only those
-counts; the quantile is then looked up for the ranked keys alone, among the spans of one bracket each, by a second scan.
+How the exact path stays bounded. Spans are counted per key, which Spark combines before the shuffle, so a key holding a
+third of all spans arrives as one row per task. Only the ranked keys are looked at further, in two more scans that join
+them by a broadcast: the first counts their spans per value bracket (at most about a thousand rows per key), the second
+reads the one bracket each quantile lies in. A ranking by the quantile itself starts with the brackets of all keys instead.
 """
 
 from __future__ import annotations
@@ -91,46 +92,65 @@ def _total() -> Column:
 
 def _exact(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     carry = _carry(aggregation)
-    # carried values are part of the grouping here: MIN over text would force a sort of all spans
+    kept = ["calls", "total", "longest", *carry]
+    if aggregation.sort is SpanSort.P95:
+        targets, few = _quantile_candidates(_all_located(spans, aggregation), aggregation)
+        final = ranked
+    else:
+        few = max(1, aggregation.limit) <= BROADCAST_ROWS
+        top = ranked(_totals(spans, carry), aggregation)
+        targets = _located(spans.select("key", "d"), F.broadcast(top) if few else top, aggregation, kept)
+        final = in_order
+    values = spans.select("key", "d")
+    refined = quantiles.refine(values, "d", F.broadcast(targets) if few else targets, "key", kept)
+    return statistics(final(refined, aggregation), aggregation)
+
+
+def _totals(spans: DataFrame, carry: list[str]) -> DataFrame:
+    """``key, calls, total, longest`` and the carried values, per key.
+
+    Carried values are part of the grouping first: MIN over text would force a sort of all spans.
+    """
+    stats = spans.groupBy("key", *carry).agg(
+        F.count("*").alias("calls"), *_split_sum(), F.max("d").alias("longest")
+    )
+    if carry:
+        stats = stats.groupBy("key").agg(
+            *(F.sum(c).alias(c) for c in ("calls", "high_sum", "low_sum")),
+            F.max("longest").alias("longest"),
+            *map(_any_text, carry),
+        )
+    return stats.withColumn("total", _total()).drop("high_sum", "low_sum")
+
+
+def _located(spans: DataFrame, top: DataFrame, aggregation: SpanAggregation, kept: list[str]) -> DataFrame:
+    """The ranked keys with the bracket their quantile lies in."""
+    grouping = ["key", *kept, quantiles.coarse_bracket(F.col("d")).alias("bracket")]
+    brackets = quantiles.rows_of(spans, top, "key").groupBy(*grouping).agg(*_bracket())
+    return quantiles.locate_first(brackets, ["key"], aggregation.quantile, [F.max(c).alias(c) for c in kept])
+
+
+def _all_located(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
+    """As ``_located`` over ``_totals``, for all keys in one scan."""
+    carry = _carry(aggregation)
+    sums = ["high_sum", "low_sum"]
     brackets = spans.groupBy("key", *carry, quantiles.coarse_bracket(F.col("d")).alias("bracket")).agg(
-        F.count("*").alias("n"),
-        *_split_sum(),
-        F.min("d").alias("low"),
-        F.max("d").alias("high"),
+        *_bracket(), *_split_sum()
     )
     if carry:
         brackets = brackets.groupBy("key", "bracket").agg(
-            *(F.sum(c).alias(c) for c in ("n", "high_sum", "low_sum")),
+            *(F.sum(c).alias(c) for c in ("n", *sums)),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             *map(_any_text, carry),
         )
+    whole = [F.sum("n").alias("calls"), *(F.sum(c).alias(c) for c in sums), F.max("high").alias("longest")]
+    located = quantiles.locate_first(brackets, ["key"], aggregation.quantile, [*whole, *map(_any_text, carry)])
+    return located.withColumn("total", _total()).drop(*sums)
 
-    stats = quantiles.locate_first(
-        brackets,
-        ["key"],
-        aggregation.quantile,
-        [
-            F.sum("n").alias("calls"),
-            F.sum("high_sum").alias("high_sum"),
-            F.sum("low_sum").alias("low_sum"),
-            F.max("high").alias("longest"),
-            *map(_any_text, carry),
-        ],
-    ).withColumn("total", _total())
-
-    if aggregation.sort is SpanSort.P95:
-        targets, bounded = _quantile_candidates(stats, aggregation)
-    else:
-        targets = ranked(stats, aggregation)
-        bounded = max(1, aggregation.limit) <= BROADCAST_ROWS
-    if bounded:
-        targets = F.broadcast(targets)
 
-    kept = ["calls", "total", "longest", *carry]
-    refined = quantiles.refine(spans.select("key", "d"), "d", targets, "key", kept)
-    final = ranked if aggregation.sort is SpanSort.P95 else in_order
-    return statistics(final(refined, aggregation), aggregation)
+def _bracket() -> list[Column]:
+    return [F.count("*").alias("n"), F.min("d").alias("low"), F.max("d").alias("high")]
 
 
 def _quantile_candidates(stats: DataFrame, aggregation: SpanAggregation) -> tuple[DataFrame, bool]:
