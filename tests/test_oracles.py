@@ -6,8 +6,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import DATA
+from spanlake.checks.oracles import ORACLES
+from spanlake.checks.registry import queries
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +34,7 @@ def _rows(columns, rows):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, duck, name):
     result = queries()[name](spark, DATA)
-    expected = duck.execute(oracle_sql()[name])
+    expected = duck.execute(ORACLES[name])
     names = [d[0] for d in expected.description]
     assert sorted(result.columns) == sorted(names)
     got = _rows(result.columns, [tuple(r) for r in result.collect()])
@@ -43,7 +45,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(ORACLES)
 
 
 def test_entry(spark):
