@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +27,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings; the shuffle files of a finished job go at once, as its result is a written table."""
     configure(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    _ship(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="package-")), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, str(source.relative_to(package.parent)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: cuts the lineage and survives lost executors."""
     return write_fresh(df, name)

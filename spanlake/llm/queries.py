@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import line_dedup, quality
-from spanlake.llm.common import table
+from spanlake.llm import html_extract, line_dedup, packing, quality, token_files
+from spanlake.llm.common import table, whole, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,25 @@ FROM m GROUP BY doc_id
 """
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # a token per word, and one for the end
+    return packing.pack(docs.select("doc_id", (F.size(words(whole())) + 1).alias("n_tokens")))
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
