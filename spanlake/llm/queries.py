@@ -7,14 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import html_extract, line_dedup, packing, quality, token_files
+from spanlake.llm import html_extract, line_dedup, mixing, packing, quality, token_files, toxicity
 from spanlake.llm.common import table, whole, words
 
+# op1: token shares asked for
+TARGETS = {"clean": 0.9, "low": 0.06, "toxic": 0.04}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SQL: dict[str, str] = {}
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.rates(docs, mixing.domains(table(spark, sf_dir, "labels")), TARGETS)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -103,6 +111,13 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs.select("doc_id", (F.size(words(whole())) + 1).alias("n_tokens")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "flagged")
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
