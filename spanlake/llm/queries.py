@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import html_extract, line_dedup, mixing, packing, quality, token_files, toxicity
+from spanlake.llm import html_extract, line_dedup, minhash, mixing, packing, quality, token_files, toxicity
 from spanlake.llm.common import table, whole, words
 
 # op1: token shares asked for
@@ -118,6 +118,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "flagged")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.mark(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
