@@ -27,6 +27,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings; the shuffle files of a finished job go at once, as its result is a written table."""
     configure(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    # texts are long: batches of fewer rows bound what a Python worker holds
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     _ship(spark)
     return spark
 

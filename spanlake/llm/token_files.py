@@ -8,8 +8,8 @@ before each run. Frequent tokens take one byte, and a reader finds all token sta
 byte and a running sum, without looking at the data.
 
 Texts are encoded once, without a shuffle, into a staged table of raw ids; the frequencies come from that table (one
-row per id and task), and only encoded ids are sorted by document. Words recur, so a worker remembers the ids of
-words it has met, up to a bound; a text is cut where the tokenizer always cuts it, before a space that a non-space follows.
+row per id and task), and only ids are sorted by document, not texts. Words recur, so a worker remembers the ids of words it
+has met, up to a bound.
 
 Defined results: a null or empty text has the end id alone; a null id sorts first; repeated rows stay, one after the
 other; an empty table gives an empty folder; extra columns are ignored.
@@ -17,6 +17,7 @@ other; an empty table gives an empty folder; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,70 +31,107 @@ from spanlake.session import fresh_path
 
 END_ID = 2
 
-# words a worker remembers, and characters encoded at a time
-REMEMBERED = 600_000
-SLICE_CHARS = 4_000_000
+# words a worker remembers, and documents encoded at a time
+REMEMBERED = 250_000
+SLICE_DOCUMENTS = 256
+
+# The pre-tokenizer whose cuts are known here; others encode whole texts.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+STOPS = ".,;:!?"
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Encodes texts word by word through a tokenizer, whose results it remembers."""
+    """Encodes texts through a tokenizer, word by word, and remembers the words' ids.
+
+    A byte-level tokenizer always cuts before a space that a non-space follows, around a single line feed, and between
+    letters and punctuation, so these parts are encoded alone. Words of letters go to its model without the detour over
+    its pattern.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._clear()
-
-    def _clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)  # of word i; the next one's start is its end
+        spec = json.loads(self.tokenizer.to_str())
+        known = spec.get("pre_tokenizer") or {}
+        self.by_word = BYTE_LEVEL.items() <= known.items() and not spec.get("normalizer")
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.known: dict[str, bytes] = {}
+        # the model alone, fed with words between line feeds
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        letters = set(pre_tokenizers.ByteLevel.alphabet())
+        others = [b for b in range(256) if chr(b) not in letters]
+        self.letters = dict(zip(others, sorted(c for c in letters if ord(c) > 255)))
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """The text in parts that are encoded alike alone and together: each but the first starts at a single space."""
-        parts = text.split(" ")
-        if "" not in parts[1:] and not any(p[0].isspace() for p in parts[1:]):
-            return [*parts[:1], *(" " + p for p in parts[1:])] if parts[0] else [" " + p for p in parts[1:]]
-        out = parts[:1]
-        for part in parts[1:]:
-            if not part or part[0].isspace():
-                out[-1] += " " + part  # runs of white space are cut in their own way
+    def cut(text: str) -> list[str] | None:
+        """The parts of a text, or none if its white space is more than single spaces and line feeds between words."""
+        if text.replace("\n", " ") != " ".join(text.split()):
+            return None
+        parts: list[str] = []
+        for i, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            parts += ["\n", first] if i else [first]
+            parts += [" " + word for word in rest]
+        return parts
+
+    def _map(self, word: str) -> str:
+        """The bytes of a word in the letters of the model."""
+        if word.isascii():
+            return self.letters[32] + word[1:] if word[0] == " " else word
+        return word.encode().decode("latin-1").translate(self.letters)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of letters, with or without a space before them."""
+        width = np.dtype(self.kind).itemsize
+        for first in range(0, len(words), 256):
+            some = words[first : first + 256]
+            mapped = "\n".join(map(self._map, some))
+            found = self.bare.encode(mapped, add_special_tokens=False)
+            raw = np.array(found.ids, self.kind).tobytes()
+            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(some)), "right") * width
+            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
+
+    def _learn(self, parts: set[str]) -> None:
+        joined: dict[str, tuple[str, str]] = {}
+        words, others = set(), set()
+        for part in parts:
+            core = part.rstrip(STOPS)
+            if not (core.isalpha() or core[:1] == " " and core[1:].isalpha()):
+                others.add(part)
             else:
-                out.append(" " + part)
-        return [p for p in out if p]
-
-    def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        n, m = len(self.places), sum(map(len, encoded))
-        while n + len(words) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        first = int(self.starts[n])
-        while first + m > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[first : first + m] = np.fromiter((i for ids in encoded for i in ids), np.uint32, m)
-        self.starts[n + 1 : n + 1 + len(words)] = first + np.cumsum([len(ids) for ids in encoded])
-        self.places.update(zip(words, range(n, n + len(words))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and the number of ids of each."""
-        if len(self.places) > REMEMBERED:
-            self._clear()
-        cut = [self.cut(t) for t in texts]
-        places = self.places
-        new = list(dict.fromkeys(w for words in cut for w in words if w not in places))
+                words.add(core)
+                if core != part:
+                    joined[part] = core, part[len(core) :]
+        others.update(end for _, end in joined.values())
+        self._learn_words([w for w in words if w not in self.known])
+        new = [w for w in others if w not in self.known]
+        self.known.update(zip(new, self._encode(new)))
+        for part, (core, end) in joined.items():
+            self.known[part] = self.known[core] + self.known[end]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian."""
+        if not self.by_word:
+            return self._encode(texts)
+        cut = [self.cut(t) if t else [] for t in texts]
+        new = set().union(*(c for c in cut if c)).difference(self.known)
         if new:
             self._learn(new)
-        at = np.fromiter((places[w] for words in cut for w in words), np.int64, sum(map(len, cut)))
-        sizes = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
-        return ids, np.diff(upto)
+        whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))
+        ids = [next(whole) if c is None else b"".join(map(self.known.__getitem__, c)) for c in cut]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return ids
 
 
 def encoder(path: str) -> WordEncoder:
@@ -102,38 +140,28 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _slices(lengths: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of items whose lengths sum up to about the limit."""
-    start = total = 0
-    for i, n in enumerate(lengths):
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(lengths):
-        yield start, len(lengths)
-
-
 def encode_texts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n, raw): the ids of each text with the end id, four bytes each."""
+    """(doc_id, n, width, raw): the ids of each text with the end id, ``width`` bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
+        end, width = np.array([end_id], coder.kind).tobytes(), np.dtype(coder.kind).itemsize
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _slices([len(t) for t in texts], SLICE_CHARS):
-                ids, counts = coder.encode(texts[a:b])
-                ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, end_id).astype("<u4")
-                stops = (ends + np.arange(1, b - a + 1)) * 4
-                raw, starts = ids.tobytes(), np.concatenate([[0], stops[:-1]])
-                values = pa.array([raw[s:e] for s, e in zip(starts.tolist(), stops.tolist())], pa.binary())
+            for first in range(0, batch.num_rows, SLICE_DOCUMENTS):
+                part = batch.slice(first, SLICE_DOCUMENTS)
+                raw = [ids + end for ids in coder.encode([t or "" for t in part.column(1).to_pylist()])]
+                counts = pa.array([len(x) // width for x in raw], pa.int64())
+                widths = pa.array([width] * len(raw), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(counts + 1, pa.int64()), values], ["doc_id", "n", "raw"]
+                    [part.column(0), counts, widths, pa.array(raw, pa.binary())], ["doc_id", "n", "width", "raw"]
                 )
 
     columns = docs.select(docs[id].cast("bigint").alias("doc_id"), docs[text].alias("text"))
-    return columns.mapInArrow(run, "doc_id bigint, n bigint, raw binary")
+    return columns.mapInArrow(run, "doc_id bigint, n bigint, width int, raw binary")
+
+
+def _ids(raw: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{width}")
 
 
 def rank_ids(encoded: DataFrame) -> DataFrame:
@@ -142,15 +170,16 @@ def rank_ids(encoded: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(x.as_py() for x in batch.column(0)), "<u4")
-            found = np.bincount(ids) if len(ids) else total[:0]
-            if len(found) > len(total):
-                found, total = total, found
-            total[: len(found)] += found
+            for first in range(0, batch.num_rows, SLICE_DOCUMENTS):
+                raw = batch.column(1).slice(first, SLICE_DOCUMENTS).to_pylist()
+                found = np.bincount(_ids(b"".join(raw), batch.column(0)[first].as_py()))
+                if len(found) > len(total):
+                    found, total = total, found
+                total[: len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["token", "n"])
 
-    counts = encoded.select("raw").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = encoded.select("width", "raw").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     # at most the vocabulary: one small partition
     order = Window.orderBy(F.desc("n"), "token")
     return counts.withColumn("rank", F.row_number().over(order) - 1).select("token", "rank", "n")
@@ -193,19 +222,22 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, ranks = TaskContext.get().partitionId(), 0, table.value
-        for batch in batches:
-            rows = [pack_ranks(ranks[np.frombuffer(x.as_py(), "<u4")]) for x in batch.column(2)]
-            counts = batch.column(1).to_numpy()
-            offsets = before + np.cumsum(counts) - counts
-            before += int(counts.sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array(np.full(len(rows), part), pa.int32()),
-                    pa.array(offsets, pa.int64()), pa.array([c for c, _ in rows], pa.binary()),
-                    pa.array([d for _, d in rows], pa.binary()),
-                ],
-                ["doc_id", "n", "part", "part_offset", "control", "data"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, SLICE_DOCUMENTS):
+                batch = whole.slice(first, SLICE_DOCUMENTS)
+                raw = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                rows = [pack_ranks(ranks[_ids(x, width)]) for width, x in raw]
+                counts = batch.column(1).to_numpy()
+                offsets = before + np.cumsum(counts) - counts
+                before += int(counts.sum())
+                control, data = ([row[k] for row in rows] for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0), batch.column(1), pa.array(np.full(len(rows), part), pa.int32()),
+                        pa.array(offsets, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary()),
+                    ],
+                    ["doc_id", "n", "part", "part_offset", "control", "data"],
+                )
 
     schema = "doc_id bigint, n bigint, part int, part_offset bigint, control binary, data binary"
     by_id = F.col("doc_id").asc_nulls_first()
@@ -231,12 +263,14 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = table.value
-        for batch in batches:
-            counts, control, data = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            ids = [tokens[unpack_ranks(c, d, n)].astype("<u4").tobytes() for n, c, d in zip(counts, control, data)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, SLICE_DOCUMENTS):
+                batch = whole.slice(first, SLICE_DOCUMENTS)
+                rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+                ids = [tokens[unpack_ranks(control, data, n)].astype("<u4").tobytes() for n, control, data in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
+                )
 
     rows = spark.read.parquet(f"{path}/data").join(F.broadcast(spark.read.parquet(f"{path}/parts")), "part")
     start = (F.col("before") + F.col("part_offset")).alias("start")
