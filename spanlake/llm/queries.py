@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import forest, html_extract, line_dedup, minhash, mixing, packing, quality, token_files, toxicity
+from spanlake.llm import forest, html_extract, line_dedup, minhash, mixing, packing, quality, suffix, token_files, toxicity
 from spanlake.llm.common import table, whole, words
 
 # op1: token shares asked for
@@ -126,6 +126,13 @@ def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.mark(table(spark, sf_dir, "embeddings"))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
