@@ -39,6 +39,7 @@ DECAY = 1e-4
 
 MAX_STEPS = 40
 TOLERANCE = 1e-4
+STALLED = 0.995
 
 
 @dataclass
@@ -59,14 +60,15 @@ def features(texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), BUCKETS + 6), np.float32)
     for row, text in zip(out, texts):
         code = codes.of(text)
-        n, chars = max(1, len(code)), max(1, len(text))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        seen, n = np.bincount(raw, minlength=128), max(1, len(code))
         distinct = np.unique(code)
         row[:6] = (
             np.log1p(len(code)),
-            sum(map(text.count, "#*$%&|<>")) / n,
-            sum(map(text.count, "!?")) / n,
-            sum(c.isupper() for c in text) / chars,
-            chars / n / 10,
+            seen[list(b"#*$%&|<>")].sum() / n,
+            seen[list(b"!?")].sum() / n,
+            seen[65:91].sum() / max(1, len(raw)),
+            len(raw) / n / 10,
             len(distinct) / n,
         )
         # a word counts by its first letters and by itself
@@ -142,12 +144,20 @@ def _rate(history: list[np.ndarray], floor: Column) -> Column:
 
 
 def solve(
-    members: DataFrame, names: list[str], targets: dict[str, float], budget: float | None, floors: dict[str, float]
+    members: DataFrame,
+    names: list[str],
+    targets: dict[str, float],
+    budget: float | None = None,
+    floors: dict[str, float] | None = None,
+    keep: str | None = None,
 ) -> list[np.ndarray]:
-    """The steps that bring the expected token totals of ``members`` (n_tokens, p) to their targets."""
-    floor = floor_of(names, floors)
+    """The steps that bring the expected token totals of ``members`` (n_tokens, p) to their targets.
+
+    They end when the totals are close enough, or when floors keep them from coming closer.
+    """
+    floor = floor_of(names, floors or {})
     history: list[np.ndarray] = []
-    goal = None
+    goal, before = None, np.inf
     n = len(names)
     weight = np.array([max(0.0, targets[name]) for name in names])
     for _ in range(MAX_STEPS):
@@ -163,10 +173,14 @@ def solve(
             if not weight.sum():
                 return []
             weight /= weight.sum()
+            if keep in names and weight[names.index(keep)] > 0:
+                budget = totals[names.index(keep)] / weight[names.index(keep)]
             goal = weight * (budget if budget is not None else totals.sum())
         off = totals - goal
-        if np.abs(off).sum() <= TOLERANCE * max(1.0, goal.sum()):
+        distance = np.abs(off).sum()
+        if distance <= TOLERANCE * max(1.0, goal.sum()) or distance > STALLED * before:
             break
+        before = distance
         history.append(np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ off)
     return history
 
@@ -187,11 +201,13 @@ def rates(
     targets: dict[str, float],
     budget: float | None = None,
     floors: dict[str, float] | None = None,
+    keep: str | None = None,
     limit: int = TRAIN_DOCUMENTS,
 ) -> DataFrame:
     """Per row of the input: ``doc_id``, ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``.
 
     ``targets``: weight of each domain; ``budget``: tokens asked for in all (as many as there are, if none is given);
+    ``keep``: a domain whose tokens are to stay as many as they are, which settles the budget;
     ``floors``: least rate of documents whose likeliest domain is named. ``copies`` is the rate rounded up or down by a
     hash of the id, right in expectation.
     """
@@ -208,7 +224,7 @@ def rates(
         members = posteriors(texts, model)
     members = staged(members, "members")
     floors = floors or {}
-    rate = _rate(solve(members, names, targets, budget, floors), floor_of(names, floors))
+    rate = _rate(solve(members, names, targets, budget, floors, keep), floor_of(names, floors))
     chance = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     rated = members.select(
         "doc_id",

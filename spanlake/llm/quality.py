@@ -142,5 +142,6 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, text: str =
 def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """The rows that pass, with the columns they came with."""
     marked = docs.select(F.struct(*docs.columns).alias("_row"), docs[text].alias("_body"))
-    passed = judge(marked, rules, "_body").where("kept")
-    return passed.select("_row.*")
+    # a plain filter would be pushed below the counts, each of which would then be computed many times over
+    passed = F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row")
+    return judge(marked, rules, "_body").select(passed).select("_row.*")
