@@ -161,13 +161,16 @@ def solve(
     n = len(names)
     weight = np.array([max(0.0, targets[name]) for name in names])
     for _ in range(MAX_STEPS):
-        rated = members.select("n_tokens", "p", _rate(history, floor).alias("r"), floor.alias("f"))
-        mass, free = F.col("n_tokens") * F.col("r"), F.when(F.col("r") > F.col("f"), F.col("n_tokens")).otherwise(0)
-        sums = [F.sum(mass * F.col("p")[d]) for d in range(n)]
-        sums += [F.sum(free * F.col("p")[a] * F.col("p")[b]) for a in range(n) for b in range(n)]
+        rated = members.select("n_tokens", "p", _rate(history, floor).alias("r"))
+        p, mass = F.col("p"), F.col("n_tokens") * F.col("r")
+        sums = [F.sum(mass * p[d]) for d in range(n)]
+        if goal is None:
+            sums += [F.sum(F.col("n_tokens") * p[a] * p[b]) for a in range(n) for b in range(n)]
         row = [x or 0.0 for x in rated.agg(*sums).first()]
-        totals, moments = np.array(row[:n]), np.array(row[n:]).reshape(n, n)
+        totals = np.array(row[:n])
         if goal is None:
+            # of all documents: no more than the curvature once some are at their floor, so no step goes too far
+            scale = np.linalg.pinv(np.array(row[n:]).reshape(n, n), rcond=1e-9, hermitian=True)
             reach = totals > 0
             weight = np.where(reach, weight, 0)
             if not weight.sum():
@@ -181,7 +184,7 @@ def solve(
         if distance <= TOLERANCE * max(1.0, goal.sum()) or distance > STALLED * before:
             break
         before = distance
-        history.append(np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ off)
+        history.append(scale @ off)
     return history
 
 
