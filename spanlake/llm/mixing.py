@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from spanlake.llm.common import prepare, staged, whole, words
 from spanlake.llm.labelled import MASK, codes, sample
 
-TRAIN_DOCUMENTS = 6_000
-BUCKETS = 4096
+TRAIN_DOCUMENTS = 4_000
+BUCKETS = 2048
 EPOCHS = 150
 RATE = 0.05
 DECAY = 1e-4
@@ -82,7 +82,9 @@ def train(texts: list[str], labels: list[str], names: list[str]) -> Classifier:
     """Softmax regression by adaptive gradient steps over the whole sample."""
     x = features(texts)
     mean, spread = x.mean(axis=0), x.std(axis=0) + 0.05
-    x = np.hstack([(x - mean) / spread, np.ones((len(x), 1), np.float32)])
+    x -= mean
+    x /= spread
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     y = np.array([[name == label for name in names] for label in labels], np.float32)
     w = np.zeros((x.shape[1], len(names)), np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
