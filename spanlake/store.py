@@ -62,19 +62,26 @@ class TelemetryStore:
     def search_logs(self, query: LogQuery, start: Instant, end: Instant, limit: int = 100) -> DataFrame:
         return logs.search_logs(self.table("otel_logs", start, end), query, start, end, limit)
 
-    def log_label_values(self, label: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        return logs.log_label_values(self.table("otel_logs", start, end), label, start, end)
+    def log_label_values(
+        self, label: str, start: Instant | None = None, end: Instant | None = None, **options
+    ) -> DataFrame:
+        return logs.log_label_values(self.table("otel_logs", start, end), label, start, end, **options)
 
     # traces
 
-    def search_traces(self, query: TraceQuery, start: Instant, end: Instant, limit: int = 20) -> DataFrame:
-        return traces.search_traces(self.table("otel_traces", start, end), query, start, end, limit)
+    def search_traces(
+        self, query: TraceQuery, start: Instant, end: Instant, limit: int = 20, **options
+    ) -> DataFrame:
+        return traces.search_traces(self.table("otel_traces", start, end), query, start, end, limit, **options)
 
-    def trace(self, trace_id: str) -> DataFrame:
-        return traces.get_trace(self.table("otel_traces"), trace_id)
+    def trace(
+        self, trace_id: str, start: Instant | None = None, end: Instant | None = None, **options
+    ) -> DataFrame:
+        """The waterfall of a trace; with both bounds only their days are read."""
+        return traces.get_trace(self.table("otel_traces", start, end), trace_id, start, end, **options)
 
-    def trace_services(self, trace_id: str) -> DataFrame:
-        return traces.trace_services(self.table("otel_traces"), trace_id)
+    def trace_services(self, trace_id: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
+        return traces.trace_services(self.table("otel_traces", start, end), trace_id, start, end)
 
     def tag_values(
         self,
@@ -82,7 +89,7 @@ class TelemetryStore:
         filter: TraceQuery | None = None,
         start: Instant | None = None,
         end: Instant | None = None,
-        limit: int = 0,
+        limit: int | None = 0,
     ) -> DataFrame:
         return traces.tag_values(self.table("otel_traces", start, end), tag, filter, start, end, limit)
 
@@ -102,7 +109,13 @@ class TelemetryStore:
         return rollup_stream.read_summary(self.spark, self.root)
 
     def backfill_rollup(self) -> None:
-        """One-time fill from the spans stored before the stream started."""
+        """One-time fill from the stored spans, for readers until a stream takes over.
+
+        The stream reads every stored file from the first one on, so its first batch drops this fill, and once it has
+        written a batch there is nothing to fill.
+        """
+        if rollup_stream.stream_started(self.spark, self.root):
+            return
         rollup_stream.write_batch(rollup.rollup_partial(self.table("otel_traces")), self.root, rollup_stream.BACKFILL)
 
     def follow_traces(self, checkpoint: str | None = None, **options):
@@ -122,8 +135,10 @@ class TelemetryStore:
     def metric_range(self, query: MetricQuery, start: Instant, end: Instant, step: int | None = None) -> DataFrame:
         return metrics.range_query(self.metric_tables(query, start, end), query, start, end, step)
 
-    def metric_label_values(self, label: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        return metrics.metric_label_values(self.table("otel_metrics_sum", start, end), label, start, end)
+    def metric_label_values(
+        self, label: str, start: Instant | None = None, end: Instant | None = None, **options
+    ) -> DataFrame:
+        return metrics.metric_label_values(self.table("otel_metrics_sum", start, end), label, start, end, **options)
 
     # retention
 

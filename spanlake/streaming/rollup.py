@@ -61,6 +61,17 @@ def visible_batches(spark: SparkSession, root: str) -> list[str]:
     return [name for name in complete if not covered(name)]
 
 
+def stream_started(spark: SparkSession, root: str) -> bool:
+    """Whether a stream has written a batch, merged or not."""
+    return any(name[:1].isdigit() for name in visible_batches(spark, root))
+
+
+def drop_backfill(spark: SparkSession, root: str) -> None:
+    """Leave the spans of a one-time fill to the stream, which reads them again."""
+    tables.drop(spark, f"{root}/{SUMMARY}/{COMPLETE}/{BACKFILL}")
+    tables.drop(spark, f"{root}/{SUMMARY}/batch={BACKFILL}")
+
+
 def _read(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | None:
     if not batches:
         return None
@@ -121,6 +132,8 @@ def run_rollup_stream(
     spans = reader.parquet(f"{root}/otel_traces")
 
     def add(batch: DataFrame, number: int) -> None:
+        if number == 0:
+            drop_backfill(batch.sparkSession, root)
         write_batch(rollup_partial(batch), root, str(number))
         if (number + 1) % merge_every == 0:
             merge_batches(batch.sparkSession, root, number + 1 - merge_every, number)

@@ -203,3 +203,17 @@ def test_metric_payloads_are_parsed_once_for_three_tables(spark, root):
     payload = json.dumps({"resourceMetrics": [{"scopeMetrics": [{"metrics": metrics}]}]})
     store.ingest(spark.createDataFrame([(payload,)], "raw string"), "metrics")
     assert [store.table(f"otel_metrics_{k}").count() for k in kinds] == [1, 2, 1]
+
+
+@pytest.mark.parametrize("first", ["backfill", "stream"])
+def test_backfill_and_stream_count_once(spark, root, tmp_path, first):
+    store = TelemetryStore(spark, root)
+    store.install()
+    store.write_traces(rows.spans(spark, db_span(1), db_span(2)))
+    steps = [store.backfill_rollup, lambda: follow(store, str(tmp_path / "progress"))]
+    for step in steps if first == "backfill" else steps[::-1]:
+        step()
+        assert [r["count"] for r in store.aggregate_spans(RANKING, 0, 600).collect()] == [2]
+    store.write_traces(rows.spans(spark, db_span(3)))
+    follow(store, str(tmp_path / "progress"))
+    assert [r["count"] for r in store.aggregate_spans(RANKING, 0, 600).collect()] == [3]
