@@ -42,11 +42,33 @@ def table_schema(table: str, promote: Promoted | None = None) -> T.StructType:
     return T.StructType([*schema.fields, *extra])
 
 
+def _promoted_marks(table: str, promote: Promoted | None) -> set[str]:
+    return {promoted_name(*attr).encode().hex() for attr in (promote or {}).get(table, [])}
+
+
+def check_promoted(spark: SparkSession, root: str, table: str, promote: Promoted | None, writing: bool = False) -> None:
+    """Refuse promoted attributes the table was not made with: files without the column would read as if it were absent.
+
+    Readers may leave some out; writers must fill them all. The list is kept beside the data when the table is made.
+    """
+    wanted, path = _promoted_marks(table, promote), f"{root}/{table}"
+    marks = f"{path}/_promoted"
+    if exists(spark, path):
+        found = set(names(spark, marks))
+        if wanted - found or writing and found != wanted:
+            kept = sorted(bytes.fromhex(name).decode() for name in found)
+            raise ValueError(f"{table} was made with the promoted attributes {kept}; write it anew to change them")
+    elif writing:
+        for name in sorted(wanted):
+            touch(spark, f"{marks}/{name}")
+
+
 def ensure_table(spark: SparkSession, root: str, table: str, promote: Promoted | None = None) -> None:
-    """Create the table if it does not exist; an existing one is left alone."""
+    """Create the table if it does not exist; an existing one is left alone, but must have the same promoted attributes."""
     configure(spark)
     path = f"{root}/{table}"
-    if not exists(spark, path):
+    check_promoted(spark, root, table, promote, writing=not exists(spark, path))
+    if not any(name.startswith("day=") or name.startswith("_S") for name in names(spark, path)):
         empty = spark.createDataFrame([], table_schema(table, promote))
         empty.write.mode("append").partitionBy("day").parquet(path)
 
@@ -66,6 +88,7 @@ def read_table(
     """
     configure(spark)
     path = f"{root}/{table}"
+    check_promoted(spark, root, table, promote)
     reader = spark.read.schema(table_schema(table, promote))
     if start is None or end is None:
         return reader.parquet(path)
@@ -86,6 +109,7 @@ def append(
 ) -> None:
     """Append rows. ``cluster=False`` skips the shuffle for small batches and only sorts inside the tasks."""
     configure(df.sparkSession)
+    check_promoted(df.sparkSession, root, table, promote, writing=True)
     clustering = TABLES[table][1]
     for map_column, key in (promote or {}).get(table, []):
         df = df.withColumn(promoted_name(map_column, key), F.col(map_column)[key])
@@ -97,8 +121,9 @@ def append(
         .partitionBy("day")
         .option("maxRecordsPerFile", max(1, max_rows))
     )
-    if "TraceId" in df.columns:
-        writer = writer.option("parquet.bloom.filter.enabled#TraceId", "true")
+    looked_up = [promoted_name(*attr) for attr in (promote or {}).get(table, [])]
+    for name in [*looked_up, *(["TraceId"] if "TraceId" in df.columns else [])]:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(f"{root}/{table}")
 
 

@@ -227,3 +227,20 @@ def test_a_hot_service_is_split_by_size(spark, root):
             spark.conf.set(key, value)
     assert len(files(root, "otel_logs")) > 2
     assert tables.read_table(spark, root, "otel_logs").count() == 60000
+
+
+def test_promoted_attributes_cannot_be_changed_later(spark, root):
+    plain = TelemetryStore(spark, root)
+    plain.install()
+    plain.write_traces(rows.spans(spark, {"SpanAttributes": {"db.query.text": "q"}, "TimestampNano": 1}))
+    other = TelemetryStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
+    for use in (other.install, lambda: other.table("otel_traces"), lambda: other.write_traces(plain.table("otel_traces"))):
+        with pytest.raises(ValueError, match="promoted"):
+            use()
+    assert plain.table("otel_traces").count() == 1
+
+
+def test_writers_fill_all_promoted_attributes(spark, root):
+    promoted_store(spark, root)
+    with pytest.raises(ValueError, match="promoted"):
+        TelemetryStore(spark, root).write_traces(rows.spans(spark, {"TimestampNano": 1}))
