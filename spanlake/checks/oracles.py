@@ -89,9 +89,10 @@ def _top(order: str) -> str:
     SELECT key, count, avg_ms, p95_ms, max_ms, total_ms FROM stats ORDER BY best DESC, key LIMIT 25"""
 
 
-def _traces(where: str, limit: int, columns: str) -> str:
+def _traces(where: str, limit: int, columns: str, spans_per_trace: int | None = 50) -> str:
+    fetched = "" if spans_per_trace is None else f"LIMIT {limit * spans_per_trace}"
     return f"""WITH {SPANS}, found AS (
-      SELECT * FROM spans WHERE {where} ORDER BY ns DESC, trace_id, span_id LIMIT {limit * 50}),
+      SELECT * FROM spans WHERE {where} ORDER BY ns DESC, trace_id, span_id {fetched}),
     ordered AS (
       SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY parent_id <> '', ns, span_id) AS r FROM found),
     folded AS (
@@ -205,6 +206,7 @@ ORACLES = {
       severity || ';service.name=' || service || ';service_name=' || service || ';session.id=' || session ||
       ';session_id=' || session || ';span_id=' || span_id || ';trace_id=' || trace_id AS labels FROM logs""",
     "log_label_values": "SELECT DISTINCT 'u' || user_id AS value FROM events ORDER BY 1 LIMIT 1000",
+    "log_label_values_all": "SELECT DISTINCT 't' || (event_id // 8) AS value FROM events",
     "log_long_bodies": """SELECT source AS "ServiceName", count(*) AS n, sum(length(text))::BIGINT AS chars
       FROM documents WHERE contains(text, 'and') AND NOT regexp_matches(text, 'the.of', 's') GROUP BY 1""",
     "span_duration_filter": _spans("duration > 50000000"),
@@ -220,6 +222,7 @@ ORACLES = {
     "span_status_error": _spans("status = 'Error'"),
     "span_kind_server": _spans("kind = 'Server'"),
     "trace_search": _traces("status = 'Error'", 20, "trace_id, spans"),
+    "trace_search_all_spans": _traces("NOT contains(name, 'click')", 30, "trace_id, spans", None),
     "trace_root": _traces("NOT contains(name, 'click')", 2000, "trace_id, root_service_name, root_trace_name"),
     "trace_summary": _traces("true", 2000, "trace_id, started, duration_ms, listed AS spans"),
     "trace_waterfall": f"""WITH {SPANS} SELECT span_id, CASE WHEN parent_id = '' THEN 'none' ELSE parent_id END AS parent,

@@ -322,6 +322,11 @@ def _(spark, sf_dir):
     return logs.log_label_values(adapters.logs(spark, sf_dir), "session_id", START, END)
 
 
+@_register("log_label_values_all")
+def _(spark, sf_dir):
+    return logs.log_label_values(adapters.logs(spark, sf_dir), "trace_id", limit=None)
+
+
 @_register("log_long_bodies")
 def _(spark, sf_dir):
     """A line filter over whole, long texts."""
@@ -365,6 +370,13 @@ def _(spark, sf_dir):
     return found.select("trace_id", F.size("matched_spans").cast("bigint").alias("spans"))
 
 
+@_register("trace_search_all_spans")
+def _(spark, sf_dir):
+    query = TraceQuery().where(TraceCondition("name", TraceOp.NRE, "click"))
+    found = traces.search_traces(adapters.spans(spark, sf_dir), query, START, END, limit=30, spans_per_trace=None)
+    return found.select("trace_id", F.size("matched_spans").cast("bigint").alias("spans"))
+
+
 @_register("trace_root")
 def _(spark, sf_dir):
     """Conditions leave traces without their parentless span, so both ways of choosing the root occur."""

@@ -91,7 +91,7 @@ def span_condition(df: DataFrame, condition: TraceCondition) -> Column:
     if condition.field == "duration":
         if condition.op not in (TraceOp.EQ, TraceOp.NEQ) or not condition.value.isdecimal():
             raise UnsupportedQuery("duration can be compared by order, or for equality with whole nanoseconds")
-        same = F.col("Duration") == int(condition.value)
+        same = _compare(F.col("Duration"), TraceOp.EQ, int(condition.value))
         return same if condition.op is TraceOp.EQ else ~same
 
     if condition.op in (TraceOp.RE, TraceOp.NRE):
@@ -114,7 +114,14 @@ def integer_or_zero(text: Column) -> Column:
 
 
 def _compare(column: Column, op: TraceOp, value: int) -> Column:
+    """A BIGINT against a number of any size; one beyond BIGINT is larger, or smaller, than every value."""
+    if not -(2**63) <= value < 2**63:
+        below = value > 0
+        holds = op in (TraceOp.LT, TraceOp.LTE) if below else op in (TraceOp.GT, TraceOp.GTE)
+        return column.isNotNull() & F.lit(holds)
     match op:
+        case TraceOp.EQ:
+            return column == value
         case TraceOp.GT:
             return column > value
         case TraceOp.GTE:

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 
 from spanlake.functions.times import Instant, time_range
 
-# How many label values are listed at most.
+# How many label values are listed unless the caller says otherwise.
 MAX_VALUES = 1000
 
 
 def distinct_values(
-    df: DataFrame, value: Column, start: Instant | None, end: Instant | None, limit: int = MAX_VALUES
+    df: DataFrame, value: Column, start: Instant | None, end: Instant | None, limit: int | None = MAX_VALUES
 ) -> DataFrame:
-    """Column ``value``; the time range applies only when both bounds are given."""
+    """Column ``value``, at most ``limit`` rows (None: all); the time range applies only when both bounds are given."""
     if start is not None and end is not None:
         df = df.where(time_range(df, start, end))
-    return df.select(value.alias("value")).where("value != ''").distinct().orderBy("value").limit(limit)
+    values = df.select(value.alias("value")).where("value != ''").distinct().orderBy("value")
+    return values if limit is None else values.limit(limit)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanlake.functions import attributes, predicates
 from spanlake.functions.times import Instant, time_range
-from spanlake.operators.distinct import distinct_values
+from spanlake.operators.distinct import MAX_VALUES, distinct_values
 from spanlake.operators.newest import newest
 from spanlake.plans.queries import LogQuery, reject_raw
 
@@ -47,7 +47,11 @@ def search_logs(logs: DataFrame, query: LogQuery, start: Instant, end: Instant,
 
 
 def log_label_values(
-    logs: DataFrame, label: str, start: Instant | None = None, end: Instant | None = None
+    logs: DataFrame,
+    label: str,
+    start: Instant | None = None,
+    end: Instant | None = None,
+    limit: int | None = MAX_VALUES,
 ) -> DataFrame:
-    """Distinct non-empty values of a label, ascending."""
-    return distinct_values(logs, attributes.log_label(logs, label), start, end)
+    """Distinct non-empty values of a label, ascending, at most ``limit`` (None: all)."""
+    return distinct_values(logs, attributes.log_label(logs, label), start, end, limit)

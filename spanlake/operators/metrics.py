@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from spanlake.functions import attributes, literals, predicates, quantiles
 from spanlake.functions.times import NANOS, Instant, epoch_seconds, time_range, whole
-from spanlake.operators.distinct import distinct_values
+from spanlake.operators.distinct import MAX_VALUES, distinct_values
 from spanlake.plans.queries import MetricFn, MetricQuery, UnsupportedQuery, reject_raw
 from spanlake.plans.routing import base_name, histogram_part, metric_table
 
@@ -115,10 +115,14 @@ def sum_buckets(points: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def metric_label_values(
-    sums: DataFrame, label: str, start: Instant | None = None, end: Instant | None = None
+    sums: DataFrame,
+    label: str,
+    start: Instant | None = None,
+    end: Instant | None = None,
+    limit: int | None = MAX_VALUES,
 ) -> DataFrame:
-    """Distinct non-empty label values, ascending; read from the sum table only."""
-    return distinct_values(sums, attributes.metric_label(sums, label), start, end)
+    """Distinct non-empty label values, ascending, at most ``limit`` (None: all); read from the sum table only."""
+    return distinct_values(sums, attributes.metric_label(sums, label), start, end, limit)
 
 
 def _points(tables: MetricTables, query: MetricQuery, start: int, end: int) -> DataFrame:

@@ -40,14 +40,27 @@ def match_spans(traces: DataFrame, query: TraceQuery, start: Instant, end: Insta
     return traces.where(predicates.all_of(conditions))
 
 
-def search_traces(traces: DataFrame, query: TraceQuery, start: Instant, end: Instant, limit: int = 20) -> DataFrame:
+def search_traces(
+    traces: DataFrame,
+    query: TraceQuery,
+    start: Instant,
+    end: Instant,
+    limit: int = 20,
+    spans_per_trace: int | None = SPANS_PER_TRACE,
+) -> DataFrame:
     """One summary row per matched trace, the trace with the newest matched span first.
 
-    The newest ``50 * limit`` matched spans are fetched (a top-N, so only that many rows leave the scan) and folded into
-    traces; the first ``limit`` traces are returned.
+    The newest ``spans_per_trace * limit`` matched spans are fetched (a top-N, so only that many rows leave the scan) and
+    folded into traces; the first ``limit`` traces are returned. With ``spans_per_trace=None`` the ``limit`` traces are
+    picked first, and all their matched spans are folded, however many they are.
     """
     matched = match_spans(traces, query, start, end)
-    candidates = newest(matched, max(1, limit * SPANS_PER_TRACE), SPAN_COLUMNS, ["TraceId", "SpanId"])
+    if spans_per_trace is None:
+        last = matched.groupBy("TraceId").agg(F.max("TimestampNano").alias("last"))
+        picked = last.orderBy(F.desc("last"), "TraceId").limit(max(0, limit)).select("TraceId")
+        candidates = matched.join(picked, "TraceId", "left_semi").select(*SPAN_COLUMNS)
+    else:
+        candidates = newest(matched, max(1, limit * spans_per_trace), SPAN_COLUMNS, ["TraceId", "SpanId"])
     return fold_traces(candidates).orderBy(F.desc("last_nano"), "trace_id").limit(max(0, limit)).drop("last_nano")
 
 
@@ -96,14 +109,33 @@ def _by_start(left: Column, right: Column) -> Column:
     )
 
 
-def trace_spans(traces: DataFrame, trace_id: str) -> DataFrame:
-    """The stored rows of one trace in start order, at most 5000."""
-    return traces.where(F.col("TraceId") == trace_id).orderBy("TimestampNano", "SpanId").limit(MAX_TRACE_SPANS)
+def trace_spans(
+    traces: DataFrame,
+    trace_id: str,
+    start: Instant | None = None,
+    end: Instant | None = None,
+    max_spans: int | None = MAX_TRACE_SPANS,
+) -> DataFrame:
+    """The stored rows of one trace in start order, at most ``max_spans`` (None: all).
+
+    With both bounds only spans in that range are looked for, in the days it covers.
+    """
+    spans = traces.where(F.col("TraceId") == trace_id)
+    if start is not None and end is not None:
+        spans = spans.where(time_range(traces, start, end))
+    spans = spans.orderBy("TimestampNano", "SpanId")
+    return spans if max_spans is None else spans.limit(max_spans)
 
 
-def get_trace(traces: DataFrame, trace_id: str) -> DataFrame:
+def get_trace(
+    traces: DataFrame,
+    trace_id: str,
+    start: Instant | None = None,
+    end: Instant | None = None,
+    max_spans: int | None = MAX_TRACE_SPANS,
+) -> DataFrame:
     """The waterfall of one trace."""
-    return trace_spans(traces, trace_id).select(*waterfall_columns())
+    return trace_spans(traces, trace_id, start, end, max_spans).select(*waterfall_columns())
 
 
 def waterfall_columns() -> list[Column]:
@@ -130,9 +162,11 @@ def span_links() -> Column:
     )
 
 
-def trace_services(traces: DataFrame, trace_id: str) -> DataFrame:
-    """Per service of one trace, the resource attributes of its first span."""
-    return first_resources(trace_spans(traces, trace_id))
+def trace_services(
+    traces: DataFrame, trace_id: str, start: Instant | None = None, end: Instant | None = None
+) -> DataFrame:
+    """Per service of one trace, the resource attributes of its first span. All spans count, however many they are."""
+    return first_resources(trace_spans(traces, trace_id, start, end, None))
 
 
 def first_resources(spans: DataFrame) -> DataFrame:
@@ -149,11 +183,14 @@ def tag_values(
     filter: TraceQuery | None = None,
     start: Instant | None = None,
     end: Instant | None = None,
-    limit: int = 0,
+    limit: int | None = 0,
 ) -> DataFrame:
-    """Distinct non-empty values of a tag, ascending. A filter given as a raw string is ignored."""
+    """Distinct non-empty values of a tag, ascending: ``limit`` of them, the usual number for 0, all for None.
+
+    A filter given as a raw string is ignored.
+    """
     if filter is not None and filter.raw is None:
         conditions = [predicates.span_condition(traces, c) for c in filter.conditions]
         traces = traces.where(predicates.all_of(conditions))
     value = attributes.span_tag(traces, tag)
-    return distinct_values(traces, value, start, end, limit if limit > 0 else MAX_VALUES)
+    return distinct_values(traces, value, start, end, limit if limit is None or limit > 0 else MAX_VALUES)

@@ -157,3 +157,38 @@ def test_every_sort_and_no_rows(spark, table, sort):
     else:
         assert [r.key for r in top] == ["GET /", "job"]
     assert aggregate_spans(table, by_name, 200, 300).collect() == []
+
+
+def test_all_spans_of_a_trace_on_request(spark):
+    busy = rows.spans(
+        spark,
+        *(span("t1", f"s{i:02}", 100 + i, "root", SpanName="x", ServiceName="web") for i in range(60)),
+        span("t1", "root", 10, SpanName="GET /", ServiceName="edge"),
+        span("t2", "z", 50, SpanName="x", ServiceName="web"),
+    )
+    (newest,) = traces.search_traces(busy, TraceQuery(), 0, 1000, limit=1).collect()
+    assert len(newest.matched_spans) == 50 and newest.root_service_name == "web"
+    (whole,) = traces.search_traces(busy, TraceQuery(), 0, 1000, limit=1, spans_per_trace=None).collect()
+    assert len(whole.matched_spans) == 61 and whole.root_service_name == "edge"
+    both = traces.search_traces(busy, TraceQuery(), 0, 1000, limit=2, spans_per_trace=None).collect()
+    assert [r.trace_id for r in both] == ["t1", "t2"]
+    assert traces.get_trace(busy, "t1", max_spans=None).count() == 61
+    assert traces.get_trace(busy, "t1", 0, 99).count() == 1
+    assert {r.service_name for r in traces.trace_services(busy, "t1").collect()} == {"web", "edge"}
+
+
+@pytest.mark.parametrize(
+    ("op", "value", "expected"),
+    [
+        (TraceOp.GT, "99999999h", []),
+        (TraceOp.LTE, "99999999h", ["a", "b", "c", "d", "e"]),
+    ],
+)
+def test_durations_beyond_bigint(table, op, value, expected):
+    assert found(table, TraceCondition.token("duration", op, value)) == expected
+
+
+def test_numbers_beyond_bigint(table):
+    assert found(table, TraceCondition.token("span.code", TraceOp.GT, "1e30")) == []
+    assert found(table, TraceCondition.token("span.code", TraceOp.GT, "-1e30")) == ["a", "b", "c", "d", "e"]
+    assert found(table, TraceCondition.token("duration", TraceOp.EQ, "9" * 30)) == []
