@@ -132,8 +132,8 @@ def parse_traces(raw: DataFrame) -> DataFrame:
 def parse_metrics(raw: DataFrame) -> MetricTables:
     """The three point tables; a metric of any other kind gives no rows.
 
-    The three results share the parsing plan. Writing all three re-reads the payloads per table unless the caller caches
-    ``metric_points`` or uses ``TelemetryStore.write_metrics``.
+    The three results share the parsing plan. Writing all three reads the payloads once per table unless the caller
+    keeps ``metric_points``, as the ingest does.
     """
     points = metric_points(raw)
     return MetricTables(sum=sum_points(points), gauge=gauge_points(points), histogram=histogram_points(points))

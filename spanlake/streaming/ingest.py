@@ -46,8 +46,12 @@ def run_ingest_stream(
     trigger: dict | None = None,
     files_per_batch: int | None = None,
     promote: tables.Promoted | None = None,
+    cluster: bool = False,
 ):
-    """Start the streaming query over new files below ``source``."""
+    """Start the streaming query over new files below ``source``.
+
+    Micro-batches are small, so they skip the shuffle that clusters rows; pass ``cluster=True`` for large ones.
+    """
     configure(spark)
     reader = spark.readStream.schema("value STRING").format("text")
     if files_per_batch:
@@ -55,7 +59,7 @@ def run_ingest_stream(
     payloads = reader.load(source).withColumnRenamed("value", "raw")
 
     def add(batch: DataFrame, _: int) -> None:
-        write_payloads(batch, root, signal, promote)
+        write_payloads(batch, root, signal, promote, cluster)
 
     return (
         payloads.writeStream.foreachBatch(add)
