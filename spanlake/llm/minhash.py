@@ -159,7 +159,6 @@ def similar(x: list[list[bytes]], y: list[list[bytes]], size: int, percent: int)
 
 def _confirm(groups: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) found in groups (g, x, id, part): rows with x against rows without, one link per x and part."""
-    schema = "a bigint, b bigint"
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         x, y = rows[rows["x"]], rows[~rows["x"]]
@@ -172,18 +171,16 @@ def _confirm(groups: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         return pd.DataFrame({"a": [k[0] for k in found], "b": list(found.values())}, dtype="int64")
 
     rows = groups.join(texts, "id").select("g", "x", "id", "part", "text")
-    return rows.groupBy("g").applyInPandas(run, schema)
+    return rows.groupBy("g").applyInPandas(run, "a bigint, b bigint")
 
 
 def _blocks(x: DataFrame, y: DataFrame) -> DataFrame:
     """Groups that compare all x (c, id) with all y (c, id, part) of equal c, in blocks of bounded size."""
 
-    def cut(side: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        counts = side.groupBy("c").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{name}"))
-        return side, counts
+    def blocks(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy("c").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{name}"))
 
-    (x, nx), (y, ny) = cut(x, "x"), cut(y, "y")
-    sizes = nx.join(ny, "c")
+    sizes = blocks(x, "x").join(blocks(y, "y"), "c")
 
     def deal(side: DataFrame, own: str, other: str) -> DataFrame:
         at = F.pmod(F.xxhash64(F.lit(5), "id"), F.col(f"n_{own}")).cast("int")

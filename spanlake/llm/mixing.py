@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from spanlake.llm.common import prepare, staged, whole, words
 from spanlake.llm.labelled import MASK, codes, sample
 
-TRAIN_DOCUMENTS = 4_000
+TRAIN_DOCUMENTS = 3_000
 BUCKETS = 2048
 EPOCHS = 150
 RATE = 0.05
@@ -81,6 +81,7 @@ def features(texts: list[str]) -> np.ndarray:
 def train(texts: list[str], labels: list[str], names: list[str]) -> Classifier:
     """Softmax regression by adaptive gradient steps over the whole sample."""
     x = features(texts)
+    codes.clear()  # the driver needs them no more
     mean, spread = x.mean(axis=0), x.std(axis=0) + 0.05
     x -= mean
     x /= spread
