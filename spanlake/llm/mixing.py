@@ -160,22 +160,23 @@ def solve(
     """
     floor = floor_of(names, floors or {})
     history: list[np.ndarray] = []
-    goal, before = None, np.inf
+    goal, before, off_before, safe = None, np.inf, None, False
     n = len(names)
+    p, tokens = F.col("p"), F.col("n_tokens")
     weight = np.array([max(0.0, targets[name]) for name in names])
+
+    def inverse(moments: list[float]) -> np.ndarray:
+        return np.linalg.pinv(np.array(moments).reshape(n, n), rcond=1e-9, hermitian=True)
+
     for _ in range(MAX_STEPS):
-        rated = members.select("n_tokens", "p", _rate(history, floor).alias("r"))
-        p, mass = F.col("p"), F.col("n_tokens") * F.col("r")
-        sums = [F.sum(mass * p[d]) for d in range(n)]
-        if goal is None:
-            sums += [F.sum(F.col("n_tokens") * p[a] * p[b]) for a in range(n) for b in range(n)]
+        rated = members.select("n_tokens", "p", _rate(history, floor).alias("r"), floor.alias("f"))
+        free = F.when(F.col("r") > F.col("f"), tokens).otherwise(0)
+        sums = [F.sum(tokens * F.col("r") * p[d]) for d in range(n)]
+        sums += [F.sum(of * p[a] * p[b]) for of in (free, tokens) for a in range(n) for b in range(n)]
         row = [x or 0.0 for x in rated.agg(*sums).first()]
-        totals = np.array(row[:n])
+        totals, movable, every = np.array(row[:n]), row[n : n + n * n], row[n + n * n :]
         if goal is None:
-            # of all documents: no more than the curvature once some are at their floor, so no step goes too far
-            scale = np.linalg.pinv(np.array(row[n:]).reshape(n, n), rcond=1e-9, hermitian=True)
-            reach = totals > 0
-            weight = np.where(reach, weight, 0)
+            weight = np.where(totals > 0, weight, 0)
             if not weight.sum():
                 return []
             weight /= weight.sum()
@@ -184,10 +185,18 @@ def solve(
             goal = weight * (budget if budget is not None else totals.sum())
         off = totals - goal
         distance = np.abs(off).sum()
-        if distance <= TOLERANCE * max(1.0, goal.sum()) or distance > STALLED * before:
+        if distance <= TOLERANCE * max(1.0, goal.sum()):
             break
-        before = distance
-        history.append(scale @ off)
+        if distance > STALLED * before:
+            if safe:
+                break
+            # the moments of the documents that can move gave too long a step; those of all documents never do
+            safe = True
+            if distance > before:
+                history.pop()
+                off, distance = off_before, before
+        before, off_before = distance, off
+        history.append(inverse(every if safe else movable) @ off)
     return history
 
 
