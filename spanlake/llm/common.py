@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.session import configure
-from spanlake.sources.tables import write_fresh
+from spanlake.sources.tables import drop, write_fresh
 
 # The white space that separates words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -55,6 +55,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return write_fresh(df, name)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a staged table that nothing to come reads any more."""
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        drop(df.sparkSession, folder)
+
+
 def whole(text: str | Column = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -32,12 +32,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import prepare, staged
+from spanlake.llm.common import discard, prepare, staged
 
 LENGTH = 200
 CORE = 32
-GROUP = 1500
-RANGE = 21
+# contexts of one anchor in a task, some 400 bytes each
+GROUP = 4096
+
+# starts per range as hot anchors are split further and further
+RANGES = (84, 21, 5, 1)
 
 # bytes of text looked at together
 SLICE = 4_000_000
@@ -261,32 +264,35 @@ def find_spans(docs: DataFrame, length: int = LENGTH, core: int = CORE, group: i
     again = found.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
     items = found.join(again, "a").groupBy("id").agg(F.collect_set(F.struct("x", "lo", "hi", "a")).alias("items"))
     around = staged(contexts(docs.join(items, "id"), length, core), "contexts")
+    discard(found)
 
     place = F.struct("id", "x")
     folded = around.groupBy("a", "c1", "c2").agg(F.min(place).alias("one"), F.max(place).alias("other"))
     folded = staged(folded, "folded")
     equal = around.join(folded.where("one <> other").select("c1", "c2").distinct(), ["c1", "c2"])
-    spans = equal.select("id", F.expr("x - hi AS s"), F.expr(f"x - lo + {length} AS e"))
+    spans = staged(equal.select("id", F.expr("x - hi AS s"), F.expr(f"x - lo + {length} AS e")), "equal")
 
     sizes = folded.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
     firsts = folded.join(sizes, "a").select(
         F.col("one.id").alias("id"), F.col("one.x").alias("x"), "n", (F.col("one") != F.col("other")).alias("known")
     )
     different = staged(around.drop("c1", "c2").join(firsts, ["id", "x"]), "different")
+    discard(around)
     few = different.where(F.col("n") <= group).withColumn("g", F.struct("a"))
     spans = spans.unionByName(_scan(few, length))
 
-    # hot anchors: by ranges of starts, then by single starts
+    # hot anchors: by smaller and smaller ranges of starts, at last by single ones
     hot = different.where(F.col("n") > group).drop("n")
-    if hot.isEmpty():
-        return spans
-    for width in (RANGE, 1):
+    for width in RANGES:
+        if hot.isEmpty():
+            break
         split = staged(_split(hot, width, length), "ranges")
         places = split.groupBy("core").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("other"))
         split = split.join(places.where("one <> other").select("core", "n"), "core")
         if width == 1:
             whole = split.where("NOT known").select("id", F.expr("x - high AS s"), F.expr(f"x - low + {length} AS e"))
-            return spans.unionByName(whole)
+            spans = spans.unionByName(whole)
+            break
         split = staged(split, "cores")
         spans = spans.unionByName(_scan(split.where(F.col("n") <= group).withColumn("g", F.col("core")), length))
         hot = split.where(F.col("n") > group).select("id", "x", "a", "known", "before", "after", F.col("low").alias("lo"), F.col("high").alias("hi"))

@@ -145,10 +145,10 @@ def _passages():
     return texts | {300: None, 301: "", 302: "z" * 100, 303: "ab" * 60, 304: texts[205], 305: text(19)}
 
 
-@pytest.mark.parametrize("group", [1500, 3])
+@pytest.mark.parametrize("group", [4096, 3])
 def test_repeated_passages(docs, monkeypatch, group):
     texts = _passages()
-    monkeypatch.setattr(suffix, "RANGE", 5)
+    monkeypatch.setattr(suffix, "RANGES", (5, 2, 1))
     frame = docs(*texts.items(), (303, texts[303]))  # a repeated row is no second document
     monkeypatch.setattr(suffix.find_spans, "__defaults__", (suffix.LENGTH, suffix.CORE, group))
     rows = suffix.remove_repeats(frame, length=20, core=8).collect()
