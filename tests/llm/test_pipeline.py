@@ -44,7 +44,7 @@ def test_stages(spark, docs, tmp_path):
         seen[name] = frame
         if name != "packing":
             assert frame.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = {r.doc_id for r in quality.judge(docs(*texts.items())).where("kept").collect()}
+    kept = {r.doc_id for r in quality.judge(docs(*texts.items())).collect() if r.kept}
     assert {r.doc_id for r in seen["quality rules"].collect()} == kept and not kept & {200, 201, 202, 203}
     left = without_frequent_lines({i: rows[i] for i in kept})
     lines = seen["line dedup"].collect()
