@@ -9,7 +9,7 @@ byte and a running sum, without looking at the data.
 
 Texts are encoded once, without a shuffle, into a staged table of raw ids; the frequencies come from that table (one
 row per id and task), and only ids are sorted by document, not texts. Words recur, so a worker remembers the ids of words it
-has met, up to a bound.
+has met, up to a bound: two generations, of which the older goes once the younger is full.
 
 Defined results: a null or empty text has the end id alone; a null id sorts first; repeated rows stay, one after the
 other; an empty table gives an empty folder; extra columns are ignored.
@@ -32,7 +32,7 @@ from spanlake.session import fresh_path
 END_ID = 2
 
 # words a worker remembers, and documents encoded at a time
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 SLICE_DOCUMENTS = 256
 
 # The pre-tokenizer whose cuts are known here; others encode whole texts.
@@ -61,9 +61,13 @@ class WordEncoder:
         self.by_word = BYTE_LEVEL.items() <= known.items() and not spec.get("normalizer")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # the model alone, fed with words between line feeds
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        vocabulary = self.bare.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         letters = set(pre_tokenizers.ByteLevel.alphabet())
         others = [b for b in range(256) if chr(b) not in letters]
         self.letters = dict(zip(others, sorted(c for c in letters if ord(c) > 255)))
@@ -87,21 +91,30 @@ class WordEncoder:
         return word.encode().decode("latin-1").translate(self.letters)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _learn_words(self, words: list[str]) -> None:
-        """Words of letters, with or without a space before them."""
+        """Words of letters, with or without a space before them; the lengths of tokens tell where a word ends."""
         width = np.dtype(self.kind).itemsize
-        for first in range(0, len(words), 256):
-            some = words[first : first + 256]
-            mapped = "\n".join(map(self._map, some))
-            found = self.bare.encode(mapped, add_special_tokens=False)
-            raw = np.array(found.ids, self.kind).tobytes()
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(some)), "right") * width
-            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
-
-    def _learn(self, parts: set[str]) -> None:
+        for first in range(0, len(words), 1024):
+            some = words[first : first + 1024]
+            mapped = list(map(self._map, some))
+            found = self.bare.encode_batch_fast(["\n".join(mapped)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, self.kind)
+            raw, ends = ids.tobytes(), np.cumsum(list(map(len, mapped)))
+            ends = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * width).tolist()
+            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends))))
+
+    def _recall(self, words: set[str]) -> list[str]:
+        """The words that are new; those of the older generation come back."""
+        words = words.difference(self.known)
+        met = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in met)
+        return list(words - met)
+
+    def _learn(self, parts: set[str]) -> list[str]:
+        """Make the parts known; returns those that are put together from a word and stops, and need not be remembered."""
         joined: dict[str, tuple[str, str]] = {}
         words, others = set(), set()
         for part in parts:
@@ -113,11 +126,12 @@ class WordEncoder:
                 if core != part:
                     joined[part] = core, part[len(core) :]
         others.update(end for _, end in joined.values())
-        self._learn_words([w for w in words if w not in self.known])
-        new = [w for w in others if w not in self.known]
+        self._learn_words(self._recall(words))
+        new = self._recall(others)
         self.known.update(zip(new, self._encode(new)))
-        for part, (core, end) in joined.items():
-            self.known[part] = self.known[core] + self.known[end]
+        known = self.known
+        known.update([(part, known[core] + known[end]) for part, (core, end) in joined.items()])
+        return list(joined)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian."""
@@ -125,12 +139,13 @@ class WordEncoder:
             return self._encode(texts)
         cut = [self.cut(t) if t else [] for t in texts]
         new = set().union(*(c for c in cut if c)).difference(self.known)
-        if new:
-            self._learn(new)
+        passing = self._learn(new) if new else []
         whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))
         ids = [next(whole) if c is None else b"".join(map(self.known.__getitem__, c)) for c in cut]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for part in passing:
+            del self.known[part]
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         return ids
 
 
