@@ -261,10 +261,12 @@ def find_spans(docs: DataFrame, length: int = LENGTH, core: int = CORE, group: i
     """(id, s, e): covered bytes, in overlapping spans, of documents (id, text) without nulls."""
     prepare(docs.sparkSession)
     found = staged(anchors(docs, length, core), "anchors")
-    again = found.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    # a table of its own: a join of two plain tables can split an anchor that many places share
+    again = staged(found.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "again")
     items = found.join(again, "a").groupBy("id").agg(F.collect_set(F.struct("x", "lo", "hi", "a")).alias("items"))
     around = staged(contexts(docs.join(items, "id"), length, core), "contexts")
     discard(found)
+    discard(again)
 
     place = F.struct("id", "x")
     folded = around.groupBy("a", "c1", "c2").agg(F.min(place).alias("one"), F.max(place).alias("other"))
@@ -272,7 +274,7 @@ def find_spans(docs: DataFrame, length: int = LENGTH, core: int = CORE, group: i
     equal = around.join(folded.where("one <> other").select("c1", "c2").distinct(), ["c1", "c2"])
     spans = staged(equal.select("id", F.expr("x - hi AS s"), F.expr(f"x - lo + {length} AS e")), "equal")
 
-    sizes = folded.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = staged(folded.groupBy("a").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     firsts = folded.join(sizes, "a").select(
         F.col("one.id").alias("id"), F.col("one.x").alias("x"), "n", (F.col("one") != F.col("other")).alias("known")
     )
