@@ -292,6 +292,10 @@ ORACLES = {
         columns="crossing.service AS service_name, crossing.t",
         on="AND crossing.service = edges.service AND crossing.t = edges.t",
     ),
+    "counter_increase_per_series": f"""WITH {COUNTERS}, parts AS (
+      SELECT service, event_type, max(v) - min(v) AS part FROM counters GROUP BY ALL)
+    SELECT event_type, {_END}::DOUBLE AS timestamp, round(sum(part), 6) AS value FROM parts GROUP BY event_type""",
+    "range_by_status_code": _range("event_type AS http_response_status_code", 86400),
     "hist_bucket_sum": f"""WITH {HISTOGRAM} SELECT service, pos::BIGINT AS pos, count(*) AS n,
       CASE WHEN service = 'svc-6' THEN 2 ELSE 6 END::BIGINT AS bounds FROM bounded GROUP BY ALL""",
     "range_series": f"""WITH {COUNTERS}, points AS (SELECT service, {_slot(86400)} AS t,
@@ -299,4 +303,5 @@ ORACLES = {
       SELECT service AS service_name, string_agg(t || ':' || value, ',' ORDER BY t) AS points FROM points GROUP BY 1""",
     "metric_label_values": "SELECT DISTINCT event_type AS value FROM events",
 }
+ORACLES["gauge_named_count"] = ORACLES["gauge_latest"]
 ORACLES["rollup_compact"] = ORACLES["rollup_minute"]

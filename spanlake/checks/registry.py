@@ -331,7 +331,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """A line filter over whole, long texts."""
     query = LogQuery().line(LineOp.CONTAINS, "and").line(LineOp.NOT_REGEX, "the.of")
-    found = logs.match_logs(adapters.document_logs(spark, sf_dir), query, START, START.replace(year=2034))
+    found = logs.match_logs(adapters.document_logs(spark, sf_dir), query, START, START.replace(year=2262))
     return found.groupBy("ServiceName").agg(F.count("*").alias("n"), F.sum(F.length("Body")).alias("chars"))
 
 
@@ -616,6 +616,32 @@ for _name, (_metric, _step) in RANGE_QUERIES.items():
     _register(_name)(partial(_range, _metric, _step))
 
 
+@_register("counter_increase_per_series")
+def _(spark, sf_dir):
+    query = COUNTER.increase("31d").grouped("event_type").each_series()
+    return _instant(query, spark, sf_dir)
+
+
+@_register("gauge_named_count")
+def _(spark, sf_dir):
+    """A gauge whose name ends like a part of a histogram."""
+    gauge = adapters.metric_tables(spark, sf_dir).gauge
+    named = metrics.MetricTables(gauge=gauge.withColumn("MetricName", F.concat("MetricName", F.lit("_count"))))
+    query = MetricQuery("queue_depth_count", window="31d").grouped("event_type").from_table("gauge")
+    return metrics.instant(named, query, END).withColumn("value", F.round("value", 6))
+
+
+@_register("range_by_status_code")
+def _(spark, sf_dir):
+    """A label whose attribute key holds an underscore."""
+    sums = adapters.metric_tables(spark, sf_dir).sum
+    key = F.create_map(F.lit("http.response.status_code"), F.col("Attributes")["event.type"])
+    coded = metrics.MetricTables(sum=sums.withColumn("Attributes", key))
+    query = COUNTER.increase().grouped("http_response_status_code").normalized_labels()
+    values = metrics.range_query(coded, query, START, END, DAY)
+    return values.withColumn("value", F.round("value", 9))
+
+
 @_register("hist_bucket_sum")
 def _(spark, sf_dir):
     points = adapters.metric_tables(spark, sf_dir).histogram.withColumnRenamed("ServiceName", "service")

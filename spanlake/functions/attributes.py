@@ -52,6 +52,16 @@ def attribute(df: DataFrame, map_column: str, key: str) -> Column:
     return F.col(map_column)[key]
 
 
+def normalized(df: DataFrame, *map_columns: str) -> DataFrame:
+    """The table with the keys of these maps spelled with dots throughout, as labels are looked up.
+
+    The copies kept as columns are left out, since they go by the stored keys. Of keys that become equal the last one wins.
+    """
+    copies = [c for c in df.columns if any(c.startswith(promoted_name(m, "")) for m in map_columns)]
+    spelled = {m: F.transform_keys(m, lambda key, _: F.replace(key, F.lit("_"), F.lit("."))) for m in map_columns}
+    return df.drop(*copies).withColumns(spelled)
+
+
 def _first(candidates: list[Column], nullable: bool) -> Column:
     if not nullable:
         return F.coalesce(*candidates, F.lit(""))

@@ -3,7 +3,8 @@
 Known and kept properties of the semantics: an increase is the largest minus the smallest value of a whole label group
 (no counter resets, series in one group are not told apart); an instant rate without window looks back an hour and
 divides by 60; the instant delta of a histogram count or sum is never divided, the range one is divided by the step;
-histogram buckets are summed over the time span, not subtracted.
+histogram buckets are summed over the time span, not subtracted. Queries can ask for increases series by series, for labels
+that match keys with underscores, and for a table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from spanlake.functions import attributes, literals, predicates, quantiles
 from spanlake.functions.times import NANOS, Instant, epoch_seconds, time_range, whole
 from spanlake.operators.distinct import MAX_VALUES, distinct_values
 from spanlake.plans.queries import MetricFn, MetricQuery, UnsupportedQuery, reject_raw
-from spanlake.plans.routing import base_name, histogram_part, metric_table
+from spanlake.plans.routing import metric_table, part_of, stored_name
 
 # Seconds looked back without a window, seconds a rate without a window is divided by, the smallest
 # automatic step and the number of points it aims at.
@@ -73,8 +74,14 @@ def range_query(
 def _values(
     points: DataFrame, query: MetricQuery, keys: list[str], aggregate: Callable[[MetricQuery], Column]
 ) -> DataFrame:
+    if query.per_series and (query.quantile is not None or query.fn is MetricFn.NONE and part_of(query) is None):
+        raise UnsupportedQuery("only increases and rates can be taken series by series")
     if query.quantile is not None:
         return quantiles.histogram_quantile(sum_buckets(points, keys), keys, query.quantile)
+    if query.per_series:
+        of_series = points.groupBy(*keys, "service", "attributes", "resource").agg(aggregate(query).alias("part"))
+        value = F.coalesce(F.sum("part").cast("double"), F.lit(0.0))
+        return of_series.groupBy(*keys).agg(_scaled(query, value).alias("value"))
     value = F.coalesce(aggregate(query).cast("double"), F.lit(0.0))
     return points.groupBy(*keys).agg(_scaled(query, value).alias("value"))
 
@@ -127,11 +134,15 @@ def metric_label_values(
 
 def _points(tables: MetricTables, query: MetricQuery, start: int, end: int) -> DataFrame:
     table = getattr(tables, metric_table(query))
-    if histogram_part(query.name) == "bucket" and query.quantile is None:
+    if query.table and query.quantile is not None:
+        raise UnsupportedQuery("quantiles are read from histograms")
+    if query.normalized:
+        table = attributes.normalized(table, "Attributes", "ResourceAttributes")
+    if part_of(query) == "bucket" and query.quantile is None:
         raise UnsupportedQuery("a _bucket series can only be asked for a quantile")
     matchers = [*query.matchers, *map(literals.matcher_fragment, query.raw_matchers)]
     conditions = [
-        F.col("MetricName") == base_name(query.name),
+        F.col("MetricName") == stored_name(query),
         time_range(table, start, end),
         *(predicates.metric_matcher(table, m) for m in matchers),
     ]
@@ -139,11 +150,19 @@ def _points(tables: MetricTables, query: MetricQuery, start: int, end: int) -> D
     labels = zip(_label_columns(query), query.by)
     measured = [c for c in ("Value", "Count", "Sum", "BucketCounts", "ExplicitBounds") if c in points.columns]
     keys = [attributes.metric_label(points, label).alias(column) for column, label in labels]
-    return points.select(*keys, "TimestampNano", *measured)
+    series = _series() if query.per_series else []
+    return points.select(*keys, *series, "TimestampNano", *measured)
+
+
+def _series() -> list[Column]:
+    """What tells series apart, in a form that can be grouped by."""
+    maps = {"attributes": "Attributes", "resource": "ResourceAttributes"}
+    entries = [F.array_sort(F.map_entries(column)).alias(name) for name, column in maps.items()]
+    return [F.col("ServiceName").alias("service"), *entries]
 
 
 def _instant_value(query: MetricQuery) -> Column:
-    part = histogram_part(query.name)
+    part = part_of(query)
     if part is not None:
         return _delta(_HISTOGRAM_COLUMNS[part])
     if query.fn is MetricFn.NONE:
@@ -154,8 +173,8 @@ def _instant_value(query: MetricQuery) -> Column:
 
 
 def _range_value(query: MetricQuery, step: int) -> Column:
-    column = _HISTOGRAM_COLUMNS.get(histogram_part(query.name), "Value")
-    if query.fn is MetricFn.NONE:
+    column = _HISTOGRAM_COLUMNS.get(part_of(query), "Value")
+    if query.fn is MetricFn.NONE and not query.per_series:
         return F.avg(F.col(column).cast("double"))
     if query.fn is MetricFn.RATE:
         return _delta(column) / step

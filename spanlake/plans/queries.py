@@ -158,6 +158,9 @@ class MetricQuery:
     quantile: float | None = None
     scalar: float | None = None
     raw: str | None = None
+    table: str | None = None
+    per_series: bool = False
+    normalized: bool = False
 
     def rate(self, window: str = "") -> MetricQuery:
         return replace(self, fn=MetricFn.RATE, window=window)
@@ -184,6 +187,20 @@ class MetricQuery:
     def times(self, scalar: float) -> MetricQuery:
         return replace(self, scalar=scalar)
 
+    def from_table(self, table: str) -> MetricQuery:
+        """Read ``sum`` or ``gauge`` whatever the name ends in, so that a plain metric may be called ``x_count``."""
+        if table not in ("sum", "gauge"):
+            raise UnsupportedQuery("a query can be sent to the sum or the gauge table")
+        return replace(self, table=table)
+
+    def each_series(self) -> MetricQuery:
+        """Increases and rates series by series, added up per label group."""
+        return replace(self, per_series=True)
+
+    def normalized_labels(self) -> MetricQuery:
+        """Labels find attribute keys that hold underscores themselves, as ``http.response.status_code``."""
+        return replace(self, normalized=True)
+
 
 def reject_raw(raw: str | None, language: str) -> None:
     if raw is not None:

@@ -30,7 +30,18 @@ def base_name(name: str) -> str:
     return name.removesuffix(f"_{part}") if part else name
 
 
+def part_of(query: MetricQuery) -> str | None:
+    """The histogram part a query asks for; none if it names its table."""
+    return None if query.table else histogram_part(query.name)
+
+
+def stored_name(query: MetricQuery) -> str:
+    return query.name if query.table else base_name(query.name)
+
+
 def metric_table(query: MetricQuery) -> str:
+    if query.table:
+        return query.table
     if query.quantile is not None or histogram_part(query.name):
         return "histogram"
     return "gauge" if query.fn is MetricFn.NONE else "sum"

@@ -1,10 +1,11 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 import rows
 from rows import S
-from spanlake.operators.metrics import instant, metric_label_values, range_query, sum_buckets, to_series
+from spanlake.operators.metrics import MetricTables, instant, metric_label_values, range_query, sum_buckets, to_series
 from spanlake.plans.queries import MatchOp, MetricQuery, UnsupportedQuery
 
 T0 = 1735689600
@@ -162,3 +163,36 @@ def test_label_values_come_from_sums_only(tables):
 def test_bucket_series_need_a_quantile(tables):
     with pytest.raises(UnsupportedQuery):
         instant(tables, MetricQuery("h_seconds_bucket").rate("1m"), T0)
+
+
+def test_a_name_may_end_like_a_part(tables):
+    """Sent to a table, the whole name counts."""
+    named = MetricQuery("jobs_count").increase("1h").from_table("sum")
+    renamed = MetricTables(sum=tables.sum.withColumn("MetricName", F.lit("jobs_count")))
+    every = MetricTables(sum=tables.sum.withColumn("MetricName", F.lit("jobs_total")))
+    want = instant(every, MetricQuery("jobs_total").increase("1h"), T0 + 70).collect()
+    assert instant(renamed, named, T0 + 70).collect() == want
+    with pytest.raises(UnsupportedQuery):
+        MetricQuery("x").from_table("histogram")
+    with pytest.raises(UnsupportedQuery):
+        instant(tables, named.at_quantile(0.5), T0)
+
+
+def test_increases_series_by_series(tables):
+    """Without labels one row, as with whole groups; the parts of the groups add up."""
+    grouped = instant(tables, JOBS.increase("1h").grouped("queue"), T0 + 70).collect()
+    whole = instant(tables, JOBS.increase("1h").each_series(), T0 + 70).collect()
+    assert len(whole) == 1 and whole[0].value >= max(r.value for r in grouped)
+    nothing = MetricQuery("absent_total").increase("1h").each_series()
+    assert [r.value for r in instant(tables, nothing, T0 + 70).collect()] == [0.0]
+    with pytest.raises(UnsupportedQuery):
+        instant(tables, JOBS.each_series(), T0)
+
+
+def test_labels_with_underscores_in_their_key(tables):
+    key = F.create_map(F.lit("job.queue_name"), F.col("Attributes")["queue"])
+    spelled = MetricTables(sum=tables.sum.withColumn("Attributes", key))
+    query = JOBS.increase("1h").grouped("job_queue_name")
+    assert {r.job_queue_name for r in instant(spelled, query, T0 + 70).collect()} == {""}
+    found = {r.job_queue_name: r.value for r in instant(spelled, query.normalized_labels(), T0 + 70).collect()}
+    assert found == {r.queue: r.value for r in instant(tables, JOBS.increase("1h").grouped("queue"), T0 + 70).collect()}
