@@ -5,7 +5,8 @@ executor or a restarted query never counts a span twice. No watermark: late span
 
 So that a rollup fed every minute does not end up in tens of thousands of small directories, each run of ``MERGE_EVERY``
 batches is merged into one directory named ``<first>-<last>``. Readers take the batches marked complete and leave out those
-a complete merge covers, so every state in between, a crash included, reads the same.
+a complete merge covers, so every state in between, a crash included, reads the same. Merged batches stay until the next merge,
+so that readers planned before a merge can finish.
 """
 
 from __future__ import annotations
@@ -53,12 +54,15 @@ def read_summary(spark: SparkSession, root: str) -> DataFrame | None:
 def visible_batches(spark: SparkSession, root: str) -> list[str]:
     """The complete batches that no complete merge covers."""
     complete = tables.names(spark, f"{root}/{SUMMARY}/{COMPLETE}")
-    merges = [tuple(map(int, name.split("-"))) for name in complete if "-" in name]
+    replaced = _replaced(complete)
+    return [name for name in complete if name not in replaced]
 
-    def covered(name: str) -> bool:
-        return name.isdigit() and any(first <= int(name) <= last for first, last in merges)
 
-    return [name for name in complete if not covered(name)]
+def _replaced(complete: list[str]) -> set[str]:
+    """The batches among the complete ones that a merge among them covers."""
+    merges = [tuple(map(int, name.split("-"))) for name in complete if "-" in name]
+    numbers = {number for first, last in merges for number in range(first, last + 1)}
+    return {name for name in complete if name.isdigit() and int(name) in numbers}
 
 
 def stream_started(spark: SparkSession, root: str) -> bool:
@@ -82,16 +86,17 @@ def _read(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | Non
 
 
 def merge_batches(spark: SparkSession, root: str, first: int, last: int) -> None:
-    """Merge the batches of a run into one directory, then drop the merged ones. Safe to repeat."""
+    """Merge the batches of a run into one directory, and drop those that earlier merges replaced. Safe to repeat."""
     run = {str(number) for number in range(first, last + 1)}
     merged = f"{first}-{last}"
-    visible = visible_batches(spark, root)
-    if merged not in visible:
-        rows = _read(spark, root, [name for name in visible if name in run])
+    complete = tables.names(spark, f"{root}/{SUMMARY}/{COMPLETE}")
+    replaced = _replaced(complete)
+    if merged not in complete:
+        rows = _read(spark, root, [name for name in complete if name in run - replaced])
         if rows is None:
             return
         write_batch(compact_rollup(rows), root, merged)
-    for name in run.intersection(tables.names(spark, f"{root}/{SUMMARY}/{COMPLETE}")):
+    for name in replaced:
         tables.drop(spark, f"{root}/{SUMMARY}/batch={name}")
         tables.drop(spark, f"{root}/{SUMMARY}/{COMPLETE}/{name}")
 

@@ -101,6 +101,22 @@ def test_merged_batches_count_once_at_every_step(spark, root, tmp_path):
     assert calls(spark, root) == 8
 
 
+def test_readers_planned_before_a_merge_finish(spark, root):
+    partial = rollup_partial(rows.spans(spark, db_span(1), db_span(2)))
+    for batch in range(4):
+        rollup_stream.write_batch(partial, root, str(batch))
+    planned = rollup_stream.read_summary(spark, root)
+    rollup_stream.merge_batches(spark, root, 0, 1)
+    assert sum(r.Calls for r in planned.collect()) == 8
+
+    # the next merge drops what this one replaced
+    later = rollup_stream.read_summary(spark, root)
+    rollup_stream.merge_batches(spark, root, 2, 3)
+    assert sum(r.Calls for r in later.collect()) == 8
+    left = tables.names(spark, f"{root}/{rollup_stream.SUMMARY}")
+    assert sorted(n for n in left if n.startswith("batch=")) == ["batch=0-1", "batch=2", "batch=2-3", "batch=3"]
+
+
 def test_the_stream_merges_its_batches(spark, root, tmp_path):
     store = TelemetryStore(spark, root)
     store.install()
