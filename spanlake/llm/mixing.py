@@ -7,9 +7,12 @@ needs the totals alone (a handful of sums, combined before the shuffle), moves e
 probabilities and cuts it off at its floor. The gradient is scaled by the inverse of the domains' second moments, so
 that steps suit domains of any size. Rates start at 1, so a document is changed no more than the targets ask.
 
-The classifier is a softmax regression on hashed words and a few shape measures, trained on at most ``TRAIN_DOCUMENTS``
-labelled documents picked by hash. The model, of fixed size, is sent to the tasks; texts are read once, and what the
-steps read (ids, tokens, probabilities) is a table in the shared folder.
+The classifier is a softmax regression on the words that tell the domains apart the most and a few shape measures, trained
+on at most ``TRAIN_DOCUMENTS`` labelled documents picked by hash. The model, of fixed size, is sent to the tasks; texts are
+read once, and what the steps read (ids, tokens, probabilities, floors) is a table in the shared folder.
+
+A document with a label has the floor of its label. One without has the floor of a domain if that is its likeliest, or if its
+probability is at least the lowest that a document labelled so got from a model trained without it (``FOLDS`` parts).
 
 Defined results: a null or empty text has no tokens, and a rate like others of its probabilities; repeated rows get equal
 rates; without labels every document belongs to the first target's domain; a domain that no document can reach is left
@@ -32,10 +35,14 @@ from spanlake.llm.common import prepare, staged, whole, words
 from spanlake.llm.labelled import MASK, codes, sample
 
 TRAIN_DOCUMENTS = 3_000
-BUCKETS = 2048
-EPOCHS = 150
-RATE = 0.05
-DECAY = 1e-4
+WORDS = 256
+MIN_DOCUMENTS = 5
+FOLDS = 5
+EPOCHS = 300
+RATE = 0.02
+DECAY = 0.03
+
+SHAPE = 6
 
 MAX_STEPS = 40
 TOLERANCE = 1e-4
@@ -45,48 +52,68 @@ STALLED = 0.995
 @dataclass
 class Classifier:
     names: list[str]
+    columns: np.ndarray  # place of a word's code among the words that count, or -1
     weights: np.ndarray  # features x domains
     mean: np.ndarray
     spread: np.ndarray
+    least: np.ndarray | None = None  # per domain, the lowest probability of its own documents when held out
 
-    def posteriors(self, features: np.ndarray) -> np.ndarray:
-        z = ((features - self.mean) / self.spread) @ self.weights[:-1] + self.weights[-1]
+    def posteriors(self, rows: list[tuple[tuple, np.ndarray]]) -> np.ndarray:
+        z = ((features(rows, self.columns) - self.mean) / self.spread) @ self.weights[:-1] + self.weights[-1]
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
 
-def features(texts: list[str]) -> np.ndarray:
-    """Shape measures and presence of hashed words, a row per text."""
-    out = np.zeros((len(texts), BUCKETS + 6), np.float32)
-    for row, text in zip(out, texts):
-        code = codes.of(text)
-        raw = np.frombuffer(text.encode(), np.uint8)
-        seen, n = np.bincount(raw, minlength=128), max(1, len(code))
-        distinct = np.unique(code)
-        row[:6] = (
-            np.log1p(len(code)),
-            seen[list(b"#*$%&|<>")].sum() / n,
-            seen[list(b"!?")].sum() / n,
-            seen[65:91].sum() / max(1, len(raw)),
-            len(raw) / n / 10,
-            len(distinct) / n,
-        )
-        # a word counts by its first letters and by itself
-        for part in (distinct & MASK, distinct >> 36):
-            row[6 + np.unique(part % BUCKETS)] = 1
+def measure(text: str) -> tuple[tuple, np.ndarray]:
+    """Shape measures of a text, and the codes of its words."""
+    code = codes.of(text)
     codes.trim()
+    raw = np.frombuffer(text.encode(), np.uint8)
+    seen, n = np.bincount(raw, minlength=128), max(1, len(code))
+    distinct = np.unique(code & MASK)
+    shape = (
+        np.log1p(len(code)),
+        seen[list(b"#*$%&|<>")].sum() / n,
+        seen[list(b"!?")].sum() / n,
+        seen[65:91].sum() / max(1, len(raw)),
+        len(raw) / n / 10,
+        len(distinct) / n,
+    )
+    return shape, distinct.astype(np.int32)
+
+
+def features(rows: list[tuple[tuple, np.ndarray]], columns: np.ndarray) -> np.ndarray:
+    """Shape measures and presence of the words that count, a row per text."""
+    out = np.zeros((len(rows), SHAPE + int(columns.max()) + 1), np.float32)
+    for row, (shape, distinct) in zip(out, rows):
+        row[:SHAPE] = shape
+        found = columns[distinct]
+        row[SHAPE + found[found >= 0]] = 1
     return out
 
 
-def train(texts: list[str], labels: list[str], names: list[str]) -> Classifier:
-    """Softmax regression by adaptive gradient steps over the whole sample."""
-    x = features(texts)
-    codes.clear()  # the driver needs them no more
+def choose(rows: list[tuple[tuple, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """The place of each code among the ``WORDS`` whose documents are spread over the domains least by chance."""
+    none = [np.zeros(0, np.int32)]
+    held = np.array(
+        [np.bincount(np.concatenate(none + [w for (_, w), k in zip(rows, y[:, d]) if k]), minlength=MASK + 1) for d in range(y.shape[1])]
+    )
+    expected = held.sum(axis=0) * y.mean(axis=0)[:, None]
+    score = ((held - expected) ** 2 / np.maximum(expected, 1e-9)).sum(axis=0)
+    score[held.sum(axis=0) < MIN_DOCUMENTS] = 0
+    best = np.argsort(-score, kind="stable")[:WORDS]
+    best = best[score[best] > 0]
+    columns = np.full(MASK + 1, -1, np.int16)
+    columns[best] = np.arange(len(best))
+    return columns
+
+
+def _fit(rows: list[tuple[tuple, np.ndarray]], y: np.ndarray, names: list[str]) -> Classifier:
+    """Softmax regression by adaptive gradient steps over all rows."""
+    columns = choose(rows, y)
+    x = features(rows, columns)
     mean, spread = x.mean(axis=0), x.std(axis=0) + 0.05
-    x -= mean
-    x /= spread
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    y = np.array([[name == label for name in names] for label in labels], np.float32)
+    x = np.hstack([(x - mean) / spread, np.ones((len(x), 1), np.float32)])
     w = np.zeros((x.shape[1], len(names)), np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, EPOCHS + 1):
@@ -94,8 +121,24 @@ def train(texts: list[str], labels: list[str], names: list[str]) -> Classifier:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         grad = x.T @ (e / e.sum(axis=1, keepdims=True) - y) / len(x) + DECAY * w
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
-        w -= RATE / 10 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Classifier(names, w, mean, spread)
+        w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return Classifier(names, columns, w, mean, spread)
+
+
+def train(texts: list[str], labels: list[str], names: list[str]) -> Classifier:
+    """A model of the whole sample; ``least`` comes from models that have not seen the documents they judge."""
+    rows = [measure(text) for text in texts]
+    codes.clear()  # the driver needs them no more
+    y = np.array([[name == label for name in names] for label in labels], np.float32)
+    model = _fit(rows, y, names)
+    part = np.random.default_rng(1).permutation(len(rows)) % FOLDS
+    p = np.zeros(y.shape)
+    for fold in range(FOLDS):
+        held, rest = np.flatnonzero(part == fold), np.flatnonzero(part != fold)
+        if len(held) and len(rest):
+            p[held] = _fit([rows[i] for i in rest], y[rest], names).posteriors([rows[i] for i in held])
+    model.least = np.where(y > 0, p, 1).min(axis=0)
+    return model
 
 
 def domains(labels: DataFrame) -> DataFrame:
@@ -128,7 +171,7 @@ def posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFr
             for first in range(0, batch.num_rows, 128):
                 part = batch.slice(first, 128)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
-                p = sent.value.posteriors(features(texts)).astype(np.float64)
+                p = sent.value.posteriors([measure(t) for t in texts]).astype(np.float64)
                 counts = pa.array([len(t.split()) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], counts, pa.array(p.tolist(), pa.list_(pa.float64()))], [*names, "n_tokens", "p"]
@@ -151,14 +194,14 @@ def solve(
     names: list[str],
     targets: dict[str, float],
     budget: float | None = None,
-    floors: dict[str, float] | None = None,
+    floor: Column | None = None,
     keep: str | None = None,
 ) -> list[np.ndarray]:
     """The steps that bring the expected token totals of ``members`` (n_tokens, p) to their targets.
 
     They end when the totals are close enough, or when floors keep them from coming closer.
     """
-    floor = floor_of(names, floors or {})
+    floor = F.lit(0.0) if floor is None else floor
     history: list[np.ndarray] = []
     goal, before, off_before, safe = None, np.inf, None, False
     n = len(names)
@@ -200,14 +243,18 @@ def solve(
     return history
 
 
-def floor_of(names: list[str], floors: dict[str, float]) -> Column:
-    """The least rate of a document, by its likeliest domain."""
-    p = F.col("p")
-    floor = F.lit(0.0)
-    for d, name in enumerate(names):
-        if floors.get(name):
-            floor = F.when(p[d] >= F.array_max(p), F.greatest(floor, F.lit(float(floors[name])))).otherwise(floor)
-    return floor
+def floor_of(names: list[str], floors: dict[str, float], least: np.ndarray | None = None) -> Column:
+    """The least rate of a document with ``p`` and ``known``, the domains it is labelled with (null without a label)."""
+    p, known = F.col("p"), F.col("known")
+    guessed = labelled = F.lit(0.0)
+    for name, floor in floors.items():
+        if floor:
+            labelled = F.when(F.array_contains(known, name), F.greatest(labelled, F.lit(float(floor)))).otherwise(labelled)
+        if floor and name in names:
+            d = names.index(name)
+            enough = F.array_max(p) if least is None else F.least(F.array_max(p), F.lit(float(least[d])))
+            guessed = F.when(p[d] >= enough, F.greatest(guessed, F.lit(float(floor)))).otherwise(guessed)
+    return F.when(known.isNotNull(), labelled).otherwise(guessed)
 
 
 def rates(
@@ -223,8 +270,8 @@ def rates(
 
     ``targets``: weight of each domain; ``budget``: tokens asked for in all (as many as there are, if none is given);
     ``keep``: a domain whose tokens are to stay as many as they are, which settles the budget;
-    ``floors``: least rate of documents whose likeliest domain is named. ``copies`` is the rate rounded up or down by a
-    hash of the id, right in expectation.
+    ``floors``: least rate of documents that are, or may be, of a named domain. ``copies`` is the rate rounded up or down
+    by a hash of the id, right in expectation.
     """
     prepare(docs.sparkSession)
     asked = [name for name, weight in targets.items() if weight > 0]
@@ -237,9 +284,14 @@ def rates(
     else:
         names = model.names
         members = posteriors(texts, model)
-    members = staged(members, "members")
-    floors = floors or {}
-    rate = _rate(solve(members, names, targets, budget, floors, keep), floor_of(names, floors))
+    floor = F.lit(0.0)
+    if floors:
+        known = labelled.where("domain IS NOT NULL").groupBy("doc_id").agg(F.collect_set("domain").alias("known"))
+        members = members.join(known, "doc_id", "left")
+        floor = floor_of(names, floors, None if model is None else model.least)
+    members = staged(members.select("doc_id", "n_tokens", "p", floor.alias("floor")), "members")
+    floor = F.col("floor")
+    rate = _rate(solve(members, names, targets, budget, floor, keep), floor)
     chance = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     rated = members.select(
         "doc_id",

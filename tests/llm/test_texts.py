@@ -203,3 +203,25 @@ def test_scores_do_not_depend_on_the_batch():
     model = toxicity.train([t for t in texts if len(t)] * 6, np.tile([1.0, 0.0, 1.0, 0.0], 6))
     alone = np.concatenate([model.score([t]) for t in texts])
     assert np.allclose(alone, model.score(texts), atol=1e-6)
+
+
+def _made_up(spark, docs):
+    """Texts of words that hardly recur, toxic ones with two telling words; the first half and 600 have labels."""
+    rng = np.random.default_rng(3)
+    telling = [f"slur{i}" for i in range(10)]
+    texts, domain = {}, {}
+    for i in range(600):
+        words = ["the", "of"] * 5 + [f"w{k}" for k in rng.integers(0, 8000, 150)]
+        domain[i] = "toxic" if i % 5 == 0 else "clean"
+        texts[i] = " ".join(words + ["%s %s" % tuple(rng.choice(telling, 2))] * (i % 5 == 0))
+    texts[600], domain[600] = texts[0], "clean"
+    rows = [(i, 1, int(domain[i] == "toxic")) for i in texts if i < 300 or i == 600]
+    return docs(*texts.items()), domain, spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+
+
+def test_mixing_keeps_clean_documents_without_label(spark, docs):
+    frame, domain, labels = _made_up(spark, docs)
+    targets = {"clean": 0.95, "toxic": 0.05}
+    rows = mixing.rates(frame, mixing.domains(labels), targets, floors={"clean": 1.0}, keep="clean").collect()
+    assert not [r.doc_id for r in rows if domain[r.doc_id] == "clean" and r.copies < 1]
+    assert sum(r.copies == 0 for r in rows if domain[r.doc_id] == "toxic") > 40
