@@ -225,3 +225,29 @@ def test_mixing_keeps_clean_documents_without_label(spark, docs):
     rows = mixing.rates(frame, mixing.domains(labels), targets, floors={"clean": 1.0}, keep="clean").collect()
     assert not [r.doc_id for r in rows if domain[r.doc_id] == "clean" and r.copies < 1]
     assert sum(r.copies == 0 for r in rows if domain[r.doc_id] == "toxic") > 40
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'style="overflow:hidden"', 'title="a hidden valley"', 'data-hidden="false"', "data-id=menu", 'title="class=ad"',
+        'class="content with-sidebar"', "class='main sidebar-right'", 'class="layout__has-menu"', "aria-hidden=false",
+    ],
+)
+def test_attributes_that_do_not_hide(attributes):
+    assert html_extract.main_text(f"<div {attributes}><p>Kept words</p></div>") == "Kept words"
+
+
+@pytest.mark.parametrize("link", ["/tips/hidden-gems", "/p?id=menu", "/a?class=ad"])
+def test_links_keep_their_words(link):
+    for more in ("", " class=share", " role=menu"):
+        page = f'<article><p>See <a href="{link}"{more}>these words</a> here</p></article>'
+        assert html_extract.main_text(page) == "See these words here"
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["hidden", 'hidden=""', "aria-hidden='true'", "class='box main-sidebar'", "id=site-nav", "ROLE=banner", "title='a > b' class=ad"],
+)
+def test_attributes_that_hide(attributes):
+    assert html_extract.main_text(f"<p>Kept</p><div {attributes}><p>Gone</p></div>") == "Kept"
