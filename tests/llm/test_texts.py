@@ -251,3 +251,19 @@ def test_links_keep_their_words(link):
 )
 def test_attributes_that_hide(attributes):
     assert html_extract.main_text(f"<p>Kept</p><div {attributes}><p>Gone</p></div>") == "Kept"
+
+
+LONG = "long text " * 400
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div><h2>Heading</h2></div><div><p>{LONG}</p></div><div><p>The end.</p></div>", f"Heading {LONG}The end."),
+        (f"<body><div id=a><div><p>Short</p></div><div><div><p>{LONG}</p></div></div></div>", f"Short {LONG}".strip()),
+        (f"<div><p>First.</p><div class=ad>Buy</div><p>{LONG}</p><aside>x</aside><svg></svg><p>Last.</p></div>", f"First. {LONG}Last."),
+        (f"<nav>Menu</nav><div><p>Opening.</p><iframe></iframe><p>{LONG}</p></div><footer>f</footer>", f"Opening. {LONG}".strip()),
+    ],
+)
+def test_short_parts_of_pages_built_of_divs(page, text):
+    assert html_extract.main_text(page) == text
