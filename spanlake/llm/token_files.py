@@ -55,9 +55,10 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
         known = spec.get("pre_tokenizer") or {}
+        # texts that hold one of these are encoded whole, as it may begin or end inside a word
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.by_word = BYTE_LEVEL.items() <= known.items() and not spec.get("normalizer")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
@@ -137,7 +138,7 @@ class WordEncoder:
         """The ids of each text, little-endian."""
         if not self.by_word:
             return self._encode(texts)
-        cut = [self.cut(t) if t else [] for t in texts]
+        cut = [None if any(a in t for a in self.added) else self.cut(t) if t else [] for t in texts]
         new = set().union(*(c for c in cut if c)).difference(self.known)
         passing = self._learn(new) if new else []
         whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))

@@ -267,3 +267,18 @@ LONG = "long text " * 400
 )
 def test_short_parts_of_pages_built_of_divs(page, text):
     assert html_extract.main_text(page) == text
+
+
+def test_added_tokens_as_the_library_encodes_them(docs):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "<|endoftext", "the end", *(f"in{a}side it {a}\n{a} {a}." for a in added)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    coder = token_files.WordEncoder(TOKENIZER)
+    for _ in range(2):
+        assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode(texts)] == want
+    got = token_files.round_trip(docs(*enumerate(texts)), TOKENIZER).orderBy("doc_id").collect()
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [[*ids, 2] for ids in want]
