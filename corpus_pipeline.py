@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spanlake.llm import line_dedup, minhash, mixing, packing, quality
 from spanlake.llm.common import prepare, staged, table, whole, words
 
-# token shares asked for, and least rates by likeliest domain: clean documents are never left out
+# token shares asked for, and least rates by domain: documents labelled clean, or as likely clean as any of these, stay
 TARGETS = {"clean": 0.9, "low": 0.06, "toxic": 0.04}
 FLOORS = {"clean": 1.0}
 
@@ -53,7 +53,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# the last three stages are beyond SQL; tests compare them with brute force
+# the last three stages are beyond SQL; tests compare near dedup with brute force
 ORACLE_SQL = None
 
 

@@ -1,13 +1,15 @@
 """The pipeline's stages one after the other against plain versions of them."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from brute import near_copies, without_frequent_lines
 from pyspark.sql import functions as F
 from rows_of_text import docs  # noqa: F401
 
-from spanlake.llm import quality
+from spanlake.llm import mixing, quality
 from spanlake.llm.common import table
 
 LICENCE = "All rights to this text are held by nobody at all, and it may be copied."
@@ -64,3 +66,21 @@ def test_empty_corpus(spark, docs, tmp_path):
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert table(spark, str(tmp_path), "documents").count() == 0
+
+
+def test_mixing_stage_keeps_clean_documents(spark, docs, tmp_path):
+    rng = np.random.default_rng(3)
+    texts, toxic = {}, {i for i in range(600) if i % 5 == 0}
+    for i in range(600):
+        words = ["the"] * 5 + [f"w{k}" for k in rng.integers(0, 8000, 150)]
+        texts[i] = " ".join(words + [f"slur{k}" for k in rng.choice(10, 2)] * (i in toxic))
+    labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    frame = docs(*texts.items())
+    mixed = Counter(r.doc_id for r in corpus_pipeline.mix_domains(spark, frame, str(tmp_path)).collect())
+    lost = [i for i in texts if i not in toxic and not mixed[i]]
+    assert not [i for i in lost if i < 300]
+    assert len(lost) < 0.02 * 240  # without label, one below all of 240 held-out ones is rare but may be
+    domains = mixing.domains(labels)
+    rows = mixing.rates(frame, domains, corpus_pipeline.TARGETS, floors=corpus_pipeline.FLOORS, keep="clean").collect()
+    assert all(abs(mixed[r.doc_id] - r.rate) < 1 for r in rows)
