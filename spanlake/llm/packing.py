@@ -3,9 +3,10 @@
 Documents longer than the largest length are cut into pieces of that length; the rest of a document is one more piece.
 Pieces are dealt by a hash of the document to shards of bounded size, and each shard is packed by itself, largest piece
 first, into the open sequence with the least room that holds it. If none does, a sequence is opened. Which length to open
-is settled jointly for the shard: every way to open (always one of the lengths, or the smallest that holds the piece)
-is packed, each sequence is then downsized to the smallest length that holds its contents, and the way with the
-least total cost stays. A sequence of length n costs n plus a fixed overhead.
+is settled jointly for the shard: the smallest length that holds a piece is its class, and every mix of a length to open
+for each class (that or a larger one; 24 mixes of four lengths) is packed. Each sequence is then downsized to the smallest
+length that holds its contents, and the mix with the least total cost stays. A sequence of length n costs n plus a fixed
+overhead.
 
 Only ids and lengths are shuffled. The number of shards follows from the number of documents, so that a task holds a
 bounded number of pieces whatever the size of the corpus; a shard takes a longer time than another only by chance.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Sequence
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -35,12 +37,13 @@ SCHEMA = (
 )
 
 
-def _pack(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tuple[list[int], list[int], list[int]]:
+def _pack(sizes: Sequence[int], lengths: Sequence[int], opening: int | Sequence[int]) -> tuple[list[int], list[int], list[int]]:
     """Sequence and offset of each piece (largest first), and what each sequence holds.
 
-    ``opening``: the length to open, or 0 for the smallest that holds the piece. A piece that is longer than the
-    chosen length opens the smallest that holds it.
+    ``opening``: the length to open, or one for each of ``lengths``, the smallest that holds the piece. A piece that is
+    longer than the chosen length opens the smallest that holds it.
     """
+    chosen = [opening] * len(lengths) if isinstance(opening, int) else opening
     room: list[tuple[int, int]] = []  # (free, sequence), sorted
     used: list[int] = []
     where, offsets = [], []
@@ -51,7 +54,8 @@ def _pack(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tuple[l
         elif used and not size:
             free, seq = 0, len(used) - 1  # an empty piece takes no room
         else:
-            free, seq = max(opening, next(n for n in lengths if n >= size)), len(used)
+            at = bisect_left(lengths, size)
+            free, seq = max(chosen[at], lengths[at]), len(used)
             used.append(0)
         where.append(seq)
         offsets.append(used[seq])
@@ -62,10 +66,12 @@ def _pack(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tuple[l
 
 
 def pack_shard(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD):
-    """The cheapest of the ways to open: (sequence, offset) per piece and (used, length) per sequence."""
+    """The cheapest of the mixes of openings: (sequence, offset) per piece and (used, length) per sequence."""
     lengths = sorted(lengths)
     best = None
-    for opening in (0, *lengths):
+    classes = sorted({bisect_left(lengths, size) for size in sizes})
+    mixes = product(*(lengths[k:] if k in classes else lengths[k : k + 1] for k in range(len(lengths))))
+    for opening in mixes:
         where, offsets, used = _pack(sizes, lengths, opening)
         final = np.asarray(lengths)[np.searchsorted(lengths, used)] if used else np.zeros(0, int)
         cost = int(final.sum()) + overhead * len(used)

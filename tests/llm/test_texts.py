@@ -282,3 +282,10 @@ def test_added_tokens_as_the_library_encodes_them(docs):
         assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode(texts)] == want
     got = token_files.round_trip(docs(*enumerate(texts)), TOKENIZER).orderBy("doc_id").collect()
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [[*ids, 2] for ids in want]
+
+
+def test_lengths_are_opened_by_class():
+    sizes = [49, 46, 46, 24, 23, 18, 13, 12, 10, 9, 6, 3, 3]
+    *_, used, final = packing.pack_shard(sizes, (10, 25, 50), 2)
+    assert sum(used) == sum(sizes) and all(u <= f for u, f in zip(used, final))
+    assert sum(final) + 2 * len(used) == 284  # one way to open for all pieces costs 287 or more
