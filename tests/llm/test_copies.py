@@ -165,3 +165,11 @@ def test_passages_of_rows_without_id(docs):
     got = suffix.remove_repeats(docs((None, text), (1, text), (2, None))).collect()
     assert sorted((r.id or 0, r.n_removed) for r in got) == [(0, 0), (1, 0), (2, 0)]
     assert suffix.remove_repeats(docs((1, "x")).limit(0)).count() == 0
+
+
+def test_vectors_whose_squares_leave_the_range(spark):
+    v = [1.0, 2.0, -3.0]
+    sizes = [1.0, 1e200, 1e-200, 1e308 / 3, 5e-324 * 1e10]
+    frame = spark.createDataFrame([(i, [x * s for x in v], 1) for i, s in enumerate(sizes)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.component_id, r.n_links) for r in forest.mark(frame).collect()}
+    assert got == {i: (0, len(sizes) - 1) for i in range(len(sizes))}
