@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import forest, html_extract, line_dedup, minhash, mixing, packing, quality, suffix, token_files, toxicity
-from spanlake.llm.common import table, whole, words
+from spanlake.llm import forest, html_extract, language, line_dedup, manifest, minhash, mixing, packing, quality, suffix
+from spanlake.llm import token_files, toxicity
+from spanlake.llm.common import lower_ascii, table, whole, words
 
 # op1: token shares asked for
 TARGETS = {"clean": 0.9, "low": 0.06, "toxic": 0.04}
@@ -133,6 +134,76 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    built = manifest.build(docs, {"text": lower_ascii(F.col("text"))}, tampered)
+    return manifest.climb(built).withColumnRenamed("id", "doc_id")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text))) + ")"
+
+
+# the crc bit by bit, over the digits of the id
+_CRC = """xor(list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: list_transform(range(8), lambda k: CAST((ascii(c) >> k) & 1 AS BIGINT)))),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384), 4294967295), 4294967295)"""
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce('s' || source, '') AS tree, {_leaf('text')} AS leaf,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, {_CRC} % 5 = 0 AS tampered
+  FROM documents
+), l AS (
+  SELECT doc_id, tree, leaf, CASE WHEN tampered THEN {_leaf('low')} ELSE leaf END AS start,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+  FROM d
+), up AS (
+  SELECT tree, 0 AS level, i, n, leaf AS h FROM l
+  UNION ALL
+  SELECT tree, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i))
+  FROM up WHERE n > 1 GROUP BY tree, level, i // 16, (n + 15) // 16
+), s AS (
+  SELECT tree AS sub, 'top' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, h FROM up WHERE n = 1
+), top AS (
+  SELECT tree, 0 AS level, i, n, h FROM s
+  UNION ALL
+  SELECT tree, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i))
+  FROM top WHERE n > 1 GROUP BY tree, level, i // 16, (n + 15) // 16
+), fam AS (
+  SELECT tree, level, i // 16 AS p, (n + 15) // 16 AS m, list(h ORDER BY i) AS hs
+  FROM (SELECT * FROM up UNION ALL SELECT * FROM top) WHERE n > 1 GROUP BY tree, level, i // 16, (n + 15) // 16
+), climb AS (
+  SELECT doc_id, tree, tree AS own, 0 AS level, i, n, start AS fold, '' AS proof FROM l
+  UNION ALL
+  SELECT c.doc_id, coalesce(f.tree, 'top'), c.own, CASE WHEN f.tree IS NULL THEN 0 ELSE c.level + 1 END,
+         CASE WHEN f.tree IS NULL THEN s.i ELSE f.p END, CASE WHEN f.tree IS NULL THEN s.n ELSE f.m END,
+         CASE WHEN f.tree IS NULL THEN c.fold
+              ELSE sha256(array_to_string(list_concat(hs[1:c.i % 16], [c.fold], hs[c.i % 16 + 2:]), '')) END,
+         CASE WHEN f.tree IS NULL THEN c.proof
+              ELSE c.proof || array_to_string(list_concat(hs[1:c.i % 16], hs[c.i % 16 + 2:]), '') END
+  FROM climb c LEFT JOIN fam f ON c.n > 1 AND f.tree = c.tree AND f.level = c.level AND f.p = c.i // 16
+  LEFT JOIN s ON c.n = 1 AND s.sub = c.tree
+  WHERE NOT (c.tree = 'top' AND c.n = 1)
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.fold AS folded_root, c.fold = r.h AS verified
+FROM climb c JOIN l USING (doc_id) JOIN s ON s.sub = l.tree CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+WHERE c.tree = 'top' AND c.n = 1
+"""
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    found = language.predict(docs, language.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
