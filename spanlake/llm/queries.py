@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import forest, html_extract, language, line_dedup, manifest, minhash, mixing, packing, quality, suffix
-from spanlake.llm import token_files, toxicity
+from spanlake.llm import forest, html_extract, language, line_dedup, manifest, minhash, mixing, negatives, packing, quality
+from spanlake.llm import suffix, token_files, toxicity
 from spanlake.llm.common import lower_ascii, table, whole, words
 
 # op1: token shares asked for
@@ -134,6 +134,32 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+SQL["op11_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id AS id, e.label = a.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+  FROM e AS a JOIN e ON len(a.v) = len(e.v) AND a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
