@@ -71,3 +71,76 @@ def without_frequent_lines(texts, min_chars=40, min_documents=5):
         )
         for i, t in texts.items()
     }
+
+
+def cross_parse(word, reference):
+    """Phrases of a word between spaces, each the longest match that the reference has."""
+    text, at, found = f" {word} ", 0, 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in reference:
+            size += 1
+        at, found = at + size, found + 1
+    return found
+
+
+def _digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def merkle_proofs(rows, tampered, fan=16):
+    """(id, leaf, subroot, root, proof, folded root, verified) of rows (id, text, lang, source, n_chars), in any order."""
+
+    def leaf(row, text):
+        return _digest(*map(_field, (row[0], row[3], row[2], row[4], text)))
+
+    def grow(digests):
+        """Last digest, and per digest the siblings and positions met on the way to it."""
+        paths, level, at = [[] for _ in digests], list(digests), list(range(len(digests)))
+        while len(level) > 1:
+            for path, place in zip(paths, at):
+                run = level[place // fan * fan : place // fan * fan + fan]
+                path.append((run[: place % fan], run[place % fan + 1 :]))
+            level = [_digest(*level[i : i + fan]) for i in range(0, len(level), fan)]
+            at = [place // fan for place in at]
+        return level[0], paths
+
+    sources: dict = {}
+    for row in rows:
+        sources.setdefault(row[3], []).append((row, leaf(row, row[1])))
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        held = sorted(sources[s], key=lambda r: (r[0][0] is not None, r[0][0] or 0, r[1]))
+        trees[s] = (held, *grow([digest for _, digest in held]))
+    root, upper = grow([trees[s][1] for s in order]) if order else ("", [])
+    out = []
+    for s, above in zip(order, upper):
+        held, subroot, paths = trees[s]
+        for (row, digest), path in zip(held, paths):
+            low = row[1] if row[1] is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in row[1])
+            folded = leaf(row, low) if tampered(row[0]) else digest
+            siblings = []
+            for before, behind in path + above:
+                siblings += before + behind
+                folded = _digest(*before, folded, *behind)
+            out.append((row[0], digest, subroot, root, _digest(*siblings), folded, folded == root))
+    return out
+
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=10, band=(30, 90)):
+    """Rows of the result for {id: (label, integer components)}."""
+    out = []
+    for a, (label, x) in rows.items():
+        if not is_anchor(a):
+            continue
+        scores = {o: sum(p * q for p, q in zip(x, y)) for o, (_, y) in rows.items() if o != a and len(x) == len(y)}
+        ranked = sorted(scores, key=lambda o: (-scores[o], o))
+        for p in [o for o in ranked if rows[o][0] == label][:positives]:
+            fits = [o for o in ranked if rows[o][0] != label and band[0] * scores[p] <= 100 * scores[o] <= band[1] * scores[p]]
+            out += [(a, p, rank, o, scores[p], scores[o]) for rank, o in enumerate(fits[:negatives], 1)]
+    return sorted(out)
