@@ -1,6 +1,7 @@
 """Plain single-process versions the operators are compared with."""
 
 import hashlib
+import html.parser
 import itertools
 
 
@@ -144,3 +145,38 @@ def hard_negatives(rows, is_anchor, positives=5, negatives=10, band=(30, 90)):
             fits = [o for o in ranked if rows[o][0] != label and band[0] * scores[p] <= 100 * scores[o] <= band[1] * scores[p]]
             out += [(a, p, rank, o, scores[p], scores[o]) for rank, o in enumerate(fits[:negatives], 1)]
     return sorted(out)
+
+
+def kept_lines(lengths, window=3):
+    """Places of the lines with text between the outer ends of the windows that hold any."""
+    held = [i for i in range(len(lengths)) if sum(lengths[i : i + window])]
+    return [i for i in range(len(lengths)) if held and held[0] <= i <= held[-1] and lengths[i]]
+
+
+class ArticleReader(html.parser.HTMLParser):
+    """Text of the article of well-formed simple pages, a block per h1 or p or up to a br."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if tag in ("article", "h1", "p", "br"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        if tag in ("article", "h1", "p"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+    @classmethod
+    def read(cls, page):
+        reader = cls()
+        reader.feed(page or "")
+        reader.close()
+        return " ".join(" ".join(b.split()) for b in reader.blocks if b.split())
