@@ -51,6 +51,9 @@ ALONE = 64
 # words stepped through the automata at once
 STEPPED = 50_000
 
+# places a text's hash can have
+PLACES = 1 << 30
+
 # how sharply the score follows the difference in bits a letter
 SHARPNESS = 6.0
 
@@ -258,9 +261,11 @@ def fit(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(13), text).alias("pick")
     )
     usable = usable.where("lang IS NOT NULL AND text IS NOT NULL")
-    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    # equal texts count once; the rank is cut inside the tasks before the shuffle
-    texts = usable.select("lang", "pick").distinct().join(F.broadcast(frequent), "lang")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("pick").alias("different"))
+    frequent = counts.orderBy(F.desc("n"), "lang").limit(languages).select("lang", "different")
+    # about twice the texts wanted, by the place of their hash; equal texts count once
+    few = F.pmod("pick", F.lit(PLACES)) * F.col("different") < 2.0 * documents * PLACES
+    texts = usable.select("lang", "pick").join(F.broadcast(frequent), "lang").where(few).select("lang", "pick").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
     picked = staged(texts.withColumn("rank", rank).where(F.col("rank") <= documents).select("lang", "pick"), "picked")
 
