@@ -5,9 +5,9 @@ one node is left, the subroot; subroots ascend by source and become the root in
 to their parents. A recursive query climbs from the leaves: at every node it appends the siblings met there to the proof and
 folds the digest computed so far into the node's, until no parent is left.
 
-The rows that climb are groups of up to 16 leaves with the same parent: they share all siblings above it, so the proof is carried
-once for a group while every leaf folds a digest of its own. Upper nodes are joined by very many groups (a source may hold a third of
-all rows); such a node is stored in as many copies as it has thousands of groups below it, dealt out by a hash of the group.
+The rows that climb are the leaves of one node of the second level, up to 256: they share all siblings above it, so the proof is
+carried once for such a group while every leaf folds a digest of its own. Upper nodes are joined by very many groups (a source may
+hold a third of all rows); such a node is stored in as many copies as it has hundreds of groups below it, dealt out by a hash of the group.
 Places inside a source come from a range partitioning by (source, id), counted per partition and added up, not from a
 window over a source.
 
@@ -35,7 +35,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 16
 
 # groups that join one stored copy of a node
-GROUPS_PER_COPY = 1024
+GROUPS_PER_COPY = 256
 
 # key of the tree of subroots; those of sources are empty (no source) or begin with an s
 TOP = "top"
@@ -55,9 +55,9 @@ def _hex(binary: Column) -> Column:
     return F.lower(F.hex(binary))
 
 
-def _node(run: Column) -> Column:
-    """Digest of the node over the digests in ``run``."""
-    return F.unhex(F.sha2(_hex(run), 256))
+def _digest(run: str) -> str:
+    """SQL of the digest of the node over the digests in ``run``."""
+    return f"unhex(sha2(lower(hex({run})), 256))"
 
 
 def _others(run: str, place: str) -> str:
@@ -67,8 +67,7 @@ def _others(run: str, place: str) -> str:
 
 def _folded(run: str, place: str, digest: str) -> str:
     """SQL of the node's digest with another one at ``place``."""
-    with_it = f"concat(substring({run}, 1, 32 * {place}), {digest}, substring({run}, 32 * {place} + 33))"
-    return f"unhex(sha2(lower(hex({with_it})), 256))"
+    return _digest(f"concat(substring({run}, 1, 32 * {place}), {digest}, substring({run}, 32 * {place} + 33))")
 
 
 def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
@@ -101,7 +100,7 @@ def _levels(below: DataFrame, level: int) -> list[DataFrame]:
             F.sum("groups").alias("groups"),
         )
         level += 1
-        nodes = nodes.select("tree", F.lit(level).alias("level"), "place", "n", "run", _node(F.col("run")).alias("digest"), "groups")
+        nodes = nodes.select("tree", F.lit(level).alias("level"), "place", "n", "run", F.expr(_digest("run")).alias("digest"), "groups")
         levels.append(below := staged(nodes, "nodes"))
         largest = -(-largest // FAN)
     return levels
@@ -111,9 +110,10 @@ def _levels(below: DataFrame, level: int) -> list[DataFrame]:
 class Manifest:
     """The trees of a table, as stored tables.
 
-    ``groups``: the lowest nodes with their leaves, (place, digest, id, start) each, where start is the digest to climb with.
-    ``nodes``: all nodes above, with their ``run``, the digests below them. Both have the node's key (tree, level, place), its
-    ``digest`` and the link to the parent: its key, the position in its run and the number of its copies; the root has none.
+    ``groups``: the nodes of the second level, with a part for each node below: its ``run`` of leaves, their ``ids``, and the
+    ``folds``, each leaf's digest folded up to this level. ``nodes``: all nodes above. Both have the node's key (tree, level,
+    place), its ``run``, the digests below it, its ``digest`` and the link to the parent: its key, the position in its run and
+    the number of its copies; the root has none. A digest alone in its tree stands for the nodes above it.
     ``subroots``: the last digest of each source's tree, in order.
     """
 
@@ -162,23 +162,43 @@ def build(
     )
     leaves = staged(leaves, "leaves")
     rows = numbered(leaves, "tree", "id", "digest")
-    members = F.sort_array(F.collect_list(F.struct("place", "digest", "id", F.coalesce("start", "digest").alias("start"))))
-    groups = rows.groupBy("tree", F.expr(f"place div {FAN}").alias("place")).agg(
-        members.alias("members"), F.max("n").alias("leaves")
+    members = F.sort_array(F.collect_list(F.struct("place", "digest", "id", "start")))
+    lowest = rows.groupBy("tree", F.expr(f"place div {FAN}").alias("place")).agg(members.alias("members"), F.max("n").alias("leaves"))
+    lowest = lowest.withColumn("run", _gathered(F.col("members")))
+    start = "coalesce(m.start, m.digest)"
+    lowest = lowest.select(
+        "tree",
+        "place",
+        "leaves",
+        F.expr("IF(leaves = 1, run, %s)" % _digest("run")).alias("digest"),
+        "run",
+        F.col("members.id").alias("ids"),
+        F.expr(f"transform(members, (m, i) -> IF(leaves = 1, {start}, {_folded('run', 'i', start)}))").alias("folds"),
     )
-    groups = groups.withColumns({"run": _gathered(F.col("members")), "n": F.expr(f"(leaves + {FAN - 1}) div {FAN}")})
-    # a leaf alone in its source is the subroot itself
-    digest = F.when(F.col("leaves") == 1, F.col("run")).otherwise(_node(F.col("run")))
+    parts = F.sort_array(F.collect_list(F.struct("place", "digest", "run", "ids", "folds")))
+    groups = lowest.groupBy("tree", F.expr(f"place div {FAN}").alias("place")).agg(
+        parts.alias("parts"), F.expr(f"(max(leaves) + {FAN - 1}) div {FAN}").alias("m")
+    )
+    groups = groups.withColumn("run", _gathered(F.col("parts")))
+    folds = f"IF(m = 1, p.folds, transform(p.folds, f -> {_folded('run', 'j', 'f')}))"
     groups = groups.select(
-        "tree", F.lit(1).alias("level"), "place", "n", "leaves", "members", "run", digest.alias("digest"), F.lit(1).cast("bigint").alias("groups")
+        "tree",
+        F.lit(2).alias("level"),
+        "place",
+        F.expr(f"(m + {FAN - 1}) div {FAN}").alias("n"),
+        F.expr(f"transform(parts, (p, j) -> struct(p.run AS run, p.ids AS ids, {folds} AS folds))").alias("parts"),
+        "run",
+        F.expr("IF(m = 1, run, %s)" % _digest("run")).alias("digest"),
+        F.lit(1).cast("bigint").alias("groups"),
     )
     groups = staged(groups, "groups")
+    discard(rows)
     discard(leaves)
 
     def united(tables: list[DataFrame], *columns: str) -> DataFrame:
         return reduce(DataFrame.unionByName, (t.select(*columns) for t in tables))
 
-    inner = _levels(groups, 1)
+    inner = _levels(groups, 2)
     heads = united([groups, *inner], "tree", "n", "digest", "groups").where("n = 1").drop("n")
     ranked = numbered(heads.withColumn("all", F.lit(TOP)), "all", "tree")
     subroots = staged(ranked.select("tree", "place", "n", "digest", "groups"), "subroots")
@@ -201,38 +221,37 @@ def climb(manifest: Manifest) -> DataFrame:
     spark = manifest.groups.sparkSession
     # the recursion adds a row per group and level: rows are not bounded
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    first = _folded("run", "i", "m.start")
     climbed = spark.sql(
         f"""
         WITH RECURSIVE climb AS (
-          SELECT transform(members, m -> m.id) AS ids, run, xxhash64(tree, place) AS seed,
-                 transform(members, (m, i) -> IF(leaves = 1, m.start, {first})) AS folds,
-                 X'' AS proof, IF(n = 1, digest, NULL) AS subroot, digest AS reached,
-                 up_tree, up_level, up_place, up_pos, up_copies
+          SELECT tree, place, xxhash64(tree, place) AS seed, parts.folds AS folds, X'' AS proof,
+                 IF(n = 1, digest, NULL) AS subroot, digest AS reached, up_tree, up_level, up_place, up_pos, up_copies
           FROM {{groups}}
           UNION ALL
-          SELECT c.ids, c.run, c.seed,
-                 transform(c.folds, f -> {_folded("p.run", "c.up_pos", "f")}),
+          SELECT c.tree, c.place, c.seed,
+                 transform(c.folds, part -> transform(part, f -> {_folded("p.run", "c.up_pos", "f")})),
                  concat(c.proof, {_others("p.run", "c.up_pos")}),
                  coalesce(c.subroot, IF(p.n = 1, p.digest, NULL)), p.digest,
                  p.up_tree, p.up_level, p.up_place, p.up_pos, p.up_copies
           FROM climb c JOIN {{nodes}} p
             ON c.up_tree = p.tree AND c.up_level = p.level AND c.up_place = p.place AND pmod(c.seed, c.up_copies) = p.copy
         )
-        SELECT ids, run, folds, proof, subroot, reached FROM climb WHERE up_tree IS NULL
+        SELECT tree, place, folds, proof, subroot, reached FROM climb WHERE up_tree IS NULL
         """,
         groups=manifest.groups,
         nodes=manifest.nodes,
     )
-    climbed = staged(climbed, "climbed").select("*", F.posexplode("ids").alias("i", "id"))
-    folded = _hex(F.get("folds", F.col("i")))
-    root = _hex(F.col("reached"))
-    return climbed.select(
+    climbed = staged(climbed, "climbed")
+    own = manifest.groups.select("tree", "place", "run", F.posexplode("parts").alias("j", "part"))
+    met = own.join(climbed, ["tree", "place"]).select("*", F.posexplode("part.ids").alias("i", "id"))
+    siblings = f"concat({_others('part.run', 'i')}, {_others('run', 'j')}, proof)"
+    folded, root = _hex(F.expr("folds[j][i]")), _hex(F.col("reached"))
+    return met.select(
         "id",
-        _hex(F.expr("substring(run, 32 * i + 1, 32)")).alias("leaf"),
+        _hex(F.expr("substring(part.run, 32 * i + 1, 32)")).alias("leaf"),
         _hex(F.col("subroot")).alias("subroot"),
         root.alias("root"),
-        F.sha2(_hex(F.concat(F.expr(_others("run", "i")), F.col("proof"))), 256).alias("proof_sha256"),
+        F.sha2(_hex(F.expr(siblings)), 256).alias("proof_sha256"),
         folded.alias("folded_root"),
         (folded == root).alias("verified"),
     )
