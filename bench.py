@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from spanlake import TelemetryStore  # noqa: E402
+from spanlake import SignalStore  # noqa: E402
 from spanlake.checks import adapters  # noqa: E402
 from spanlake.checks.adapters import END, START  # noqa: E402
 from spanlake.functions.times import timestamp_of  # noqa: E402
@@ -93,9 +93,9 @@ def line_logs(rows: DataFrame) -> DataFrame:
     )
 
 
-def prepare(spark: SparkSession, work: str) -> tuple[TelemetryStore, dict[str, str]]:
+def prepare(spark: SparkSession, work: str) -> tuple[SignalStore, dict[str, str]]:
     promote = {"otel_traces": [("SpanAttributes", "db.query.text"), ("SpanAttributes", "db.system.name")]}
-    store = TelemetryStore(spark, f"{work}/store", promote)
+    store = SignalStore(spark, f"{work}/store", promote)
     store.install()
     # files of the advised size rather than one per core and day
     spark.conf.set(PARALLELISM_FIRST, "false")
@@ -129,7 +129,7 @@ BY_PART = SpanAggregation(where=TraceQuery(), group_by="span.part")
 REQUESTS = "request_duration_milliseconds"
 
 
-def read_queries(store: TelemetryStore) -> dict:
+def read_queries(store: SignalStore) -> dict:
     traces = store.table("otel_traces")
     error = TraceQuery().where(TraceCondition.token("status", TraceOp.EQ, "error"))
     slow = TraceQuery().where(TraceCondition.token("duration", TraceOp.GT, "100ms"))
@@ -166,7 +166,7 @@ def read_queries(store: TelemetryStore) -> dict:
 
 def ingest_jobs(spark: SparkSession, payloads: dict[str, str], work: str) -> dict:
     def job(signal: str) -> None:
-        store = TelemetryStore(spark, tempfile.mkdtemp(prefix="ingest-", dir=work))
+        store = SignalStore(spark, tempfile.mkdtemp(prefix="ingest-", dir=work))
         store.ingest(spark.read.text(payloads[signal]).toDF("raw"), signal, cluster=False)
 
     return {f"ingest_{signal}": partial(job, signal) for signal in payloads}

@@ -1,6 +1,6 @@
 """Telemetry analytics (logs, spans, metrics) expressed as Spark DataFrame jobs."""
 
 from spanlake.session import configure
-from spanlake.store import TelemetryStore
+from spanlake.store import SignalStore
 
-__all__ = ["TelemetryStore", "configure"]
+__all__ = ["SignalStore", "configure"]

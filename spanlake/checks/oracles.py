@@ -305,3 +305,8 @@ ORACLES = {
 }
 ORACLES["gauge_named_count"] = ORACLES["gauge_latest"]
 ORACLES["rollup_compact"] = ORACLES["rollup_minute"]
+_RANKING = f"""WITH {SPANS} SELECT {_stats("stmt", "duration", "quantile_disc({d}, 0.95)")}, min(sys) AS db_system_name
+  FROM spans WHERE name = 'db.query' GROUP BY stmt"""
+ORACLES |= dict.fromkeys(["rollup_stream", "rollup_backfill", "rollup_stitched"], _RANKING)
+ORACLES["rollup_p95_bounds"] = f"""WITH {SPANS} SELECT stmt AS statement, count(*) AS calls, CAST(0 AS BIGINT) AS rank_error,
+  true AS within_bound FROM spans WHERE name = 'db.query' GROUP BY stmt"""

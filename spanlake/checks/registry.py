@@ -27,6 +27,7 @@ from spanlake.plans.queries import (
 )
 from spanlake.session import configure, fresh_path
 from spanlake.sources import otlp, tables
+from spanlake.store import SignalStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -502,19 +503,26 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.rollup_partial(adapters.spans(spark, sf_dir))
 
 
-@_register("rollup_minute")
-def _(spark, sf_dir):
-    return _summary(spark, sf_dir).select(
+def _minutes(rows: DataFrame) -> DataFrame:
+    """One row per key, with the median of its durations."""
+    keyed = rows.withColumn("key", F.struct("Bucket", "QueryText", "DbSystem"))
+    medians = rollup.quantiles_of(keyed, "key", 0.5).select("key", F.col("quantile").alias("median"))
+    return keyed.join(medians, "key").select(
         F.unix_seconds("Bucket").alias("minute"),
         F.col("QueryText").alias("statement"),
         F.col("DbSystem").alias("system"),
         F.col("Calls").alias("calls"),
-        F.col("DurationSum").alias("duration_sum"),
+        F.col("DurationSum").cast("bigint").alias("duration_sum"),
         F.col("DurationMax").alias("duration_max"),
-        F.kll_sketch_get_quantile_bigint("DurationQuantile", F.lit(0.5)).alias("median"),
+        "median",
     )
 
 
+@_register("rollup_minute")
+def _(spark, sf_dir):
+    return _minutes(_summary(spark, sf_dir))
+
+
 @_register("rollup_rank")
 def _(spark, sf_dir):
     ranking = SpanAggregation(where=TraceQuery(), group_by=STATEMENTS.group_by, carry=("span.db.system.name",), limit=5)
@@ -549,16 +557,7 @@ def _(spark, sf_dir):
     """Partial rows of two inserts (calls above and below 20 ms), merged to one row per key."""
     rows = adapters.spans(spark, sf_dir)
     fast, slow = rows.where("Duration < 20000000"), rows.where("Duration >= 20000000")
-    partial_rows = rollup.rollup_partial(fast).unionAll(rollup.rollup_partial(slow))
-    return rollup.compact_rollup(partial_rows).select(
-        F.unix_seconds("Bucket").alias("minute"),
-        F.col("QueryText").alias("statement"),
-        F.col("DbSystem").alias("system"),
-        F.col("Calls").alias("calls"),
-        F.col("DurationSum").alias("duration_sum"),
-        F.col("DurationMax").alias("duration_max"),
-        F.kll_sketch_get_quantile_bigint("DurationQuantile", F.lit(0.5)).alias("median"),
-    )
+    return _minutes(rollup.compact_rollup(rollup.rollup_partial(fast).unionAll(rollup.rollup_partial(slow))))
 
 
 @_register("rollup_retention")
@@ -567,6 +566,77 @@ def _(spark, sf_dir):
     return kept.groupBy(F.col("day").cast("string").alias("day")).agg(F.sum("Calls").alias("calls"))
 
 
+def _appended(spark: SparkSession, sf_dir: str, parts: int) -> tuple[SignalStore, list[DataFrame]]:
+    """A new store, and the spans in parts to append to it."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    store.install()
+    rows = adapters.spans(spark, sf_dir)
+    return store, [rows.where(F.pmod(F.xxhash64("SpanId"), F.lit(parts)) == i) for i in range(parts)]
+
+
+def _follow(store: SignalStore, **options) -> None:
+    """Run the rollup stream until it has read every stored file."""
+    stream = store.follow_traces(fresh_path(store.spark, "progress"), trigger={"availableNow": True}, **options)
+    stream.awaitTermination()
+
+
+RANKED = SpanAggregation(
+    where=STATEMENTS.where, group_by=STATEMENTS.group_by, carry=("span.db.system.name",), sort=SpanSort.P95
+)
+
+
+def _stored_ranking(store: SignalStore) -> DataFrame:
+    return _flat(store.aggregate_spans(RANKED, START, END), "db.system.name")
+
+
+@_register("rollup_stream")
+def _(spark, sf_dir):
+    """Spans appended in three parts, rolled up by a stream in several batches that are merged."""
+    store, parts = _appended(spark, sf_dir, 3)
+    for part in parts:
+        store.write_traces(part)
+    _follow(store, files_per_batch=40, merge_every=2)
+    return _stored_ranking(store)
+
+
+@_register("rollup_backfill")
+def _(spark, sf_dir):
+    """A fill of the first part, then a stream that leaves its files out."""
+    store, parts = _appended(spark, sf_dir, 2)
+    store.write_traces(parts[0])
+    store.backfill_rollup()
+    store.write_traces(parts[1])
+    _follow(store)
+    return _stored_ranking(store)
+
+
+@_register("rollup_stitched")
+def _(spark, sf_dir):
+    """A fill of the first part only: the files of the second are answered from their spans."""
+    store, parts = _appended(spark, sf_dir, 2)
+    store.write_traces(parts[0])
+    store.backfill_rollup()
+    store.write_traces(parts[1])
+    return _stored_ranking(store)
+
+
+@_register("rollup_p95_bounds")
+def _(spark, sf_dir):
+    """Per statement: how far the stated ends of the p95 lie from the wanted rank among all spans, and how wide they are."""
+    rows = adapters.spans(spark, sf_dir)
+    ends = rollup.statement_quantiles(_summary(spark, sf_dir), 0.95, START, END)
+    text = attributes.span_field(rows, rollup.STATEMENT_FIELD)
+    durations = rows.where("SpanName = 'db.query'").select(text.alias("statement"), "Duration")
+    held = durations.join(ends, "statement").groupBy("statement", "low", "high").agg(
+        F.count("*").alias("calls"), F.count_if(F.col("Duration") < F.col("low")).alias("below"),
+        F.count_if(F.col("Duration") <= F.col("high")).alias("upto"),
+    )
+    rank = F.ceil(F.col("calls") * 0.95)
+    error = F.greatest(F.col("below") + 1 - rank, rank - F.col("upto"), F.lit(0))
+    narrow = (F.col("high") - F.col("low")) * (1 << rollup.BITS) <= F.col("high")
+    return held.select("statement", "calls", error.cast("bigint").alias("rank_error"), narrow.alias("within_bound"))
+
+
 # --- metrics ------------------------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 STRING, BIGINT, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
-BOOLEAN, TIMESTAMP, DATE, BINARY = T.BooleanType(), T.TimestampType(), T.DateType(), T.BinaryType()
+BOOLEAN, TIMESTAMP, DATE = T.BooleanType(), T.TimestampType(), T.DateType()
 ATTRIBUTES = T.MapType(STRING, STRING)
 
 
@@ -77,14 +77,16 @@ METRICS_HISTOGRAM = _struct(
     day=DATE,
 )
 
+DURATION_COUNT = _struct(low=BIGINT, high=BIGINT, n=BIGINT)
+
 SUMMARY = _struct(
     Bucket=TIMESTAMP,
     QueryText=STRING,
     DbSystem=STRING,
     Calls=BIGINT,
-    DurationSum=BIGINT,
+    DurationSum=T.DecimalType(38, 0),
     DurationMax=BIGINT,
-    DurationQuantile=BINARY,
+    DurationCounts=T.ArrayType(DURATION_COUNT),
     day=DATE,
 )
 

@@ -99,6 +99,27 @@ def read_table(
     return reader.option("basePath", path).parquet(*(f"{path}/{day}" for day in days))
 
 
+def data_files(spark: SparkSession, root: str, table: str, first: str = "", last: str = "9") -> dict[str, set[str]]:
+    """Names of the data files by day, of the days between two."""
+    path, found = f"{root}/{table}", {}
+    for name in names(spark, path):
+        day = name.removeprefix("day=")
+        if day != name and first <= day <= last:
+            found[day] = {file for file in names(spark, f"{path}/{name}") if not file.startswith(("_", "."))}
+    return found
+
+
+def read_files(
+    spark: SparkSession, root: str, table: str, files: dict[str, list[str]], promote: Promoted | None = None
+) -> DataFrame:
+    """The rows of some of the table's data files, named by day."""
+    paths = [f"{root}/{table}/day={day}/{file}" for day, found in files.items() for file in found]
+    schema = table_schema(table, promote)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths)
+
+
 def append(
     df: DataFrame,
     root: str,
@@ -129,13 +150,13 @@ def append(
 
 def surviving(df: DataFrame, days: int, now: Instant) -> DataFrame:
     """The rows retention keeps: whole days, the day holding the cut-off included."""
-    return df.where(F.col("day") >= F.lit(_cutoff(days, now)))
+    return df.where(F.col("day") >= F.lit(cutoff_day(days, now)))
 
 
 def apply_retention(spark: SparkSession, root: str, table: str, days: int, now: Instant) -> list[str]:
     """Drop the partition directories of expired days and return their names. No data file is read."""
     path = f"{root}/{table}"
-    cutoff = _cutoff(days, now)
+    cutoff = cutoff_day(days, now)
     expired = [name for name in names(spark, path) if name.startswith("day=") and _day_of(name) < cutoff]
     for name in expired:
         drop(spark, f"{path}/{name}")
@@ -168,7 +189,8 @@ def _day_of(partition: str) -> dt.date:
         return dt.date.max
 
 
-def _cutoff(days: int, now: Instant) -> dt.date:
+def cutoff_day(days: int, now: Instant) -> dt.date:
+    """The oldest day that retention keeps."""
     return utc_day(epoch_seconds(now)) - dt.timedelta(days=days)
 
 

@@ -16,7 +16,7 @@ from spanlake.streaming import ingest
 from spanlake.streaming import rollup as rollup_stream
 
 
-class TelemetryStore:
+class SignalStore:
     """Tables below ``root``. ``promote`` names map attributes kept a second time as columns, per table."""
 
     def __init__(self, spark: SparkSession, root: str, promote: tables.Promoted | None = None) -> None:
@@ -96,9 +96,14 @@ class TelemetryStore:
     def aggregate_spans(
         self, aggregation: SpanAggregation, start: Instant, end: Instant, exact: bool = True
     ) -> DataFrame:
-        """The statement ranking comes from the rollup where one exists, everything else from the spans."""
+        """The statement ranking comes from the rollup where one exists, everything else from the spans.
+
+        Span files that the rollup does not cover yet are read beside it: the ranking counts every stored span.
+        """
         reject_raw(aggregation.where.raw, "TraceQL")
-        summary = self.summary() if rollup_answers(aggregation) else None
+        summary = None
+        if rollup_answers(aggregation):
+            summary = rollup_stream.stitched_summary(self.spark, self.root, start, end, self.promote)
         if summary is not None:
             return rollup.rollup_query(summary, aggregation, start, end)
         return spans.aggregate_spans(self.table("otel_traces", start, end), aggregation, start, end, exact=exact)
@@ -106,21 +111,16 @@ class TelemetryStore:
     # rollup
 
     def summary(self) -> DataFrame | None:
+        """The partial rows of all batches."""
         return rollup_stream.read_summary(self.spark, self.root)
 
     def backfill_rollup(self) -> None:
-        """One-time fill from the stored spans, for readers until a stream takes over.
-
-        The stream reads every stored file from the first one on, so its first batch drops this fill, and once it has
-        written a batch there is nothing to fill.
-        """
-        if rollup_stream.stream_started(self.spark, self.root):
-            return
-        rollup_stream.write_batch(rollup.rollup_partial(self.table("otel_traces")), self.root, rollup_stream.BACKFILL)
+        """One-time fill from the span files stored now. A stream started later leaves these files out."""
+        rollup_stream.write_backfill(self.spark, self.root, self.promote)
 
     def follow_traces(self, checkpoint: str | None = None, **options):
         """Start the stream that adds every new span file to the rollup."""
-        return rollup_stream.run_rollup_stream(self.spark, self.root, checkpoint, **options)
+        return rollup_stream.run_rollup_stream(self.spark, self.root, checkpoint, promote=self.promote, **options)
 
     # metrics
 

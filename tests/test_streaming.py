@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 import rows
 from conftest import DATA
 from rows import S
-from spanlake import TelemetryStore
+from spanlake import SignalStore
 from spanlake.checks import adapters
 from spanlake.checks.adapters import END, START
-from spanlake.operators.rollup import rollup_partial
+from spanlake.operators.rollup import rollup_partial, rollup_query
 from spanlake.plans.queries import SpanAggregation, SpanSort, TraceCondition, TraceOp, TraceQuery
 from spanlake.sources import tables
 from spanlake.streaming import rollup as rollup_stream
@@ -26,14 +26,14 @@ RANKING = SpanAggregation(
 )
 
 
-def follow(store, checkpoint):
-    query = store.follow_traces(checkpoint, trigger=ONCE)
+def follow(store, checkpoint, **options):
+    query = store.follow_traces(checkpoint, trigger=ONCE, **options)
     query.awaitTermination()
     assert query.exception() is None
 
 
 def test_three_batches_rank_like_one(spark, root, tmp_path):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     spans = adapters.spans(spark, DATA)
     checkpoint = str(tmp_path / "progress")
@@ -45,11 +45,9 @@ def test_three_batches_rank_like_one(spark, root, tmp_path):
     streamed = store.aggregate_spans(RANKING, START, END)
     assert "otel_db_query_summary" in streamed.inputFiles()[0]
 
-    once = TelemetryStore(spark, root + "-once")
+    once = SignalStore(spark, root + "-once")
     rollup_stream.write_batch(rollup_partial(total), once.root, rollup_stream.BACKFILL)
     expected = rollup_stream.read_summary(spark, once.root)
-    from spanlake.operators.rollup import rollup_query
-
     assert streamed.collect() == rollup_query(expected, RANKING, START, END).collect()
     assert sum(r["count"] for r in streamed.collect()) == total.where("SpanName = 'db.query'").count()
 
@@ -118,7 +116,7 @@ def test_readers_planned_before_a_merge_finish(spark, root):
 
 
 def test_the_stream_merges_its_batches(spark, root, tmp_path):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     for i in range(5):
         store.write_traces(rows.spans(spark, db_span(1, ms=i + 1)))
@@ -130,7 +128,7 @@ def test_the_stream_merges_its_batches(spark, root, tmp_path):
 
 
 def test_late_spans_still_count(spark, root, tmp_path):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     checkpoint = str(tmp_path / "progress")
     for batch in ((db_span(5000),), (db_span(1, ms=9),)):
@@ -143,7 +141,7 @@ def test_late_spans_still_count(spark, root, tmp_path):
 def test_rollup_covers_statement_spans_and_whole_minutes(spark, root):
     other = db_span(3) | {"SpanName": "cache.get"}
     blank = db_span(3) | {"SpanAttributes": {}}
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.write_traces(rows.spans(spark, db_span(1), db_span(2), other, blank))
     store.backfill_rollup()
     store.backfill_rollup()
@@ -158,7 +156,7 @@ def test_rollup_covers_statement_spans_and_whole_minutes(spark, root):
 
 
 def test_compaction_and_retention(spark, root):
-    store, compacted = TelemetryStore(spark, root), TelemetryStore(spark, root + "-compact")
+    store, compacted = SignalStore(spark, root), SignalStore(spark, root + "-compact")
     store.install()
     compacted.install()
     day = 24 * 60
@@ -177,7 +175,7 @@ def test_compaction_and_retention(spark, root):
 
 
 def test_payload_files_become_rows(spark, root, tmp_path):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     record = {"timeUnixNano": "5", "body": {"stringValue": "hello"}}
     payload = json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [record, record]}]}]})
@@ -193,7 +191,7 @@ def test_payload_files_become_rows(spark, root, tmp_path):
 
 @pytest.mark.parametrize("signal", ["logs", "traces", "metrics"])
 def test_no_payloads_at_all(spark, root, signal):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     store.ingest(spark.createDataFrame([], "raw string"), signal)
     store.ingest(spark.createDataFrame([("{broken",)], "raw string").where("raw = 'x'"), signal)
@@ -201,7 +199,7 @@ def test_no_payloads_at_all(spark, root, signal):
 
 
 def test_only_bad_payloads(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     store.ingest(spark.createDataFrame([("{broken",), ("[",)], "raw string").repartition(3), "logs")
     assert store.table("otel_logs").count() == 0
@@ -209,7 +207,7 @@ def test_only_bad_payloads(spark, root):
 
 
 def test_metric_payloads_are_parsed_once_for_three_tables(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     kinds = {
         "sum": {"dataPoints": [{"asInt": 1}]},
         "gauge": {"dataPoints": [{"asInt": 2}, {"asInt": 3}]},
@@ -223,7 +221,7 @@ def test_metric_payloads_are_parsed_once_for_three_tables(spark, root):
 
 @pytest.mark.parametrize("first", ["backfill", "stream"])
 def test_backfill_and_stream_count_once(spark, root, tmp_path, first):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     store.write_traces(rows.spans(spark, db_span(1), db_span(2)))
     steps = [store.backfill_rollup, lambda: follow(store, str(tmp_path / "progress"))]
@@ -233,3 +231,107 @@ def test_backfill_and_stream_count_once(spark, root, tmp_path, first):
     store.write_traces(rows.spans(spark, db_span(3)))
     follow(store, str(tmp_path / "progress"))
     assert [r["count"] for r in store.aggregate_spans(RANKING, 0, 600).collect()] == [3]
+
+
+def ranking(store):
+    return store.aggregate_spans(RANKING, 0, 600).collect()
+
+
+@pytest.mark.parametrize("filled", [0, 3, 6])
+def test_every_moment_of_a_take_over_counts_all_spans(spark, root, tmp_path, filled):
+    """Read after every batch of a stream that catches up, with a fill of none, some or all of the files."""
+    store = SignalStore(spark, root)
+    store.install()
+    for i in range(6):
+        spans = [db_span(i % 4, f"q{i % 2}", ms=i + 1), db_span(2 + i % 3, ms=50 + i)]
+        store.write_traces(rows.spans(spark, *spans, db_span(1) | {"SpanName": "other", "SpanAttributes": {}}))
+        if i + 1 == filled:
+            store.backfill_rollup()
+    expected = rollup_query(rollup_partial(store.table("otel_traces")), RANKING, 0, 600).collect()
+    assert sum(r["count"] for r in expected) == 12
+    seen = []
+
+    written = rollup_stream.write_batch
+
+    def write_and_read(*args):
+        written(*args)
+        seen.append(ranking(store))
+
+    rollup_stream.write_batch = write_and_read
+    try:
+        # without any rollup the spans answer, with an interpolated quantile
+        assert [(r.key, r["count"], r.total_ms) for r in ranking(store)] == [(r.key, r["count"], r.total_ms) for r in expected]
+        follow(store, str(tmp_path / "progress"), files_per_batch=1, merge_every=(2, 4))
+    finally:
+        rollup_stream.write_batch = written
+    assert len(seen) >= 6
+    assert all(found == expected for found in seen)
+    assert ranking(store) == expected
+    # files that arrive later count before the stream has seen them, and once afterwards
+    store.write_traces(rows.spans(spark, db_span(1, "late")))
+    assert sum(r["count"] for r in ranking(store)) == 13
+    follow(store, str(tmp_path / "progress"))
+    assert sum(r["count"] for r in ranking(store)) == 13
+    batches = rollup_stream.usable_batches(spark, root)
+    assert not rollup_stream.uncovered(spark, root, batches)
+
+
+def test_a_fill_that_overlaps_a_stream_is_left_out(spark, root, tmp_path):
+    store = SignalStore(spark, root)
+    store.install()
+    store.write_traces(rows.spans(spark, db_span(1), db_span(2)))
+    started = rollup_stream.stream_started
+    rollup_stream.stream_started = lambda *_: False  # as if the stream began after this was asked
+    try:
+        follow(store, str(tmp_path / "progress"))
+        store.write_traces(rows.spans(spark, db_span(3)))
+        store.backfill_rollup()
+    finally:
+        rollup_stream.stream_started = started
+    assert rollup_stream.visible_batches(spark, root) == ["0", "backfill"]
+    assert rollup_stream.usable_batches(spark, root) == ["0"]
+    assert [r["count"] for r in ranking(store)] == [3]
+    follow(store, str(tmp_path / "progress"))
+    assert [r["count"] for r in ranking(store)] == [3]
+
+
+def test_covered_files_are_not_read_again(spark, root, tmp_path):
+    store = SignalStore(spark, root)
+    store.install()
+    store.write_traces(rows.spans(spark, db_span(1)))
+    store.backfill_rollup()
+    assert not any("otel_traces" in f for f in store.aggregate_spans(RANKING, 0, 600).inputFiles())
+    store.write_traces(rows.spans(spark, db_span(2000)))
+    assert not any("otel_traces" in f for f in store.aggregate_spans(RANKING, 0, 600).inputFiles())
+    assert len([f for f in store.aggregate_spans(RANKING, 0, 200_000).inputFiles() if "otel_traces" in f]) == 1
+
+
+def test_a_year_of_batches_lists_few_folders():
+    complete, levels = [], (60, 1440)
+    for n in range(0, 525_600, 60):
+        complete += [str(i) for i in range(n, n + 60)]
+        for size in levels:
+            if (n + 60) % size == 0:
+                replaced = rollup_stream._replaced(complete)  # those of the merge before
+                complete = [c for c in complete if c not in replaced]
+                complete.append(f"{n + 60 - size}-{n + 59}")
+    replaced = rollup_stream._replaced(complete)
+    assert len([c for c in complete if c not in replaced]) < 400 and len(complete) < 500
+    covered = [rollup_stream._run(c) for c in complete if c not in replaced]
+    assert sum(last - first + 1 for first, last in covered) == 525_600
+
+
+def test_retention_drops_empty_batches_with_nothing_left_to_cover(spark, root, tmp_path):
+    store = SignalStore(spark, root)
+    store.install()
+    day = 24 * 60
+    for i in (1, 2 * day, 5 * day):
+        store.write_traces(rows.spans(spark, db_span(i)))
+        follow(store, str(tmp_path / "progress"))
+    store.write_traces(rows.spans(spark, db_span(5 * day) | {"SpanName": "other"}))
+    follow(store, str(tmp_path / "progress"))
+    store.apply_retention(now=5 * 86400, days=1)
+    # the last one has no rows, but names a file that need not be read again
+    assert rollup_stream.visible_batches(spark, root) == ["2", "3"]
+    assert sorted(n for n in tables.names(spark, f"{root}/{rollup_stream.SUMMARY}") if n.startswith("batch=")) == ["batch=2", "batch=3"]
+    assert [r["count"] for r in store.aggregate_spans(RANKING, 0, 10 * 86400).collect()] == [1]

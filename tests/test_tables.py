@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import rows
 from rows import S
-from spanlake import TelemetryStore, schemas
+from spanlake import SignalStore, schemas
 from spanlake.plans.queries import LabelMatcher, LogQuery, SpanAggregation, TraceCondition, TraceOp, TraceQuery
 from spanlake.sources import tables
 
@@ -26,7 +26,7 @@ def some_logs(spark, n, days=1):
 
 
 def test_install_is_repeatable_and_empty_tables_answer(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     store.write_logs(some_logs(spark, 3))
     store.install()
@@ -76,7 +76,7 @@ def test_round_trip_keeps_every_column(spark, root):
 
 
 def test_retention_drops_whole_days(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.install()
     store.write_logs(some_logs(spark, 40, days=10))
     now = 9 * DAY + 5000
@@ -90,7 +90,7 @@ def test_retention_drops_whole_days(spark, root):
 
 
 def test_only_the_asked_days_are_listed(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.write_logs(some_logs(spark, 40, days=4))
     whole, part = store.table("otel_logs"), store.table("otel_logs", DAY, 2 * DAY + 5)
     assert sorted(str(r.day) for r in part.select("day").distinct().collect()) == ["1970-01-02", "1970-01-03"]
@@ -108,7 +108,7 @@ def pushed(frame):
 
 
 def test_time_and_day_reach_the_scan(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.write_logs(some_logs(spark, 20, days=4))
     query = LogQuery.stream(LabelMatcher.eq("service_name", "s1"))
     found = store.search_logs(query, DAY, 2 * DAY)
@@ -119,7 +119,7 @@ def test_time_and_day_reach_the_scan(spark, root):
 
 
 def test_wide_columns_are_read_from_the_newest_days_only(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     store.write_logs(some_logs(spark, 400, days=4))
     found = store.search_logs(LogQuery(), 0, 10 * DAY, limit=3)
     assert [r.line for r in found.collect()] == ["391", "395", "399"]
@@ -133,7 +133,7 @@ def test_wide_columns_are_read_from_the_newest_days_only(spark, root):
 
 
 def promoted_store(spark, root):
-    store = TelemetryStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
+    store = SignalStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
     store.install()
     texts = [{"db.query.text": f"q{i % 3}"} if i % 4 else {} for i in range(40)]
     spans = [
@@ -156,7 +156,7 @@ def promoted_store(spark, root):
 )
 def test_promoted_attributes_give_the_same_rows(spark, root, condition):
     store = promoted_store(spark, root)
-    plain = TelemetryStore(spark, root)
+    plain = SignalStore(spark, root)
     from spanlake.operators.traces import match_spans
 
     def ids(table):
@@ -191,7 +191,7 @@ def test_trace_ids_have_a_bloom_filter(spark, root):
 
 
 def test_write_metrics(spark, root):
-    store = TelemetryStore(spark, root)
+    store = SignalStore(spark, root)
     point = {"TimestampNano": S, "MetricName": "m", "Value": 1.0, "Count": 2, "BucketCounts": [1]}
     keep = lambda *names: {k: v for k, v in point.items() if k in names}
     common = keep("TimestampNano", "MetricName")
@@ -230,10 +230,10 @@ def test_a_hot_service_is_split_by_size(spark, root):
 
 
 def test_promoted_attributes_cannot_be_changed_later(spark, root):
-    plain = TelemetryStore(spark, root)
+    plain = SignalStore(spark, root)
     plain.install()
     plain.write_traces(rows.spans(spark, {"SpanAttributes": {"db.query.text": "q"}, "TimestampNano": 1}))
-    other = TelemetryStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
+    other = SignalStore(spark, root, promote={"otel_traces": [("SpanAttributes", "db.query.text")]})
     for use in (other.install, lambda: other.table("otel_traces"), lambda: other.write_traces(plain.table("otel_traces"))):
         with pytest.raises(ValueError, match="promoted"):
             use()
@@ -243,4 +243,4 @@ def test_promoted_attributes_cannot_be_changed_later(spark, root):
 def test_writers_fill_all_promoted_attributes(spark, root):
     promoted_store(spark, root)
     with pytest.raises(ValueError, match="promoted"):
-        TelemetryStore(spark, root).write_traces(rows.spans(spark, {"TimestampNano": 1}))
+        SignalStore(spark, root).write_traces(rows.spans(spark, {"TimestampNano": 1}))
