@@ -310,3 +310,14 @@ _RANKING = f"""WITH {SPANS} SELECT {_stats("stmt", "duration", "quantile_disc({d
 ORACLES |= dict.fromkeys(["rollup_stream", "rollup_backfill", "rollup_stitched"], _RANKING)
 ORACLES["rollup_p95_bounds"] = f"""WITH {SPANS} SELECT stmt AS statement, count(*) AS calls, CAST(0 AS BIGINT) AS rank_error,
   true AS within_bound FROM spans WHERE name = 'db.query' GROUP BY stmt"""
+ORACLES["log_match_indexed"] = ORACLES["log_line_contains"]
+ORACLES["log_label_values_indexed"] = ORACLES["log_label_values"]
+ORACLES["trace_by_id_indexed"] = ORACLES["trace_waterfall"]
+ORACLES["tag_values_indexed"] = ORACLES["tag_values"]
+ORACLES["sink_metrics"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS n FROM ({ORACLES[name]})"
+    for kind, name in (("sum", "otlp_metrics_sum"), ("gauge", "otlp_metrics_gauge"), ("histogram", "otlp_metrics_hist"))
+)
+ORACLES["sink_bounded_files"] = "SELECT count(*) AS n, CAST(0 AS BIGINT) AS files_over FROM events"
+ORACLES["sink_empty_write"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1"
+ORACLES["sink_clustered"] = "SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM events"

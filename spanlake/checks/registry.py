@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.checks import adapters
@@ -26,7 +26,7 @@ from spanlake.plans.queries import (
     TraceQuery,
 )
 from spanlake.session import configure, fresh_path
-from spanlake.sources import otlp, tables
+from spanlake.sources import index, otlp, tables
 from spanlake.store import SignalStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -400,9 +400,8 @@ def _(spark, sf_dir):
     )
 
 
-@_register("trace_waterfall")
-def _(spark, sf_dir):
-    return traces.get_trace(adapters.spans(spark, sf_dir), "t10").select(
+def _waterfall(spans: DataFrame) -> DataFrame:
+    return spans.select(
         "span_id",
         F.coalesce("parent_span_id", F.lit("none")).alias("parent"),
         "name",
@@ -415,6 +414,11 @@ def _(spark, sf_dir):
     )
 
 
+@_register("trace_waterfall")
+def _(spark, sf_dir):
+    return _waterfall(traces.get_trace(adapters.spans(spark, sf_dir), "t10"))
+
+
 @_register("trace_services")
 def _(spark, sf_dir):
     return traces.trace_services(adapters.spans(spark, sf_dir), "t10").select(
@@ -637,6 +641,95 @@ def _(spark, sf_dir):
     return held.select("statement", "calls", error.cast("bigint").alias("rank_error"), narrow.alias("within_bound"))
 
 
+# --- stored tables: files, index ----------------------------------------------------------------------------------
+
+
+def _indexed(spark: SparkSession, sf_dir: str, table: str) -> SignalStore:
+    """A store of logs or spans in two appends, of which the first is indexed."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    rows, write = {
+        "otel_logs": (adapters.logs, store.write_logs),
+        "otel_traces": (adapters.spans, store.write_traces),
+    }[table]
+    halves = [rows(spark, sf_dir).where(F.pmod(F.xxhash64("SpanId"), F.lit(2)) == i) for i in range(2)]
+    write(halves[0])
+    store.index(table)
+    write(halves[1])
+    return store
+
+
+@_register("log_match_indexed")
+def _(spark, sf_dir):
+    """A line filter over the files that an index leaves, and those it does not cover."""
+    store, query = _indexed(spark, sf_dir, "otel_logs"), LOG_QUERIES["log_line_contains"]
+    rows = index.narrowed(spark, store.root, "otel_logs", index.log_conditions(query), START, END)
+    found = logs.match_logs(rows, query, START, END)
+    return found.select(F.col("TimestampNano").alias("ns"), F.col("SpanId").alias("span_id"), F.col("Body").alias("line"))
+
+
+@_register("log_label_values_indexed")
+def _(spark, sf_dir):
+    return _indexed(spark, sf_dir, "otel_logs").log_label_values("session_id", START, END)
+
+
+@_register("trace_by_id_indexed")
+def _(spark, sf_dir):
+    return _waterfall(_indexed(spark, sf_dir, "otel_traces").trace("t10"))
+
+
+@_register("tag_values_indexed")
+def _(spark, sf_dir):
+    return _indexed(spark, sf_dir, "otel_traces").tag_values(".http.route")
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"))
+
+
+@_register("sink_metrics")
+def _(spark, sf_dir):
+    """Payloads written to the three metric tables."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    store.ingest(adapters.metric_payloads(spark, sf_dir), "metrics")
+    kinds = [(kind, store.table(f"otel_metrics_{kind}")) for kind in ("sum", "gauge", "histogram")]
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, rows in kinds]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
+@_register("sink_bounded_files")
+def _(spark, sf_dir):
+    """Rows per file stay within the bound asked for."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    store.write_traces(adapters.spans(spark, sf_dir), max_rows=100)
+    files = store.table("otel_traces").groupBy("day", F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
+    return files.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 100).alias("files_over"))
+
+
+@_register("sink_empty_write")
+def _(spark, sf_dir):
+    """Empty appends and repeated installs change nothing."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    store.install()
+    rows = adapters.logs(spark, sf_dir)
+    store.write_logs(rows.where("false"))
+    store.write_logs(rows)
+    store.install()
+    store.write_logs(rows.where("false"))
+    return _by_day(store.table("otel_logs"))
+
+
+@_register("sink_clustered")
+def _(spark, sf_dir):
+    """Inside a file, rows come by service, span name and time."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    store.write_traces(adapters.spans(spark, sf_dir))
+    place = F.struct("ServiceName", "SpanName", "TimestampNano")
+    rows = store.table("otel_traces").select("day", "_metadata.file_name", "_metadata.row_index", place.alias("place"))
+    before = F.lag("place").over(Window.partitionBy("day", "file_name").orderBy("row_index"))
+    rows = rows.withColumn("before", before)
+    return rows.agg(F.count("*").alias("n"), F.count_if(F.col("before") > F.col("place")).alias("out_of_order"))
+
+
 # --- metrics ------------------------------------------------------------------------------------------------------
 
 

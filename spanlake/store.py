@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterable
 
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from spanlake.functions import attributes
 from spanlake.functions.times import Instant
 from spanlake.operators import logs, metrics, rollup, spans, traces
+from spanlake.operators.distinct import MAX_VALUES, distinct_values
 from spanlake.operators.metrics import MetricTables
 from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, TraceQuery, reject_raw
 from spanlake.plans.routing import metric_table, rollup_answers
 from spanlake.schemas import TABLES
 from spanlake.session import configure
-from spanlake.sources import tables
+from spanlake.sources import index, tables
 from spanlake.streaming import ingest
 from spanlake.streaming import rollup as rollup_stream
 
 
 class SignalStore:
-    """Tables below ``root``. ``promote`` names map attributes kept a second time as columns, per table."""
+    """Tables below ``root``.
+
+    ``promote`` names map attributes kept a second time as columns, per table; ``indexed`` the tables whose files are indexed
+    on every append. Searches use an index wherever there is one.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, promote: tables.Promoted | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, promote: tables.Promoted | None = None, indexed: Iterable[str] = ()
+    ) -> None:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.promote = promote or {}
+        self.indexed = set(indexed)
 
     def install(self) -> None:
         """Create missing tables; safe to repeat. The rollup is created by its first batch."""
@@ -36,52 +47,97 @@ class SignalStore:
 
     # writing
 
+    def _append(self, rows: DataFrame, table: str, **options) -> None:
+        tables.append(rows, self.root, table, self.promote, **options)
+        self._index([table])
+
+    def _index(self, written: Iterable[str]) -> None:
+        for table in self.indexed.intersection(written):
+            index.update(self.spark, self.root, table)
+
+    def index(self, table: str) -> int:
+        """Index the files of a table that are not indexed yet; their number."""
+        return index.update(self.spark, self.root, table)
+
     def write_logs(self, rows: DataFrame, **options) -> None:
-        tables.append(rows, self.root, "otel_logs", self.promote, **options)
+        self._append(rows, "otel_logs", **options)
 
     def write_traces(self, rows: DataFrame, **options) -> None:
-        tables.append(rows, self.root, "otel_traces", self.promote, **options)
+        self._append(rows, "otel_traces", **options)
 
     def write_metrics(self, points: MetricTables, **options) -> None:
-        tables.append(points.sum, self.root, "otel_metrics_sum", self.promote, **options)
-        tables.append(points.gauge, self.root, "otel_metrics_gauge", self.promote, **options)
-        tables.append(points.histogram, self.root, "otel_metrics_histogram", self.promote, **options)
+        self._append(points.sum, "otel_metrics_sum", **options)
+        self._append(points.gauge, "otel_metrics_gauge", **options)
+        self._append(points.histogram, "otel_metrics_histogram", **options)
 
     def ingest(self, raw: DataFrame, signal: str, **options) -> None:
         """OTLP/JSON payloads (column ``raw``) of ``logs``, ``traces`` or ``metrics`` into their tables."""
         ingest.write_payloads(raw, self.root, signal, self.promote, **options)
+        self._index(ingest.TABLES_OF[signal])
 
     def follow_payloads(self, source: str, signal: str, checkpoint: str | None = None, **options):
         """Start the stream that ingests new payload files below ``source``."""
         return ingest.run_ingest_stream(
-            self.spark, source, self.root, signal, checkpoint, promote=self.promote, **options
+            self.spark, source, self.root, signal, checkpoint, promote=self.promote, indexed=self.indexed, **options
         )
 
+    # searching
+
+    def _narrowed(
+        self, table: str, conditions: list[index.Condition], start: Instant | None, end: Instant | None
+    ) -> DataFrame:
+        """At least the rows of the range that can match, from the files an index names where there is one."""
+        found = index.narrowed(self.spark, self.root, table, conditions, start, end, self.promote)
+        return self.table(table, start, end) if found is None else found
+
+    def _values(
+        self, table: str, field: str, value: Callable[[DataFrame], Column], start: Instant | None, end: Instant | None, limit: int | None
+    ) -> DataFrame:
+        """Distinct values of a field: of indexed files from the index, of all others from their rows."""
+        known = index.known_values(self.spark, self.root, table, field, start, end)
+        if known is None:
+            rows = self.table(table, start, end)
+            return distinct_values(rows, value(rows), start, end, limit)
+        values, files = known
+        if files:
+            rows = tables.read_files(self.spark, self.root, table, files, self.promote)
+            values = values.unionByName(distinct_values(rows, value(rows), start, end, None)).distinct()
+        values = values.orderBy("value")
+        return values if limit is None else values.limit(limit)
+
     # logs
 
     def search_logs(self, query: LogQuery, start: Instant, end: Instant, limit: int = 100) -> DataFrame:
-        return logs.search_logs(self.table("otel_logs", start, end), query, start, end, limit)
+        rows = self._narrowed("otel_logs", index.log_conditions(query), start, end)
+        return logs.search_logs(rows, query, start, end, limit)
 
     def log_label_values(
-        self, label: str, start: Instant | None = None, end: Instant | None = None, **options
+        self, label: str, start: Instant | None = None, end: Instant | None = None, limit: int | None = MAX_VALUES
     ) -> DataFrame:
-        return logs.log_label_values(self.table("otel_logs", start, end), label, start, end, **options)
+        field = index.label_field(label)
+        if field is None:
+            return logs.log_label_values(self.table("otel_logs", start, end), label, start, end, limit)
+        return self._values("otel_logs", field, lambda rows: attributes.log_label(rows, label), start, end, limit)
 
     # traces
 
     def search_traces(
         self, query: TraceQuery, start: Instant, end: Instant, limit: int = 20, **options
     ) -> DataFrame:
-        return traces.search_traces(self.table("otel_traces", start, end), query, start, end, limit, **options)
+        reject_raw(query.raw, "TraceQL")
+        rows = self._narrowed("otel_traces", index.trace_conditions(query), start, end)
+        return traces.search_traces(rows, query, start, end, limit, **options)
 
     def trace(
         self, trace_id: str, start: Instant | None = None, end: Instant | None = None, **options
     ) -> DataFrame:
-        """The waterfall of a trace; with both bounds only their days are read."""
-        return traces.get_trace(self.table("otel_traces", start, end), trace_id, start, end, **options)
+        """The waterfall of a trace; with an index only its files are read, with both bounds only their days."""
+        rows = self._narrowed("otel_traces", index.trace_condition(trace_id), start, end)
+        return traces.get_trace(rows, trace_id, start, end, **options)
 
     def trace_services(self, trace_id: str, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        return traces.trace_services(self.table("otel_traces", start, end), trace_id, start, end)
+        rows = self._narrowed("otel_traces", index.trace_condition(trace_id), start, end)
+        return traces.trace_services(rows, trace_id, start, end)
 
     def tag_values(
         self,
@@ -91,7 +147,13 @@ class SignalStore:
         end: Instant | None = None,
         limit: int | None = 0,
     ) -> DataFrame:
-        return traces.tag_values(self.table("otel_traces", start, end), tag, filter, start, end, limit)
+        plain = filter is None or filter.raw is not None or not filter.conditions
+        if not plain:
+            return traces.tag_values(self.table("otel_traces", start, end), tag, filter, start, end, limit)
+        most = limit if limit is None or limit > 0 else MAX_VALUES
+        return self._values(
+            "otel_traces", index.tag_field(tag), lambda rows: attributes.span_tag(rows, tag), start, end, most
+        )
 
     def aggregate_spans(
         self, aggregation: SpanAggregation, start: Instant, end: Instant, exact: bool = True
@@ -136,9 +198,12 @@ class SignalStore:
         return metrics.range_query(self.metric_tables(query, start, end), query, start, end, step)
 
     def metric_label_values(
-        self, label: str, start: Instant | None = None, end: Instant | None = None, **options
+        self, label: str, start: Instant | None = None, end: Instant | None = None, limit: int | None = MAX_VALUES
     ) -> DataFrame:
-        return metrics.metric_label_values(self.table("otel_metrics_sum", start, end), label, start, end, **options)
+        field = label if label == "service_name" else attributes.dotted(label)
+        return self._values(
+            "otel_metrics_sum", field, lambda rows: attributes.metric_label(rows, label), start, end, limit
+        )
 
     # retention
 

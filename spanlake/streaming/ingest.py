@@ -7,13 +7,21 @@ record is written again: delivery is at least once, as with a client that repeat
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spanlake.session import configure, shared_folder
-from spanlake.sources import otlp, tables
+from spanlake.sources import index, otlp, tables
 
 PARSERS = {"logs": otlp.parse_logs, "traces": otlp.parse_traces}
 
+TABLES_OF = {
+    "logs": ["otel_logs"],
+    "traces": ["otel_traces"],
+    "metrics": ["otel_metrics_sum", "otel_metrics_gauge", "otel_metrics_histogram"],
+}
+
 
 def write_payloads(
     raw: DataFrame, root: str, signal: str, promote: tables.Promoted | None = None, cluster: bool = True
@@ -47,8 +55,9 @@ def run_ingest_stream(
     files_per_batch: int | None = None,
     promote: tables.Promoted | None = None,
     cluster: bool = False,
+    indexed: Collection[str] = (),
 ):
-    """Start the streaming query over new files below ``source``.
+    """Start the streaming query over new files below ``source``. Tables in ``indexed`` are indexed after every batch.
 
     Micro-batches are small, so they skip the shuffle that clusters rows; pass ``cluster=True`` for large ones.
     """
@@ -60,6 +69,9 @@ def run_ingest_stream(
 
     def add(batch: DataFrame, _: int) -> None:
         write_payloads(batch, root, signal, promote, cluster)
+        for table in TABLES_OF[signal]:
+            if table in indexed:
+                index.update(batch.sparkSession, root, table)
 
     return (
         payloads.writeStream.foreachBatch(add)
