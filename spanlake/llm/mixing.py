@@ -2,10 +2,9 @@
 
 A classifier trained on a labelled table gives every document a probability for each domain. A document sampled at rate r
 then contributes r times its tokens times these probabilities to the domains' expected token totals. The nonnegative
-rates that bring the totals to their targets are found by projected gradient steps on half the squared distance: each step
-needs the totals alone (a handful of sums, combined before the shuffle), moves each document's rate along its
-probabilities and cuts it off at its floor. The gradient is scaled by the inverse of the domains' second moments, so
-that steps suit domains of any size. Rates start at 1, so a document is changed no more than the targets ask.
+rates closest to the targets, by half the squared distance, are found by projected gradient steps: each step needs sums over the
+documents alone (a handful of numbers per task), moves each document's free rate along its probabilities and cuts it off at its
+floor (``solve``). Rates start at 1, so a document is changed no more than the targets ask.
 
 The classifier is a softmax regression on the words that tell the domains apart the most and a few shape measures, trained
 on at most ``TRAIN_DOCUMENTS`` labelled documents picked by hash. The model, of fixed size, is sent to the tasks; texts are
@@ -22,7 +21,7 @@ stays empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,9 +43,13 @@ DECAY = 0.03
 
 SHAPE = 6
 
-MAX_STEPS = 40
-TOLERANCE = 1e-4
-STALLED = 0.995
+# what the documents' rates weigh beside the distance, against the number of tokens; steps; and when the step counts as exact
+RIDGE = 1e-8
+MAX_STEPS = 100
+TOLERANCE = 1e-9
+
+# lengths of a step that are tried at once
+LENGTHS = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001, 1e-5)
 
 
 @dataclass
@@ -180,13 +183,40 @@ def posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFr
     return docs.select(*names, docs[text].alias("_body")).mapInArrow(run, T.StructType([*keep, *added]))
 
 
-def _rate(history: list[np.ndarray], floor: Column) -> Column:
-    """The rate after some steps, each a vector by which rates move along the probabilities."""
-    rate = F.lit(1.0)
-    for step in history:
-        move = sum((F.col("p")[d] * float(v) for d, v in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(floor, rate - move)
-    return rate
+@dataclass
+class Solution:
+    """The move along the probabilities that leads from rates of 1 to the fitted ones, and what it reaches.
+
+    ``objective``: half the squared distance of the totals from their goal; ``reached``: whether this is the least possible.
+    """
+
+    move: np.ndarray
+    reached: bool = True
+    objective: float = 0.0
+
+    def rates(self, p: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        return np.maximum(floor, 1 - p @ self.move)
+
+
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, probabilities and floors of a batch."""
+    tokens, floor = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in (0, 2))
+    return tokens, batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1), floor
+
+
+def _sums(members: DataFrame, count: int, of: Callable[..., np.ndarray]) -> np.ndarray:
+    """Sums of ``of(tokens, p, floor)``, ``count`` numbers for a batch, over all members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(count)
+        for batch in batches:
+            if batch.num_rows:
+                total += of(*_read(batch))
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], [f"s{i}" for i in range(count)])
+
+    partial = members.select("n_tokens", "p", "floor").mapInArrow(run, ", ".join(f"s{i} double" for i in range(count)))
+    row = partial.agg(*(F.sum(f"s{i}") for i in range(count))).first()
+    return np.array([x or 0.0 for x in row])
 
 
 def solve(
@@ -194,53 +224,58 @@ def solve(
     names: list[str],
     targets: dict[str, float],
     budget: float | None = None,
-    floor: Column | None = None,
     keep: str | None = None,
-) -> list[np.ndarray]:
-    """The steps that bring the expected token totals of ``members`` (n_tokens, p) to their targets.
+) -> Solution:
+    """The rates that bring the expected token totals of ``members`` (n_tokens, p, floor) closest to their targets.
 
-    They end when the totals are close enough, or when floors keep them from coming closer.
+    A projected gradient step moves each rate from 1 along its probabilities, by the distance of the totals over ``RIDGE``, and cuts
+    it off at its floor. Taken implicitly, by the distance that is left *after* the step, a single long one ends at the closest
+    totals, up to the ridge; its direction has one number per domain, found by Newton steps on the convex function whose
+    gradient is what the equation lacks. Of several lengths of a Newton step the best is taken; one pass sums up what all of them need.
     """
-    floor = F.lit(0.0) if floor is None else floor
-    history: list[np.ndarray] = []
-    goal, before, off_before, safe = None, np.inf, None, False
     n = len(names)
-    p, tokens = F.col("p"), F.col("n_tokens")
     weight = np.array([max(0.0, targets[name]) for name in names])
 
-    def inverse(moments: list[float]) -> np.ndarray:
-        return np.linalg.pinv(np.array(moments).reshape(n, n), rcond=1e-9, hermitian=True)
-
+    def sums(moves: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each move: the function without its linear and quadratic terms, the totals, and the free documents' second moments."""
+
+        def of(t: np.ndarray, p: np.ndarray, f: np.ndarray) -> np.ndarray:
+            found = []
+            for move in moves:
+                wanted = 1 - p @ move
+                free = wanted > f
+                part = np.where(free, wanted * wanted / 2, f * wanted - f * f / 2)
+                found += [[t @ part], (t * np.maximum(f, wanted)) @ p, ((p * (t * free)[:, None]).T @ p).ravel()]
+            return np.concatenate(found)
+
+        size = 1 + n + n * n
+        rows = _sums(members, size * len(moves), of).reshape(len(moves), size)
+        return [(row[0], row[1 : 1 + n], row[1 + n :].reshape(n, n)) for row in rows]
+
+    move = np.zeros(n)
+    (value, totals, moments), = sums([move])
+    weight = np.where(totals > 0, weight, 0)
+    if not weight.sum():
+        return Solution(move)
+    weight /= weight.sum()
+    if keep in names and weight[names.index(keep)] > 0:
+        budget = totals[names.index(keep)] / weight[names.index(keep)]
+    goal = weight * (budget if budget is not None else totals.sum())
+    ridge = RIDGE * max(float(totals.sum()), 1.0)
+    reached = False
     for _ in range(MAX_STEPS):
-        rated = members.select("n_tokens", "p", _rate(history, floor).alias("r"), floor.alias("f"))
-        free = F.when(F.col("r") > F.col("f"), tokens).otherwise(0)
-        sums = [F.sum(tokens * F.col("r") * p[d]) for d in range(n)]
-        sums += [F.sum(of * p[a] * p[b]) for of in (free, tokens) for a in range(n) for b in range(n)]
-        row = [x or 0.0 for x in rated.agg(*sums).first()]
-        totals, movable, every = np.array(row[:n]), row[n : n + n * n], row[n + n * n :]
-        if goal is None:
-            weight = np.where(totals > 0, weight, 0)
-            if not weight.sum():
-                return []
-            weight /= weight.sum()
-            if keep in names and weight[names.index(keep)] > 0:
-                budget = totals[names.index(keep)] / weight[names.index(keep)]
-            goal = weight * (budget if budget is not None else totals.sum())
-        off = totals - goal
-        distance = np.abs(off).sum()
-        if distance <= TOLERANCE * max(1.0, goal.sum()):
+        lacking = totals - goal - ridge * move
+        if np.abs(lacking).sum() <= TOLERANCE * goal.sum():
+            reached = True
             break
-        if distance > STALLED * before:
-            if safe:
-                break
-            # the moments of the documents that can move gave too long a step; those of all documents never do
-            safe = True
-            if distance > before:
-                history.pop()
-                off, distance = off_before, before
-        before, off_before = distance, off
-        history.append(inverse(every if safe else movable) @ off)
-    return history
+        step = np.linalg.solve(moments + ridge * np.eye(n), lacking)
+        moves = [move + length * step for length in LENGTHS]
+        found = sums(moves)
+        values = [v + goal @ m + ridge * (m @ m) / 2 for m, (v, *_) in zip(moves, found)]
+        best = int(np.argmin(values))
+        move, (value, totals, moments) = moves[best], found[best]
+    off = totals - goal
+    return Solution(move, reached, float(off @ off) / 2)
 
 
 def floor_of(names: list[str], floors: dict[str, float], least: np.ndarray | None = None) -> Column:
@@ -266,7 +301,7 @@ def rates(
     keep: str | None = None,
     limit: int = TRAIN_DOCUMENTS,
 ) -> DataFrame:
-    """Per row of the input: ``doc_id``, ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``.
+    """Per row of the input: ``doc_id``, ``n_tokens``, ``p_<domain>``, ``rate``, ``reached`` (the optimum) and ``copies``.
 
     ``targets``: weight of each domain; ``budget``: tokens asked for in all (as many as there are, if none is given);
     ``keep``: a domain whose tokens are to stay as many as they are, which settles the budget;
@@ -289,15 +324,18 @@ def rates(
         known = labelled.where("domain IS NOT NULL").groupBy("doc_id").agg(F.collect_set("domain").alias("known"))
         members = members.join(known, "doc_id", "left")
         floor = floor_of(names, floors, None if model is None else model.least)
-    members = staged(members.select("doc_id", "n_tokens", "p", floor.alias("floor")), "members")
-    floor = F.col("floor")
-    rate = _rate(solve(members, names, targets, budget, floor, keep), floor)
+    members = staged(members.select("n_tokens", "p", floor.alias("floor"), "doc_id"), "members")
+    solution = solve(members, names, targets, budget, keep)
+
+    moved = F.lit(1.0) - sum((F.col("p")[d] * float(v) for d, v in enumerate(solution.move)), F.lit(0.0))
+    members = members.withColumn("rate", F.greatest("floor", moved))
     chance = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     rated = members.select(
         "doc_id",
         "n_tokens",
         *((F.col("p")[names.index(n)] if n in names else F.lit(0.0)).alias(f"p_{n}") for n in targets),
-        rate.alias("rate"),
+        "rate",
+        F.lit(solution.reached).alias("reached"),
     )
     more = (chance < F.col("rate") - F.floor("rate")).cast("int")
     return rated.withColumn("copies", (F.floor("rate") + more).cast("int"))
@@ -305,8 +343,9 @@ def rates(
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
     """The rows of the input, each as often as its ``copies`` say."""
-    once = rates(docs, labelled, targets, **options).select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    once = once.groupBy("_id").agg(F.max("_copies").alias("_copies"))  # repeated rows have equal rates
-    joined = docs.join(once, F.col("doc_id").eqNullSafe(F.col("_id")))
-    repeated = F.explode(F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies"))))
-    return joined.select(*(docs[c] for c in docs.columns), repeated.alias("_copy")).drop("_copy")
+    once = rates(docs, labelled, targets, **options).select(F.col("doc_id").alias("id"), "copies")
+    once = once.groupBy("id").agg(F.max("copies").alias("copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("own"))
+    joined = rows.join(once, F.col("own").eqNullSafe(F.col("id")))
+    repeated = F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))))
+    return joined.select("row", repeated.alias("copy")).select("row.*")

@@ -1,15 +1,15 @@
 """Best-fit packing of documents into training sequences of several permitted lengths.
 
 Documents longer than the largest length are cut into pieces of that length; the rest of a document is one more piece.
-Pieces are dealt by a hash of the document to shards of bounded size, and each shard is packed by itself, largest piece
+Pieces are dealt by a hash of document, piece and row to shards of bounded size, and each shard is packed by itself, largest piece
 first, into the open sequence with the least room that holds it. If none does, a sequence is opened. Which length to open
 is settled jointly for the shard: the smallest length that holds a piece is its class, and every mix of a length to open
 for each class (that or a larger one; 24 mixes of four lengths) is packed. Each sequence is then downsized to the smallest
 length that holds its contents, and the mix with the least total cost stays. A sequence of length n costs n plus a fixed
 overhead.
 
-Only ids and lengths are shuffled. The number of shards follows from the number of documents, so that a task holds a
-bounded number of pieces whatever the size of the corpus; a shard takes a longer time than another only by chance.
+Only ids and lengths are shuffled. The number of shards follows from the number of pieces, so that a task holds a
+bounded number of them whatever the size of the corpus, of a document, or of a group of rows with one id.
 
 Defined results: a null or negative length counts as 0, and documents without tokens get one piece of length 0; rows
 with a null id are packed like others; repeated rows are packed once each; equal lengths go by id; an empty table gives an
@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanlake.llm.common import prepare, staged
+
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 16
 SHARD_DOCUMENTS = 20_000
@@ -93,32 +95,41 @@ def pack(
     if not lengths or lengths[0] < 1:
         raise ValueError("lengths must be positive")
     largest = lengths[-1]
-    sizes = docs.select(
+    prepare(docs.sparkSession)
+    rows = docs.select(
         docs[id].cast("bigint").alias("doc_id"),
-        F.greatest(F.coalesce(docs[tokens].cast("bigint"), F.lit(0)), F.lit(0)).alias("n_tokens"),
+        F.greatest(F.coalesce(docs[tokens].cast("bigint"), F.lit(0)), F.lit(0)).alias("tokens"),
+        F.monotonically_increasing_id().alias("row"),  # tells repeated rows apart
+    )
+    count = F.greatest(F.lit(1), F.ceil(F.col("tokens") / largest))
+    rows = staged(rows, "lengths")
+    shards = -(-max(1, rows.agg(F.sum(count)).first()[0] or 0) // shard_documents)
+    pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    start = F.col("piece") * largest
+    pieces = pieces.select(
+        # a null among large ids would turn them into doubles on the way to the task
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.col("doc_id").isNotNull().alias("known"),
+        F.col("piece").cast("int").alias("piece"),
+        start.alias("piece_start"),
+        F.least(F.lit(largest), F.col("tokens") - start).alias("n_tokens"),
+        "row",
+        F.pmod(F.xxhash64(F.lit(3), "doc_id", "piece", "row"), F.lit(shards)).cast("int").alias("shard"),
     )
-    shards = -(-max(1, sizes.count()) // shard_documents)
-    sizes = sizes.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "doc_id", "n_tokens"), F.lit(shards)).cast("int"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        n = rows["n_tokens"].to_numpy()
-        count = np.maximum(1, -(-n // largest))
-        row = np.repeat(np.arange(len(n)), count)
-        piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        start = piece * largest
-        size = np.minimum(largest, n[row] - start)
-        key = rows["doc_id"].fillna(-1).to_numpy().astype("int64")[row]
-        order = np.lexsort((piece, key, -size))
-        row, piece, start, size = row[order], piece[order], start[order], size[order]
-        where, offsets, used, final = pack_shard(size.tolist(), lengths, overhead)
+        rows = rows.sort_values(["n_tokens", "known", "doc_id", "piece", "row"], ascending=[False, True, True, True, True])
+        where, offsets, used, final = pack_shard(rows["n_tokens"].tolist(), lengths, overhead)
         where = np.asarray(where)
         shard = int(rows["shard"].iloc[0])
+        ids = pd.array(rows["doc_id"], dtype="Int64")
+        ids[~rows["known"].to_numpy()] = pd.NA
         return pd.DataFrame(
             {
-                "doc_id": rows["doc_id"].astype("Int64").to_numpy()[row],
-                "piece": piece,
-                "piece_start": start,
-                "n_tokens": size,
+                "doc_id": ids,
+                "piece": rows["piece"].to_numpy(),
+                "piece_start": rows["piece_start"].to_numpy(),
+                "n_tokens": rows["n_tokens"].to_numpy(),
                 "shard": shard,
                 "seq": shard * 2**32 + where,
                 "seq_offset": offsets,
@@ -127,4 +138,4 @@ def pack(
             }
         )
 
-    return sizes.groupBy("shard").applyInPandas(run, SCHEMA)
+    return pieces.groupBy("shard").applyInPandas(run, SCHEMA)

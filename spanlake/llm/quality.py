@@ -100,7 +100,8 @@ def _covered(ordered: str) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input with the counts the rules use, all BIGINT."""
     keep = [c for c in docs.columns if c.lower() not in COUNTS]
-    parts = docs.select(*keep, whole(docs[text]).alias("_text"))
+    # the row in one column: its names cannot clash with those below
+    parts = docs.select(F.struct(*keep).alias("_row"), whole(docs[text]).alias("_text"))
     parts = parts.withColumns(
         {
             "_words": words(F.col("_text")),
@@ -127,7 +128,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.size(F.filter("_words", lambda w: w.isin(stop))),
         "n_repeat_words": _covered("_windows"),
     }
-    return parts.select(*keep, *(c.cast("bigint").alias(n) for n, c in counts.items()))
+    return parts.select("_row.*", *(c.cast("bigint").alias(n) for n, c in counts.items()))
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, text: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ from brute import without_frequent_lines
 from pyspark.sql import functions as F
 from rows_of_text import DATA, docs  # noqa: F401
 
-from spanlake.llm import line_dedup, quality
+from spanlake.llm import line_dedup, mixing, quality
 from spanlake.llm.queries import oracle_sql, queries
 
 
@@ -102,3 +102,38 @@ def test_rows_without_id_and_repeated_rows(docs):
     # four documents and a repeated row are no five documents
     four = line_dedup.drop_lines(docs(*[(i, LINE) for i in range(4)], (0, LINE))).collect()
     assert all(r._n_dropped == 0 for r in four)
+
+
+CLASHING = ["id", "_id", "row", "_row", "_text", "_lines", "_words", "lines", "kept", "drops", "t", "_n_lines", "_n_dropped", "n_words", "h1", "pos", "copy", "copies", "known", "own"]
+
+
+def test_columns_with_clashing_names_stay(spark, docs):
+    import corpus_pipeline
+
+    text = " ".join(f"the word{i % 7} of{i}" for i in range(60))
+    shared = "a line that is found in very many of the documents of this test"
+    frame = docs(*((i, f"{text} {i}\n{shared}") for i in range(8)))
+    extra = frame.select("*", *(F.concat(F.lit(f"{c}:"), "doc_id").alias(c) for c in CLASHING))
+
+    def check(rows):
+        assert rows.columns == extra.columns
+        found = rows.collect()
+        assert found and all(r[c] == f"{c}:{r.doc_id}" for r in found for c in CLASHING)
+        return found
+
+    check(quality.filter_documents(extra))
+    judged = quality.judge(extra)
+    assert all(r._text == f"_text:{r.doc_id}" and r.n_words > 100 for r in judged.collect())
+    left = check(corpus_pipeline.dedup_lines(spark, extra, ""))
+    assert [shared in r.text for r in sorted(left, key=lambda r: r.doc_id)] == [False] * 7 + [True]
+    counted = line_dedup.drop_lines(extra).collect()
+    assert {(r._n_lines, r._n_dropped) for r in counted} == {(2, 1), (2, 0)}
+    check(corpus_pipeline.dedup_documents(spark, extra, ""))
+    check(mixing.mix(extra, spark.createDataFrame([], "doc_id bigint, domain string"), {"clean": 1.0}))
+
+
+def test_different_texts_of_one_id_lose_their_own_lines(docs):
+    line = "a line that is found in very many of the documents of this test"
+    rows = [(i, f"x\n{line}") for i in range(6)] + [(0, f"{line}\ny"), (0, f"{line}\ny")]
+    left = line_dedup.drop_lines(docs(*rows)).collect()
+    assert sorted(r.text for r in left) == sorted(["x"] * 5 + [f"x\n{line}"] + ["y"] * 2)

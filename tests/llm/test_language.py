@@ -6,8 +6,8 @@ import zlib
 from pyspark.sql import functions as F
 
 from spanlake.llm import language, queries
-from tests.llm import brute
-from tests.llm.rows_of_text import DATA, docs  # noqa: F401
+import brute
+from rows_of_text import DATA, docs  # noqa: F401
 
 REFERENCES = {"de": " die der und schule haus häuser ", "en": " the of and house school ", "xx": " ☃ "}
 

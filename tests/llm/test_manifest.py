@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from spanlake.llm import manifest
 from spanlake.llm.common import lower_ascii
-from tests.llm import brute
-from tests.llm.rows_of_text import DOCUMENTS, docs  # noqa: F401
+import brute
+from rows_of_text import DOCUMENTS, docs  # noqa: F401
 
 def lowered():
     return {"text": lower_ascii(F.col("text"))}

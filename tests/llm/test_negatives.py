@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanlake.llm import negatives
-from tests.llm import brute
+import brute
 
 SCHEMA = T.StructType(
     [

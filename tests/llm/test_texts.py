@@ -128,6 +128,19 @@ def test_packing(spark, docs):
     assert packing.pack(same).count() == 3
 
 
+def test_packing_keeps_ids_and_splits_hot_ones(spark, docs):
+    large = [(2**53 + 1, 5), (None, 5), (2**53 + 5, 7), (-(2**63), 1), (2**63 - 1, 1)]
+    got = packing.pack(spark.createDataFrame(large, "doc_id bigint, n_tokens bigint")).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == sorted(large, key=str)
+    hot = spark.createDataFrame([(1, 10)] * 3000 + [(None, 10)] * 1000 + [(2, 64 * 3000 + 7)], "doc_id bigint, n_tokens bigint")
+    got = packing.pack(hot, lengths=(32, 64), shard_documents=500).collect()
+    assert len(got) == 7001 and sum(r.n_tokens for r in got) == 40_000 + 64 * 3000 + 7
+    shards = {}
+    for r in got:
+        shards[r.shard] = shards.get(r.shard, 0) + 1
+    assert len(shards) == 15 and max(shards.values()) < 700
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 50), max_size=40))
 def test_joint_opening_is_no_dearer_than_one_length(sizes):
@@ -171,17 +184,41 @@ def test_mixing_floors_and_odd_rows(spark, docs):
     assert all(r.rate == 1 and r.p_clean == 1 for r in none)
 
 
-def test_gradient_steps_match_a_solver(spark, docs):
+def plain_rates(tokens, p, floor, goal):
+    """Accelerated projected gradient steps until nothing moves: (objective, rates)."""
+    root = np.sqrt(tokens)[:, None] * p
+    step = 1 / np.linalg.eigvalsh(root.T @ root)[-1]
+    low = np.sqrt(tokens) * floor
+    x = y = np.sqrt(tokens) * np.maximum(1, floor)
+    t = 1.0
+    for _ in range(60_000):
+        after = np.maximum(low, y - step * (root @ (root.T @ y - goal)))
+        if (y - after) @ (after - x) > 0:
+            t = 1.0  # the momentum points uphill
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        x, y, t = after, after + (t - 1) / later * (after - x), later
+    off = root.T @ x - goal
+    return off @ off / 2
+
+
+@pytest.mark.parametrize("floors", ["none", "some", "all"])
+@pytest.mark.parametrize("targets", [(0.85, 0.1, 0.05), (0.05, 0.05, 0.9), (1.0, 0.0, 0.0), (0.9, 0.06, 0.04)])
+def test_rates_match_a_plain_solver(spark, docs, floors, targets):
     rng = np.random.default_rng(5)
     p = rng.dirichlet([0.4, 0.4, 0.4], 300)
-    tokens = rng.integers(1, 50, 300)
-    members = spark.createDataFrame([(int(n), [float(x) for x in row]) for n, row in zip(tokens, p)], "n_tokens bigint, p array<double>")
-    goal = np.array([0.85, 0.1, 0.05]) * tokens.sum()
-    history = mixing.solve(members, ["a", "b", "c"], {"a": 0.85, "b": 0.1, "c": 0.05})
-    rate = np.ones(300)
-    for step in history:
-        rate = np.maximum(0, rate - p @ step)
-    assert np.abs((rate * tokens) @ p - goal).sum() < 0.001 * goal.sum()
+    tokens = rng.integers(0, 50, 300).astype(float)
+    floor = {"none": np.zeros(300), "some": (p[:, 0] < 0.4).astype(float), "all": np.full(300, 1.5)}[floors]
+    rows = [(int(n), [float(x) for x in row], float(f)) for n, row, f in zip(tokens, p, floor)]
+    members = spark.createDataFrame(rows, "n_tokens bigint, p array<double>, floor double").repartition(4)
+    names = ["a", "b", "c"]
+    found = mixing.solve(members, names, dict(zip(names, targets)), budget=tokens.sum())
+    goal = np.array(targets) * tokens.sum()
+    rate = found.rates(p, floor)
+    off = (rate * tokens) @ p - goal
+    assert found.reached and (rate >= floor).all()
+    assert abs(off @ off / 2 - found.objective) <= 1e-6 * (goal @ goal)
+    best = plain_rates(tokens, p, floor, goal)
+    assert found.objective <= 1.001 * best + 1e-6 * (goal @ goal)
 
 
 def test_toxicity(spark, docs):
