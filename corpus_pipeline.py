@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many documents hold; ``n_chars`` follows the text."""
-    left = line_dedup.drop_lines(docs).drop("_n_lines", "_n_dropped")
+    left = line_dedup.without_lines(docs)
     return left.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
