@@ -18,7 +18,6 @@ from spanlake.operators.ranking import BROADCAST_ROWS, in_order, ranked, statist
 from spanlake.operators.traces import match_spans
 from spanlake.plans.queries import SpanAggregation, SpanSort, UnsupportedQuery
 from spanlake.plans.routing import rollup_answers
-from spanlake.sources.tables import write_fresh
 
 # a sum of nanoseconds can outgrow BIGINT: the parts above and below this bit are summed apart
 SPLIT = 20
@@ -94,7 +93,8 @@ def _exact(spans: DataFrame, aggregation: SpanAggregation) -> DataFrame:
     carry = _carry(aggregation)
     kept = ["calls", "total", "longest", *carry]
     if aggregation.sort is SpanSort.P95:
-        targets, few = _quantile_candidates(_all_located(spans, aggregation), aggregation)
+        # how many keys may still win is not known: Spark chooses the join when it has counted them
+        targets, few = _quantile_candidates(_all_located(spans, aggregation), aggregation), False
         final = ranked
     else:
         few = max(1, aggregation.limit) <= BROADCAST_ROWS
@@ -153,14 +153,12 @@ def _bracket() -> list[Column]:
     return [F.count("*").alias("n"), F.min("d").alias("low"), F.max("d").alias("high")]
 
 
-def _quantile_candidates(stats: DataFrame, aggregation: SpanAggregation) -> tuple[DataFrame, bool]:
-    """Groups that can still be among the top ones, given the bracket their quantile lies in, and whether they are few.
+def _quantile_candidates(stats: DataFrame, aggregation: SpanAggregation) -> DataFrame:
+    """Groups that can still be among the top ones, given the bracket their quantile lies in.
 
-    The quantile is at least ``low``, so a group whose upper end lies below the ``limit``-th largest ``low`` is out. The
-    per-group rows are written once, since both the threshold and the candidates need them.
+    The quantile is at least ``low``, so a group whose upper end lies below the ``limit``-th largest ``low`` is out. That threshold is
+    a scalar subquery of the same plan, which reads the groups' shuffle again instead of the spans.
     """
-    stats = write_fresh(stats, "span-brackets")
-    last = stats.orderBy(F.desc("low")).limit(max(1, aggregation.limit)).agg(F.min("low").alias("low")).first()
+    threshold = stats.orderBy(F.desc("low")).limit(max(1, aggregation.limit)).agg(F.min("low").alias("low"))
     upper = F.greatest("high", F.coalesce("after", "high"))
-    candidates = stats if last.low is None else stats.where(upper >= last.low)
-    return candidates, candidates.count() <= BROADCAST_ROWS
+    return stats.where(upper >= threshold.scalar())
