@@ -321,3 +321,5 @@ ORACLES["sink_metrics"] = " UNION ALL ".join(
 ORACLES["sink_bounded_files"] = "SELECT count(*) AS n, CAST(0 AS BIGINT) AS files_over FROM events"
 ORACLES["sink_empty_write"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1"
 ORACLES["sink_clustered"] = "SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM events"
+ORACLES["sink_repeated_batches"] = ORACLES["sink_metrics"]
+ORACLES["ingest_stream"] = ORACLES["sink_empty_write"]

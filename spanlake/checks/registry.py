@@ -686,14 +686,41 @@ def _by_day(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
+def _points_by_kind(store: SignalStore) -> DataFrame:
+    kinds = [(kind, store.table(f"otel_metrics_{kind}")) for kind in ("sum", "gauge", "histogram")]
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, rows in kinds]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
 @_register("sink_metrics")
 def _(spark, sf_dir):
     """Payloads written to the three metric tables."""
     store = SignalStore(spark, fresh_path(spark, "store"))
     store.ingest(adapters.metric_payloads(spark, sf_dir), "metrics")
-    kinds = [(kind, store.table(f"otel_metrics_{kind}")) for kind in ("sum", "gauge", "histogram")]
-    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, rows in kinds]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+    return _points_by_kind(store)
+
+
+@_register("sink_repeated_batches")
+def _(spark, sf_dir):
+    """Two named batches of metric payloads, each sent twice, are stored once."""
+    store = SignalStore(spark, fresh_path(spark, "store"))
+    payloads = adapters.metric_payloads(spark, sf_dir)
+    for batch in (0, 1, 0, 1):
+        part = payloads.where(F.pmod(F.xxhash64("raw"), F.lit(2)) == batch)
+        store.ingest(part, "metrics", batch=f"part-{batch}")
+    return _points_by_kind(store)
+
+
+@_register("ingest_stream")
+def _(spark, sf_dir):
+    """Files of log payloads followed by a stream that takes one file a batch."""
+    store, source = SignalStore(spark, fresh_path(spark, "store")), fresh_path(spark, "payloads")
+    adapters.log_payloads(spark, sf_dir).repartition(3, "raw").write.text(source)
+    stream = store.follow_payloads(
+        source, "logs", fresh_path(spark, "progress"), trigger={"availableNow": True}, files_per_batch=1
+    )
+    stream.awaitTermination()
+    return _by_day(store.table("otel_logs"))
 
 
 @_register("sink_bounded_files")

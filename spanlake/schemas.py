@@ -77,6 +77,20 @@ METRICS_HISTOGRAM = _struct(
     day=DATE,
 )
 
+# points of every kind in one form, as they are written in one job; columns of other kinds are null
+METRICS_ANY = _struct(
+    **_POINT,
+    Value=DOUBLE,
+    Count=BIGINT,
+    Sum=DOUBLE,
+    BucketCounts=T.ArrayType(BIGINT),
+    ExplicitBounds=T.ArrayType(DOUBLE),
+    AggregationTemporality=INT,
+    IsMonotonic=BOOLEAN,
+    day=DATE,
+    table=STRING,
+)
+
 DURATION_COUNT = _struct(low=BIGINT, high=BIGINT, n=BIGINT)
 
 SUMMARY = _struct(

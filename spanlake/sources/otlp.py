@@ -10,6 +10,8 @@ Works on batch and streaming DataFrames alike.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +134,8 @@ def parse_traces(raw: DataFrame) -> DataFrame:
 def parse_metrics(raw: DataFrame) -> MetricTables:
     """The three point tables; a metric of any other kind gives no rows.
 
-    The three results share the parsing plan. Writing all three reads the payloads once per table unless the caller
-    keeps ``metric_points``, as the ingest does.
+    The three results share the parsing plan: writing all three reads the payloads once per table. ``any_points`` gives
+    all of them in one pass, as the ingest takes them.
     """
     points = metric_points(raw)
     return MetricTables(sum=sum_points(points), gauge=gauge_points(points), histogram=histogram_points(points))
@@ -158,33 +160,48 @@ def metric_points(raw: DataFrame) -> DataFrame:
     )
 
 
+# what a point of each kind has beside the common columns
+_OF_SUM = ("Value", "AggregationTemporality", "IsMonotonic")
+_OF_GAUGE = ("Value",)
+_OF_HISTOGRAM = ("Count", "Sum", "BucketCounts", "ExplicitBounds", "AggregationTemporality")
+
+
 def sum_points(points: DataFrame) -> DataFrame:
-    columns = {"Value": _value(), "AggregationTemporality": F.col("temporality"), "IsMonotonic": F.col("monotonic")}
-    return _points(points, "sum", schemas.METRICS_SUM, columns)
+    return _points(points.where("kind = 'sum'"), schemas.METRICS_SUM, _own_columns(_OF_SUM))
 
 
 def gauge_points(points: DataFrame) -> DataFrame:
-    return _points(points, "gauge", schemas.METRICS_GAUGE, {"Value": _value()})
+    return _points(points.where("kind = 'gauge'"), schemas.METRICS_GAUGE, _own_columns(_OF_GAUGE))
 
 
 def histogram_points(points: DataFrame) -> DataFrame:
-    return _points(
-        points,
-        "histogram",
-        schemas.METRICS_HISTOGRAM,
-        {
-            "Count": j.integer(F.col("p.count")),
-            "Sum": j.number(F.col("p.sum")),
-            "BucketCounts": F.transform(_list("p.bucketCounts", "p.bucket_counts"), j.integer),
-            "ExplicitBounds": F.transform(_list("p.explicitBounds", "p.explicit_bounds"), j.number),
-            "AggregationTemporality": F.col("temporality"),
-        },
-    )
+    return _points(points.where("kind = 'histogram'"), schemas.METRICS_HISTOGRAM, _own_columns(_OF_HISTOGRAM))
+
+
+def any_points(points: DataFrame) -> DataFrame:
+    """The points of all kinds, each with its ``table`` and with nulls in the columns of other kinds."""
+    columns = {"table": F.concat(F.lit("otel_metrics_"), F.col("kind"))}
+    own = dict(zip(KINDS, (_OF_SUM, _OF_GAUGE, _OF_HISTOGRAM), strict=True))
+    for name, value in _own_columns({name for names in own.values() for name in names}).items():
+        columns[name] = F.when(F.col("kind").isin([kind for kind in KINDS if name in own[kind]]), value)
+    return _points(points, schemas.METRICS_ANY, columns)
+
+
+def _own_columns(wanted: Collection[str]) -> dict[str, Column]:
+    columns = {
+        "Value": _value(),
+        "Count": j.integer(F.col("p.count")),
+        "Sum": j.number(F.col("p.sum")),
+        "BucketCounts": F.transform(_list("p.bucketCounts", "p.bucket_counts"), j.integer),
+        "ExplicitBounds": F.transform(_list("p.explicitBounds", "p.explicit_bounds"), j.number),
+        "AggregationTemporality": F.col("temporality"),
+        "IsMonotonic": F.col("monotonic"),
+    }
+    return {name: value for name, value in columns.items() if name in wanted}
 
 
-def _points(points: DataFrame, kind: str, schema: schemas.T.StructType, columns: dict[str, Column]) -> DataFrame:
-    rows = points.where(F.col("kind") == kind)
-    rows = rows.select(
+def _points(points: DataFrame, schema: schemas.T.StructType, columns: dict[str, Column]) -> DataFrame:
+    rows = points.select(
         "*",
         j.integer(F.col("p.timeUnixNano")).alias("nanos"),
         j.integer(F.col("p.startTimeUnixNano")).alias("start"),

@@ -131,21 +131,44 @@ def append(
     """Append rows. ``cluster=False`` skips the shuffle for small batches and only sorts inside the tasks."""
     configure(df.sparkSession)
     check_promoted(df.sparkSession, root, table, promote, writing=True)
-    clustering = TABLES[table][1]
-    for map_column, key in (promote or {}).get(table, []):
-        df = df.withColumn(promoted_name(map_column, key), F.col(map_column)[key])
+    write_days(df, f"{root}/{table}", [table], promote, max_rows, cluster)
+
+
+def write_days(
+    df: DataFrame,
+    path: str,
+    wanted: list[str],
+    promote: Promoted | None = None,
+    max_rows: int = MAX_ROWS_PER_FILE,
+    cluster: bool = True,
+) -> None:
+    """Append rows to day folders, promoted attributes filled.
+
+    Rows of several tables, with the same clustering and a column ``table``, go to a folder per table in the same job. Their files
+    hold the columns of all of them: those of other tables are null and cost next to nothing; readers ask for their own.
+    """
+    by = ["table", "day"] if len(wanted) > 1 else ["day"]
+    clustering = TABLES[wanted[0]][1]
+    looked_up = {}
+    for table in wanted:
+        for attribute in (promote or {}).get(table, []):
+            looked_up.setdefault(attribute, []).append(table)
+    for (map_column, key), promoting in looked_up.items():
+        value = F.col(map_column)[key]
+        if len(by) > 1:
+            value = F.when(F.col("table").isin(promoting), value)
+        df = df.withColumn(promoted_name(map_column, key), value)
     if cluster:
-        df = df.hint("rebalance", "day", clustering[0])
+        df = df.hint("rebalance", *by, clustering[0])
     writer = (
-        df.sortWithinPartitions("day", *clustering)
+        df.sortWithinPartitions(*by, *clustering)
         .write.mode("append")
-        .partitionBy("day")
+        .partitionBy(*by)
         .option("maxRecordsPerFile", max(1, max_rows))
     )
-    looked_up = [promoted_name(*attr) for attr in (promote or {}).get(table, [])]
-    for name in [*looked_up, *(["TraceId"] if "TraceId" in df.columns else [])]:
+    for name in [*(promoted_name(*attr) for attr in looked_up), *(["TraceId"] if "TraceId" in df.columns else [])]:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    writer.parquet(f"{root}/{table}")
+    writer.parquet(path)
 
 
 def surviving(df: DataFrame, days: int, now: Instant) -> DataFrame:
@@ -174,6 +197,17 @@ def touch(spark: SparkSession, path: str) -> None:
     hadoop.create(target, True).close()
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of a folder into another one; nothing if the folder does not exist."""
+    found = [name for name in names(spark, source) if not name.startswith(("_", "."))]
+    hadoop, folder = _filesystem(spark, target)
+    if found:
+        hadoop.mkdirs(folder)
+    for name in found:
+        if not hadoop.rename(_filesystem(spark, f"{source}/{name}")[1], _filesystem(spark, f"{target}/{name}")[1]):
+            raise OSError(f"cannot move {source}/{name} to {target}")
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """What a directory holds; nothing if it does not exist."""
     hadoop, target = _filesystem(spark, path)

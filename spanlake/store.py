@@ -15,7 +15,7 @@ from spanlake.plans.queries import LogQuery, MetricQuery, SpanAggregation, Trace
 from spanlake.plans.routing import metric_table, rollup_answers
 from spanlake.schemas import TABLES
 from spanlake.session import configure
-from spanlake.sources import index, tables
+from spanlake.sources import batches, index, tables
 from spanlake.streaming import ingest
 from spanlake.streaming import rollup as rollup_stream
 
@@ -70,10 +70,22 @@ class SignalStore:
         self._append(points.gauge, "otel_metrics_gauge", **options)
         self._append(points.histogram, "otel_metrics_histogram", **options)
 
-    def ingest(self, raw: DataFrame, signal: str, **options) -> None:
-        """OTLP/JSON payloads (column ``raw``) of ``logs``, ``traces`` or ``metrics`` into their tables."""
-        ingest.write_payloads(raw, self.root, signal, self.promote, **options)
+    def ingest(self, raw: DataFrame, signal: str, batch: str | None = None, **options) -> bool:
+        """OTLP/JSON payloads (column ``raw``) of ``logs``, ``traces`` or ``metrics`` into their tables.
+
+        A sender that may repeat itself names its ``batch``: payloads under a name that is stored already are left out (False).
+        """
+        name = None if batch is None else batches.named(f"{signal}-{batch}")
+        stored = ingest.write_payloads(raw, self.root, signal, self.promote, batch=name, **options)
         self._index(ingest.TABLES_OF[signal])
+        return stored
+
+    def resume_batches(self) -> int:
+        """Finish batches whose sender stopped between writing and storing them; call it while no sender is at work."""
+        finished = batches.resume(self.spark, self.root, [f"rejected_{signal}" for signal in ingest.TABLES_OF])
+        if finished:
+            self._index(self.indexed)
+        return finished
 
     def follow_payloads(self, source: str, signal: str, checkpoint: str | None = None, **options):
         """Start the stream that ingests new payload files below ``source``."""
