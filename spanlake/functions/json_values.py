@@ -96,7 +96,15 @@ def truthy(value: Column) -> Column:
 
 
 def any_value(value: Column) -> Column:
-    """An attribute value as text: the first known typed member, JSON text for nested values, bare scalars as they are."""
+    """An attribute value as text: the first known typed member, JSON text for nested values, bare scalars as they are.
+
+    Nearly all values are an object with one text member; these are told by their type alone and read at once.
+    """
+    plain = F.when(kind(value) == "OBJECT<stringValue: STRING>", F.try_variant_get(value, "$.stringValue", "string"))
+    return F.coalesce(plain, _any_other(value))
+
+
+def _any_other(value: Column) -> Column:
     wrapped = _plain(value, shape(**leaves(*ANY_VALUE_MEMBERS)))
     text = (
         F.when(wrapped["stringValue"].isNotNull(), string(wrapped["stringValue"]))

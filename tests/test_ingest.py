@@ -90,6 +90,11 @@ def test_times_are_read_tolerantly(spark, times, nanos):
     ("value", "expected"),
     [
         ({"stringValue": "x"}, "x"),
+        ({"stringValue": ""}, ""),
+        ({"stringValue": 7}, "7"),
+        ({"stringValue": True}, "1"),
+        ({"stringValue": ["x"]}, ""),
+        ({"stringValue": "x", "intValue": 1}, "x"),
         ({"boolValue": True}, "true"),
         ({"boolValue": False}, "false"),
         ({"boolValue": "false"}, "true"),
