@@ -1,5 +1,6 @@
 """Extraction, token files, packing, mixing and toxicity."""
 
+import time
 import zlib
 
 import numpy as np
@@ -326,3 +327,46 @@ def test_lengths_are_opened_by_class():
     *_, used, final = packing.pack_shard(sizes, (10, 25, 50), 2)
     assert sum(used) == sum(sizes) and all(u <= f for u, f in zip(used, final))
     assert sum(final) + 2 * len(used) == 284  # one way to open for all pieces costs 287 or more
+
+
+def test_parts_of_texts_as_the_library_encodes_them(monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    pieces = ["don", "'s", "'", "×", "÷", "é", "Ж", "ж", "ß", "…", "“", "-", ".", ",%", "7", "٣", " ", "\n", " ", "\t", " ", "x", "é", "漢", "_", "ⅷ", "🙂", "ʼ"]
+    rng = np.random.default_rng(3)
+    texts = ["", *("".join(rng.choice(pieces, rng.integers(0, 12))) for _ in range(4000)), ""]
+    want = [np.array(e.ids, "<u2").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    coder = token_files.WordEncoder(TOKENIZER)
+    assert coder.encode(texts) == want
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)  # words are forgotten all the time
+    assert [coder.encode(texts[i : i + 37]) for i in range(0, len(texts), 37)] == [want[i : i + 37] for i in range(0, len(texts), 37)]
+
+
+def test_words_met_before_cost_little():
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(4)
+    letters = np.array(list("etaoinshrdlu"))
+    pool = np.array(["".join(w) for w in rng.choice(letters, (60_000, 9))])
+    texts = [" ".join(pool[(60_000 * rng.random(500) ** 2).astype(int)]) for _ in range(1500)]
+
+    def took(encode):
+        began = time.process_time()
+        encode(texts)
+        return time.process_time() - began
+
+    coder = token_files.WordEncoder(TOKENIZER)
+    plain = took(lambda texts: Tokenizer.from_file(TOKENIZER).encode_batch_fast(texts, add_special_tokens=False))
+    assert took(lambda texts: [coder.encode(texts[i : i + 500]) for i in range(0, 1500, 500)]) < plain / 4
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=9), min_size=1, max_size=9))
+def test_documents_are_packed_as_if_alone(rows):
+    counts, ranks = np.array([len(r) for r in rows]), np.array([x for r in rows for x in r], np.uint32)
+    control, data = token_files.pack_documents(ranks, counts)
+    alone = [token_files.pack_ranks(np.array(r, np.uint32)) for r in rows]
+    assert list(zip(control.to_pylist(), data.to_pylist())) == alone
+    joined = (np.frombuffer(b"".join(column.to_pylist()), np.uint8) for column in (control, data))
+    assert token_files.unpack_documents(*joined, counts).tolist() == ranks.tolist()
