@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +191,32 @@ def test_trace_ids_have_a_bloom_filter(spark, root):
     assert filtered == {"TraceId"}
 
 
+def test_bloom_filters_of_small_files_are_small(spark, root):
+    values = {"TraceId": F.md5(F.col("id").cast("string")), "day": F.lit(dt.date(1970, 1, 1))}
+    spans = spark.range(2000).select(
+        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.TRACES.fields)
+    )
+    tables.append(spans.coalesce(1), root, "otel_traces", max_rows=100, cluster=False)
+    found = files(root, "otel_traces")
+    assert len(found) == 20 and sum(Path(path).stat().st_size for path in found) < 20 * 20_000
+    parquet, hadoop = spark._jvm.org.apache.parquet.hadoop, spark._jvm.org.apache.hadoop
+    for path in found[:3]:
+        source = parquet.util.HadoopInputFile.fromPath(hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
+        reader = parquet.ParquetFileReader.open(source)
+        block = reader.getFooter().getBlocks().get(0)
+        (column,) = (c for c in block.getColumns() if c.getPath().toDotString() == "TraceId")
+        bloom = reader.readBloomFilter(column)
+        stored = [r.TraceId for r in spark.read.parquet(path).select("TraceId").collect()]
+        held = lambda t: bloom.findHash(bloom.hash(parquet_binary(spark, t)))
+        assert len(stored) == 100 and all(map(held, stored))
+        assert sum(map(held, (f"other {i}" for i in range(300)))) < 30
+        reader.close()
+
+
+def parquet_binary(spark, text):
+    return spark._jvm.org.apache.parquet.io.api.Binary.fromString(text)
+
+
 def test_write_metrics(spark, root):
     store = SignalStore(spark, root)
     point = {"TimestampNano": S, "MetricName": "m", "Value": 1.0, "Count": 2, "BucketCounts": [1]}
