@@ -1,10 +1,12 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped into one line per block element. Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments weigh nothing, as do lists of links; where the page marks its article, so do lines outside it, but for the
-heading before an article that has none of its own. All other lines weigh their length. Summed over windows of ``WINDOW`` lines
-these weights rise and fall along the page: text is kept from the first surge point, where the sums leave zero, to the last dive
-point, where they are back at zero. There is no least weight: a short line far from the others may be a heading or the article's end.
+comments have no text; where the page marks its article, lines outside it are no article text either, but for the
+heading before an article that has none of its own. All other lines weigh their length, except that lines of links weigh nothing.
+Summed over windows of ``WINDOW`` lines these weights rise and fall along the page: the text is what lies between a surge point,
+where the sums leave zero, and the dive point, where they are back at zero. So a line of links stays where text closely surrounds it,
+and goes where it stands apart, as a menu does. There is no least weight: a short line far from the others may be a heading or the
+article's end.
 
 Pages are independent: one pass in Arrow batches, no shuffle. A page is read once from front to end in time that grows with its length.
 
@@ -107,12 +109,13 @@ def _noisy(tag: str, attributes: dict[str, str]) -> bool:
 
 @dataclass
 class Line:
-    """A block's text; whether it lies in a marked article, is a first-level heading, or stands in a page header."""
+    """A block's text; whether it lies in a marked article, is a first-level heading, stands in a page header, or is all links."""
 
     text: str
     article: bool = False
     heading: bool = False
     header: bool = False
+    links: bool = False
 
 
 @dataclass
@@ -141,11 +144,10 @@ class _Page:
         text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
         prose = any(self.open[tag] for tag in HEADINGS) or self.open["p"] and not self.open["li"]
         listed = self.open["li"] or self.links > 1 and not prose
-        if text and listed and self.linked > LINKED * self.total and not self.article:
-            text = ""  # of a list of links
-        if self.out and not (self.header and self.open["h1"]):
+        links = bool(text and listed) and self.linked > LINKED * self.total and not self.article
+        if self.out and (links or not (self.header and self.open["h1"])):
             text = ""
-        self.lines.append(Line(text, self.article, self.open["h1"] > 0, self.out))
+        self.lines.append(Line(text, self.article, self.open["h1"] > 0, self.out, links))
         self.parts.clear()
         self.total = self.linked = self.links = 0
 
@@ -257,22 +259,29 @@ def lines(page: str) -> list[Line]:
     return read.lines
 
 
-def weights(found: list[Line]) -> list[int]:
-    """Length of the lines that may be article text, 0 for all others."""
+def candidates(found: list[Line]) -> list[bool]:
+    """The lines that may be article text, lines of links among them."""
     marked = any(line.article and line.text for line in found)
     own = [bool(line.text) and not line.header and (line.article or not marked) for line in found]
-    if not any(mine and line.heading for mine, line in zip(own, found)):
+    if not any(mine and line.heading and not line.links for mine, line in zip(own, found)):
         # the nearest heading before the text
-        first = own.index(True) if True in own else len(found)
+        weight = weights(found, own)
+        first = points(weight)[0] if any(weight) else len(found)
         for i in range(first - 1, -1, -1):
-            if found[i].heading and found[i].text:
+            if found[i].heading and found[i].text and not found[i].links:
                 own[i] = True
                 break
-    return [len(line.text) * mine for line, mine in zip(found, own)]
+    return own
 
 
-def points(weight: list[int], window: int = WINDOW) -> tuple[int, int]:
-    """The lines from the first surge point to the last dive point, as a range; an empty one without either."""
+def weights(found: list[Line], own: list[bool] | None = None) -> list[int]:
+    """Length of the lines that may be article text, 0 for lines of links and all others."""
+    own = candidates(found) if own is None else own
+    return [len(line.text) if mine and not line.links else 0 for line, mine in zip(found, own)]
+
+
+def blocks(weight: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
+    """The lines from each surge point to its dive point, as ranges that begin and end with a line that weighs something."""
     sums, total = [], sum(weight[: window - 1])
     for i in range(len(weight)):
         total += weight[i + window - 1] if i + window - 1 < len(weight) else 0
@@ -280,17 +289,24 @@ def points(weight: list[int], window: int = WINDOW) -> tuple[int, int]:
         total -= weight[i]
     surges = [i for i, s in enumerate(sums) if s and not (i and sums[i - 1])]
     dives = [i + 1 for i, s in enumerate(sums) if s and not (i + 1 < len(sums) and sums[i + 1])]
-    return (surges[0], dives[-1]) if surges else (0, 0)
+    # the first window may hold lines before its text
+    return [(next(i for i in range(first, last) if weight[i]), last) for first, last in zip(surges, dives)]
+
+
+def points(weight: list[int], window: int = WINDOW) -> tuple[int, int]:
+    """The lines from the first surge point to the last dive point, as a range; an empty one without either."""
+    found = blocks(weight, window)
+    return (found[0][0], found[-1][1]) if found else (0, 0)
 
 
 def main_text(page: str | None) -> str:
-    """The text between the surge and the dive point, without lines that weigh nothing."""
+    """The text between the surge and the dive points."""
     if not page:
         return ""
     found = lines(page)
-    weight = weights(found)
-    first, last = points(weight)
-    return " ".join(found[i].text for i in range(first, last) if weight[i])
+    own = candidates(found)
+    ranges = blocks(weights(found, own))
+    return " ".join(found[i].text for first, last in ranges for i in range(first, last) if own[i])
 
 
 def extract(pages: DataFrame, markup: str = "html") -> DataFrame:

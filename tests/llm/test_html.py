@@ -99,6 +99,37 @@ def test_headings_and_links(page, text):
     assert html_extract.main_text(page) == text
 
 
+LINKS = "<a href=1>one</a> <a href=2>two</a>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # lines of links inside the text, which the sums do not leave
+        (f"Sources:<br>{LINKS}<br>are named.", "Sources: one two are named."),
+        (f"<div>First.<br>{LINKS}<br>{LINKS}<br>Last.</div>", "First. one two one two Last."),
+        ("<ul><li>Intro<br><a href=1>one</a><br>end</ul>", "Intro one end"),
+        # apart from it, before, behind, or between two blocks
+        (f"{LINKS}<br>Text", "Text"),
+        (f"Text<br>{LINKS}", "Text"),
+        (f"Site<br>{LINKS}<br>{LINKS}<br>{LINKS}<br>Text", "Site Text"),
+        (f"<div>Site</div><div>{LINKS}</div><p>Text</p>", "Site Text"),
+        ("<div>Site</div><ul><li><a href=1>Home</a><li><a href=2>News</a></ul><p>Text</p>", "Site Text"),
+        # not in a marked article, or in a part that is none
+        (f"<article>First.</article>{LINKS}<article>Last.</article>", "First. Last."),
+        (f"First.<br><nav>{LINKS}</nav>Last.", "First. Last."),
+        (LINKS, ""),
+    ],
+)
+def test_surge_and_dive_points_decide_on_lines_of_links(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_blocks_end_where_the_sums_are_zero():
+    assert html_extract.blocks([0, 5, 0, 0, 3, 0, 0, 0, 2, 0]) == [(1, 5), (8, 9)]
+    assert html_extract.blocks([0, 0]) == html_extract.blocks([]) == []
+
+
 @pytest.mark.parametrize("tags", ['<a "', "<div>x", "</x>", "<b><i>", "<i><div><b></i>", '<a x="', "<!--", "<p><b>x</i>", "<li><a>x", "<h1>"])
 def test_time_grows_with_the_page(tags):
     def took(n):
