@@ -9,7 +9,7 @@ byte and a running sum, without looking at the data.
 
 Texts are encoded once, without a shuffle, into a staged table of raw ids; the frequencies come from that table (one
 row per id and task), and only ids are sorted by document, not texts. Words recur, so a worker remembers the ids of words it
-has met, up to a bound: once there are too many, those that the texts at hand do not use are forgotten.
+has met, up to a bound: once there are too many or they are too long, those that the texts at hand do not use are forgotten.
 
 Defined results: a null or empty text has the end id alone; a null id sorts first; repeated rows stay, one after the
 other; an empty table gives an empty folder; extra columns are ignored.
@@ -36,8 +36,9 @@ from spanlake.session import fresh_path
 
 END_ID = 2
 
-# words a worker remembers, and bytes that are worked on at a time; a document stays whole
+# words a worker remembers, the bytes they take with their ids, and bytes that are worked on at a time; a document stays whole
 REMEMBERED = 400_000
+REMEMBERED_BYTES = 64 << 20
 SLICE_BYTES = 4 << 20
 
 # The pre-tokenizer whose cuts are known here; others encode whole texts.
@@ -124,7 +125,8 @@ class WordEncoder:
         self.known = pa.concat_arrays([self.known, new])
         self.ids = pa.concat_arrays([self.ids, self._learn(new.to_pylist())])
         ids = self.ids.take(pa.array(place))
-        if len(self.known) > REMEMBERED:
+        # texts without spaces are few parts, but long ones
+        if len(self.known) > REMEMBERED or self.known.nbytes + self.ids.nbytes > REMEMBERED_BYTES:
             self.known, self.ids = parts, ids
         return ids
 

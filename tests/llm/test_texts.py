@@ -343,6 +343,20 @@ def test_parts_of_texts_as_the_library_encodes_them(monkeypatch):
     assert [coder.encode(texts[i : i + 37]) for i in range(0, len(texts), 37)] == [want[i : i + 37] for i in range(0, len(texts), 37)]
 
 
+def test_remembered_parts_are_bounded_by_their_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", 100_000, raising=False)
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 1000))) for _ in range(200)]
+    coder, found, held = token_files.WordEncoder(TOKENIZER), [], []
+    for i in range(0, len(texts), 5):
+        found += coder.encode(texts[i : i + 5])
+        held.append(coder.known.nbytes + coder.ids.nbytes)
+    assert max(held) <= 100_000
+    assert found == [np.array(e.ids, "<u2").tobytes() for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_words_met_before_cost_little():
     from tokenizers import Tokenizer
 
